@@ -43,6 +43,12 @@ def _decode_ignore_arrow(raw: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.string())
 
 
+# Nondeterministic only so that the optimizer never copies the call into a
+# pushed-down filter (which would run it twice); the function itself is pure.
+_nfc_arrow = _nfc_arrow.asNondeterministic()
+_decode_ignore_arrow = _decode_ignore_arrow.asNondeterministic()
+
+
 def nfc(col: Column | str) -> Column:
     """Unicode NFC.  Rows without a code point >= U+0300 pass through untouched;
     the UDF sees a null for them, so only the rows that can change cross to Python."""

@@ -9,8 +9,12 @@ their suffix contexts and sum again.  The number of contexts of a window depends
 only on its length, so this is exact, and it explodes distinct windows instead
 of every position of the corpus.
 
-``first_seen = min(struct(line_id, pos))`` keeps the order in which the
-reference's dicts first saw a key; it is the tie key of every later ranking.
+``first_seen`` = the smallest (line_id, pos) at which a key occurs keeps the
+order in which the reference's dicts first saw it; it is the tie key of every
+later ranking.  It is packed into one long, ``line_id * 2**24 + pos``, so the
+aggregations stay hash-based (a struct minimum forces a sort-based aggregate).
+A line longer than 2**24 code points or a line id of 2**39 or more stops the job
+with an error instead of packing wrongly.
 """
 
 from __future__ import annotations
@@ -20,6 +24,23 @@ from pyspark.sql import functions as F
 
 from charloom.functions.text import NEWLINES
 
+POS_BITS = 24
+MAX_LINE_ID = 1 << 39
+
+
+def pack_position(line_id, pos):
+    ok = (line_id >= 0) & (line_id < MAX_LINE_ID) & (pos < (1 << POS_BITS))
+    packed = F.shiftleft(line_id.cast("long"), POS_BITS) + pos.cast("long")
+    return F.when(ok, packed).otherwise(
+        F.raise_error(F.lit("line id or position out of range for the packed first_seen key")).cast("long"))
+
+
+def unpack_position(col):
+    """``struct(line_id, pos)`` from a packed ``first_seen``."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.struct(F.shiftright(c, POS_BITS).alias("line_id"),
+                    F.bitwise_and(c, F.lit((1 << POS_BITS) - 1)).cast("int").alias("pos"))
+
 
 
 def position_windows(corpus: DataFrame, order: int) -> DataFrame:
@@ -29,15 +50,15 @@ def position_windows(corpus: DataFrame, order: int) -> DataFrame:
     if order < 1:
         raise ValueError("order must be >= 1")
     n1 = order - 1
-    chars = F.split(F.col("text"), "")
-    n = F.when(F.col("text") == "", F.lit(0)).otherwise(F.size(chars))
-    wins = F.transform(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-        lambda i: F.array_join(F.slice(chars, F.greatest(i - n1, F.lit(1)), F.least(i, F.lit(n1 + 1))), ""),
-    )
-    wins = F.when(n > 0, wins).otherwise(F.array().cast("array<string>"))
-    out = corpus.select("line_id", F.posexplode(wins).alias("pos", "win"))
-    return out.where(~F.right("win", F.lit(1)).isin(*NEWLINES))
+    # posexplode of the character array, then one slice per position: generator
+    # and slice both run in whole-stage codegen (a transform() lambda would not).
+    with_chars = corpus.where(F.length("text") > 0).select(
+        "line_id", F.split(F.col("text"), "").alias("_chars"))
+    ex = with_chars.select("line_id", "_chars", F.posexplode("_chars").alias("pos", "_ch"))
+    ex = ex.where(~F.col("_ch").isin(*NEWLINES))
+    i = F.col("pos") + 1
+    win = F.array_join(F.slice("_chars", F.greatest(i - n1, F.lit(1)), F.least(i, F.lit(n1 + 1))), "")
+    return ex.select("line_id", "pos", win.alias("win"))
 
 
 def window_counts(corpus: DataFrame, order: int) -> DataFrame:
@@ -46,7 +67,7 @@ def window_counts(corpus: DataFrame, order: int) -> DataFrame:
         position_windows(corpus, order)
         .groupBy("win")
         .agg(F.count(F.lit(1)).alias("cnt"),
-             F.min(F.struct("line_id", "pos")).alias("first_seen"))
+             F.min(pack_position(F.col("line_id"), F.col("pos"))).alias("first_seen"))
     )
 
 

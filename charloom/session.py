@@ -21,6 +21,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -47,3 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def spread(df, factor: int = 2):
+    """Give a scan that arrives in fewer partitions than the cluster has cores
+    (one small Parquet file) enough tasks.  A scan that is already wide (any real
+    corpus) is returned unchanged, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * factor)

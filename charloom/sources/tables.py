@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from charloom.functions.text import drop_last_char, last_char, nfc
+from charloom.session import spread
 
 LINES_PER_DOC = 100_000
 
@@ -43,6 +44,7 @@ def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     if groups is not None:
         base = base.where(F.col("grp").isin(list(groups)))
+    base = spread(base)
     lines = base.select("_doc", "grp", F.posexplode(F.split("_text", "\n")).alias("_piece", "text"))
     lines = lines.select(
         (F.col("_doc") * LINES_PER_DOC + F.col("_piece")).alias("line_id"),
