@@ -39,7 +39,7 @@ def unpack_position(col):
     """``struct(line_id, pos)`` from a packed ``first_seen``."""
     c = F.col(col) if isinstance(col, str) else col
     return F.struct(F.shiftright(c, POS_BITS).alias("line_id"),
-                    F.bitwise_and(c, F.lit((1 << POS_BITS) - 1)).cast("int").alias("pos"))
+                    c.bitwiseAND(F.lit((1 << POS_BITS) - 1)).cast("int").alias("pos"))
 
 
 
