@@ -104,9 +104,14 @@ class CharModel:
         return scoring.base_table(self.base_counts(), a, self.base_stats())
 
     def levels(self) -> DataFrame:
+        """Packed per-context counts, kept hash-partitioned and sorted by context:
+        every later join on ``context`` shuffles only the suffix side."""
         if self._levels is None:
-            self._levels = scoring.levels(self.context_chars, self.base_counts(),
-                                          vocab_size=self.base_stats().vb)
+            lv = scoring.levels(self.context_chars, self.base_counts(), vocab_size=self.base_stats().vb)
+            spark = lv.sparkSession
+            parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            lv = lv.repartition(parts, "context").sortWithinPartitions("context")
+            self._levels = lv.persist(StorageLevel.MEMORY_AND_DISK)
         return self._levels
 
     def ranking_prefix(self, k: int, alpha: float | None = None) -> list[tuple[str, int]]:
