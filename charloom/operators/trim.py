@@ -50,7 +50,12 @@ def _char_order(ranked: bool):
     return [F.col("cnt").desc(), F.col("first_seen").asc(), F.col("ch").asc()]
 
 
-def frequency_cut(totals: DataFrame, max_contexts: int, keys: Sequence[str]) -> DataFrame:
+def _val(v) -> "F.Column":
+    """An int parameter or the name of a per-model parameter column."""
+    return F.col(v) if isinstance(v, str) else F.lit(int(v))
+
+
+def frequency_cut(totals: DataFrame, max_contexts, keys: Sequence[str]) -> DataFrame:
     """Drop every context whose total is below the ``max_contexts``-th largest
     total of its model.  What remains is the final set plus the tie bucket at the
     cut.  The histogram has one row per (model, distinct total)."""
@@ -58,30 +63,39 @@ def frequency_cut(totals: DataFrame, max_contexts: int, keys: Sequence[str]) ->
     w = Window.partitionBy(*keys).orderBy(F.col("total").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("at_or_above", F.sum("n").over(w))
-    cut = hist.where(F.col("at_or_above") >= max_contexts).groupBy(*keys).agg(
+    if isinstance(max_contexts, str):
+        caps = totals.select(*keys, max_contexts).distinct()
+        hist = hist.join(F.broadcast(caps), list(keys))
+    cut = hist.where(F.col("at_or_above") >= _val(max_contexts)).groupBy(*keys).agg(
         F.max("total").alias("_cut"))
     # Models with fewer contexts than the cap have no cut row: keep all of them.
     out = totals.join(F.broadcast(cut), on=list(keys), how="left")
     return out.where(F.col("_cut").isNull() | (F.col("total") >= F.col("_cut"))).drop("_cut")
 
 
-def trim(pairs: DataFrame, min_context_count: int, max_contexts: int, max_chars_per_context: int,
+def trim(pairs: DataFrame, min_context_count, max_contexts, max_chars_per_context: int,
          keys: Sequence[str] = (), ranked: bool = False) -> DataFrame:
     """A5 + A6 (total >= min) + L6 (top contexts) + L7 (top next characters).
 
     Returns ``(keys..., context, ctx_len, ch, cnt, first_seen, ctx_rank, char_rank)``.
     ``max_contexts <= 0`` means no cap; ``max_chars_per_context <= 0`` keeps nothing.
+    ``min_context_count`` and ``max_contexts`` may name columns that are
+    constant within each model (the grid search's per-model parameters); a
+    column cap must be positive.
     """
+    param_cols = [c for c in (min_context_count, max_contexts) if isinstance(c, str)]
     keys = list(keys)
     work_keys = keys or [_ONE_MODEL]
     if not keys:
         pairs = pairs.withColumn(_ONE_MODEL, F.lit(0))
-    totals = context_totals(pairs, work_keys, ranked).where(F.col("total") >= min_context_count)
-    if max_contexts > 0:
+    capped = isinstance(max_contexts, str) or max_contexts > 0
+    totals = context_totals(pairs, [*work_keys, *param_cols], ranked).where(
+        F.col("total") >= _val(min_context_count))
+    if capped:
         totals = frequency_cut(totals, max_contexts, work_keys)
     totals = ordinal(totals, _context_order(ranked), work_keys, name="_new_ctx_rank")
-    if max_contexts > 0:
-        totals = totals.where(F.col("_new_ctx_rank") <= max_contexts)
+    if capped:
+        totals = totals.where(F.col("_new_ctx_rank") <= _val(max_contexts))
     kept = totals.select(*work_keys, "context", "_new_ctx_rank")
 
     body = pairs.join(kept, on=[*work_keys, "context"], how="inner")

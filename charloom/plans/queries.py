@@ -270,6 +270,17 @@ def q_decode_ignore(spark, sf):
     return d.select("doc_id", F.length(decode_ignore(F.col("text").cast("binary"))).cast("long").alias("n_chars"))
 
 
+def _bench_examples(spark, sf) -> DataFrame:
+    from charloom.sources.tables import dev_from_table
+    return dev_from_table(_t(spark, sf, "benchmark"))
+
+
+def q_grid_accuracy(spark, sf):
+    from charloom.plans import tune
+    return tune.grid_search(_corpus(spark, sf), {"ex": _bench_examples(spark, sf)}, _dev(spark, sf),
+                            grid=tune.SMALL_GRID)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -415,9 +426,60 @@ SELECT CAST((SELECT count(DISTINCT context) FROM m_trim) AS BIGINT) AS contexts_
        CAST((SELECT count(*) FROM m_trim) AS BIGINT) AS entries_stored,
        CAST(v_uni AS BIGINT) AS unigram_vocab_size, CAST(n_uni AS BIGINT) AS unigram_total,
        CAST(v_cont AS BIGINT) AS continuation_vocab_size, CAST(t AS BIGINT) AS total_bigram_types FROM totals""")
+    q["grid_accuracy"] = _grid_sql()
     q["decode_ignore"] = "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars FROM documents"
     return q
 
 
+def _grid_sql() -> str:
+    from charloom.plans import tune
+    grid = tune.SMALL_GRID
+    K = tune.FIXED_MAX_CHARS
+    fit = ModelParams()
+    orders = sorted(set(grid["ngram_order"]))
+    ctes = _head(max(orders), dev=True)
+    ctes.append("""
+ex_raw AS (
+  SELECT CAST(item_id AS BIGINT) AS qid, nfc_normalize(text) AS t FROM benchmark
+  WHERE length(nfc_normalize(text)) >= 2),
+ex AS (
+  SELECT qid, substring(t, 1, length(t) - 1) AS text, right(t, 1) AS answer FROM ex_raw)""")
+    ctes.append(O.defaults_cte(K, "dfl"))
+    alphas = {a: f"b{i}" for i, a in enumerate(grid["laplace_alpha"])}
+    for a, name in alphas.items():
+        ctes.append(O.base_ctes(a, name))
+    for n in orders:
+        ctes.append(O.pairs_cte(n, f"o{n}_pairs"))
+        ctes.append(O.trim_ctes(f"o{n}_pairs", f"o{n}", fit.min_context_count, fit.max_contexts, K, False))
+    selects = []
+    made: set[str] = set()
+    for p in tune.grid_points(grid):
+        n, m, c, d, a, gi = (p["ngram_order"], p["min_context_count"], p["max_contexts"], p["kn_discount"],
+                             p["laplace_alpha"], p["grid_idx"])
+        t = f"t{n}_{m}_{c}"
+        if t not in made:
+            made.add(t)
+            ctes.append(O.trim_ctes(f"o{n}", t, m, c, K, ranked=True))
+        lv = f"lv{gi}"
+        ctes.append(O.level_ctes(t, d, lv))
+        for st in ("ex", "dev"):
+            ctes.append(O.predict_ctes(st, n, lv, alphas[a], "dfl", 3, f"p{gi}_{st}"))
+        acc = []
+        for st in ("ex", "dev"):
+            acc.append(f"(SELECT CAST(count_if(contains(coalesce(p.pred, ''), s.answer)) AS BIGINT) "
+                       f"FROM {st} s LEFT JOIN p{gi}_{st} p USING (qid)) AS {st}_correct, "
+                       f"(SELECT CAST(count(*) AS BIGINT) FROM {st}) AS {st}_total")
+        selects.append(f"SELECT CAST({gi} AS BIGINT) AS grid_idx, {n} AS ngram_order, {O.dbl(d)} AS kn_discount, "
+                       f"{O.dbl(a)} AS laplace_alpha, {m} AS min_context_count, {c} AS max_contexts, "
+                       + ", ".join(acc))
+    union = "\n  UNION ALL ".join(selects)
+    return O.with_(*ctes, select=f"""
+SELECT grid_idx, ngram_order, kn_discount, laplace_alpha, min_context_count, max_contexts,
+       ex_correct, ex_total, dev_correct, dev_total, CAST(dev_correct AS DOUBLE) / dev_total AS dev_acc,
+       CAST(row_number() OVER (ORDER BY CAST(dev_correct AS DOUBLE) / dev_total DESC, grid_idx) AS BIGINT) AS rank
+FROM (
+  {union})""")
+
+
 _PY_WS = ("[\\x{09}-\\x{0d}\\x{1c}-\\x{20}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
           "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
