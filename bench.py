@@ -4,7 +4,10 @@ Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]:
   fit_baseline      count + trim the published baseline configuration
                     (order 6, D 0.75, alpha 1.0, 48 chars, min 5, 300k contexts)
                     over all of documents
-  predict           top-3 for every conversation turn (text minus last char)
+  prepare_scoring   build the scoring tables (what the reference does on load)
+  predict           top-3 for every conversation turn (text minus last char);
+                    scoring only, like the reference's published inference time
+  predict_all_lines top-3 for every corpus line minus its last character
   grade             caseless top-3 success rate of those predictions
   compare_models    baseline vs kn_initial on the same inputs (one count)
   prune             prune the baseline model to (min 10, 100k, 16)
@@ -50,6 +53,10 @@ def main():
     base.base_stats()
     times["fit_baseline"] = time.time() - t
 
+    t = time.time()
+    base.prepare(3)
+    times["prepare_scoring"] = time.time() - t
+
     dev = Q._dev(spark, sf).cache()
     n_dev = dev.count()
     t = time.time()
@@ -65,6 +72,16 @@ def main():
     times["grade"] = time.time() - t
     extra["top3_success_rate"] = g["success_rate"]
 
+    t = time.time()
+    lines = corpus.select(F.col("line_id").alias("qid"), "text").where(F.length("text") >= 2)
+    lines = lines.select("qid", F.expr("substring(text, 1, length(text) - 1)").alias("text")).cache()
+    n_lines = lines.count()
+    t = time.time()
+    run(base.predict(lines))
+    times["predict_all_lines"] = time.time() - t
+    extra["predict_all_lines_rows"] = n_lines
+    extra["predict_all_lines_rows_per_sec"] = n_lines / times["predict_all_lines"]
+
     t = time.time()
     kn = CharModel.from_counts(raw, Q.KN_INITIAL)
     cmp = evaluate.compare({"baseline": preds, "kn_initial": kn.predict(dev)}, dev)

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +94,10 @@ def trim(pairs: DataFrame, min_context_count, max_contexts, max_chars_per_contex
         F.col("total") >= _val(min_context_count))
     if capped:
         totals = frequency_cut(totals, max_contexts, work_keys)
+    # The ranking reads its input up to three times (range sampling, sort,
+    # per-partition counts); after the cut it is at most the cap plus the tie
+    # bucket per model, so keep it instead of recomputing the counts.
+    totals = totals.persist(StorageLevel.MEMORY_AND_DISK)
     totals = ordinal(totals, _context_order(ranked), work_keys, name="_new_ctx_rank")
     if capped:
         totals = totals.where(F.col("_new_ctx_rank") <= _val(max_contexts))

@@ -64,6 +64,7 @@ class CharModel:
     default_chars: list[str] = field(default_factory=lambda: list(BUILTIN_DEFAULT_CHARS))
     _stats: BaseStats | None = None
     _levels: DataFrame | None = None
+    _prefix: dict = field(default_factory=dict)
 
     # ------------------------------------------------------------------ fit
     @classmethod
@@ -116,9 +117,20 @@ class CharModel:
 
     def ranking_prefix(self, k: int, alpha: float | None = None) -> list[tuple[str, int]]:
         a = self.params.laplace_alpha if alpha is None else alpha
-        per_level = max(self.params.max_chars_per_context, 0)
-        length = k + max(self.params.ngram_order - 1, 0) * per_level
-        return scoring.base_ranking_prefix(self.base_counts(), a, self.base_stats(), length)
+        key = (k, a)
+        if key not in self._prefix:
+            per_level = max(self.params.max_chars_per_context, 0)
+            length = k + max(self.params.ngram_order - 1, 0) * per_level
+            self._prefix[key] = scoring.base_ranking_prefix(self.base_counts(), a, self.base_stats(), length)
+        return self._prefix[key]
+
+    def prepare(self, k: int = 3) -> "CharModel":
+        """Build the scoring tables once (the reference does this when it loads a
+        model): base scalars, the persisted levels table and the ranking prefix."""
+        self.base_stats()
+        self.levels().count()
+        self.ranking_prefix(k)
+        return self
 
     # ------------------------------------------------------------- predict
     def predict(self, inputs: DataFrame, k: int = 3, text_col: str = "text",
