@@ -138,8 +138,8 @@ class CharModel:
         """P5: ``(id_cols..., pred, guesses)`` for every input row (blank rows included)."""
         p = self.params
         t = nfc(text_col) if normalize else F.col(text_col)
-        x = inputs.select(*id_cols, t.alias("_t"))
-        x = x.withColumn("sfx", F.when(F.col("_t").isNotNull(), scoring_suffix("_t", p.ngram_order)))
+        x = inputs.select(*id_cols, F.col(text_col).isNull().alias("_null"), t.alias("_t"))
+        x = x.withColumn("sfx", F.when(~F.col("_null"), scoring_suffix("_t", p.ngram_order))).drop("_t")
         sfx = x.select("sfx").where(F.col("sfx").isNotNull()).distinct()
         lv = pred_ops.matched_levels(sfx, self.levels())
         stats = self.base_stats()
@@ -150,7 +150,7 @@ class CharModel:
             pred_ops._lit_str_array(self.default_chars)).select("sfx", "guesses")
         out = x.join(scored, "sfx", "left")
         fallback = pred_ops._lit_str_array(pred_ops.fallback_guesses(self.default_chars, k))
-        guesses = F.when(F.col("_t").isNull(), fallback).otherwise(F.col("guesses"))
+        guesses = F.when(F.col("_null"), fallback).otherwise(F.col("guesses"))
         out = out.select(*id_cols, guesses.alias("guesses"))
         return out.select(*id_cols, F.array_join("guesses", "").alias("pred"), "guesses")
 

@@ -112,7 +112,9 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     ex_name = next(iter(examples))
     sets = examples[ex_name].select(F.lit("ex").alias("set"), "qid", "text", "answer").unionByName(
         dev.select(F.lit("dev").alias("set"), "qid", "text", "answer"))
-    sets = sets.withColumn("_t", nfc("text"))
+    # The null test reads the raw text: NFC keeps nulls null, and the UDF's
+    # output then feeds projections only (never an aggregate expression).
+    sets = sets.withColumn("_null", F.col("text").isNull()).withColumn("_t", nfc("text"))
     x = _inputs_per_model(sets, model_df)
     sfx = x.select("mid", "sfx").where(F.col("sfx").isNotNull()).distinct()
     lv = pred_ops.matched_levels(sfx, levels, keys=["mid"])
@@ -123,7 +125,7 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
                            F.array_join("guesses", "").alias("pred"))
     fallback = "".join(pred_ops.fallback_guesses(defaults, k))
     j = x.join(scored, ["mid", "sfx"], "left")
-    pred = F.when(F.col("_t").isNull(), F.lit(fallback)).otherwise(F.col("pred"))
+    pred = F.when(F.col("_null"), F.lit(fallback)).otherwise(F.col("pred"))
     hit = F.contains(F.coalesce(pred, F.lit("")), F.col("answer"))
     acc = j.groupBy("mid", "kn_discount", "laplace_alpha").agg(
         F.count_if((F.col("set") == "ex") & hit).cast("long").alias("ex_correct"),
@@ -153,10 +155,10 @@ def _inputs_per_model(sets: DataFrame, model_df: DataFrame) -> DataFrame:
     ids = model_df.select("mid", "ngram_order").collect()
     per = F.explode(F.array(*[F.struct(F.lit(r["mid"]).alias("mid"), F.lit(r["ngram_order"]).alias("n"))
                               for r in ids]))
-    x = sets.select("set", "qid", "answer", "_t", per.alias("m"))
+    x = sets.select("set", "qid", "answer", "_null", "_t", per.alias("m"))
     n1 = F.col("m.n") - 1
     sfx = F.when(F.col("_t").isNull(), F.lit(None)).when(n1 > 0, F.right("_t", n1)).otherwise(F.lit(""))
-    return x.select("set", "qid", "answer", "_t", F.col("m.mid").alias("mid"), sfx.alias("sfx"))
+    return x.select("set", "qid", "answer", "_null", F.col("m.mid").alias("mid"), sfx.alias("sfx"))
 
 
 def best(results: DataFrame) -> DataFrame:
