@@ -140,6 +140,9 @@ class CharModel:
         t = nfc(text_col) if normalize else F.col(text_col)
         x = inputs.select(*id_cols, F.col(text_col).isNull().alias("_null"), t.alias("_t"))
         x = x.withColumn("sfx", F.when(~F.col("_null"), scoring_suffix("_t", p.ngram_order))).drop("_t")
+        # Narrow (ids, flag, <= n-1 character suffix) and read by two branches:
+        # keep it so every input row is scanned and normalised once.
+        x = _persist(x, True)
         sfx = x.select("sfx").where(F.col("sfx").isNotNull()).distinct()
         lv = pred_ops.matched_levels(sfx, self.levels())
         stats = self.base_stats()
