@@ -76,7 +76,7 @@ def base_ranking_prefix(base: DataFrame, alpha: float, stats: BaseStats, length:
 
 
 def levels(context_chars: DataFrame, base: DataFrame, keys: Sequence[str] = (),
-           vocab_size: int | None = None) -> DataFrame:
+           vocab_size: int | None = None, extra_cols: Sequence[str] = ()) -> DataFrame:
     """Per context the counts needed by M3/M4 and the base count of each of its
     characters: ``(keys..., context, ctx_len, total, n_types, ents)`` with
     ``ents: array<struct<ch, cnt, bc>>``.  ``total`` and ``n_types`` are taken
@@ -85,10 +85,12 @@ def levels(context_chars: DataFrame, base: DataFrame, keys: Sequence[str] = (),
     if vocab_size is not None and vocab_size <= BROADCAST_VOCAB_LIMIT:
         b = F.broadcast(b)
     joined = context_chars.join(b, "ch", "left")
+    extra = [F.max(c).alias(c) for c in extra_cols]  # constant per context
     return joined.groupBy(*keys, "context", "ctx_len").agg(
         F.sum("cnt").alias("total"),
         F.count(F.lit(1)).alias("n_types"),
         F.collect_list(F.struct("ch", "cnt", "bc")).alias("ents"),
+        *extra,
     )
 
 

@@ -78,7 +78,9 @@ def trim(pairs: DataFrame, min_context_count, max_contexts, max_chars_per_contex
          keys: Sequence[str] = (), ranked: bool = False) -> DataFrame:
     """A5 + A6 (total >= min) + L6 (top contexts) + L7 (top next characters).
 
-    Returns ``(keys..., context, ctx_len, ch, cnt, first_seen, ctx_rank, char_rank)``.
+    Returns ``(keys..., context, ctx_len, ch, cnt, first_seen, ctx_rank, char_rank,
+    ctx_total)``; ``ctx_total`` is the total the context was ranked and tested by
+    (before L7).
     ``max_contexts <= 0`` means no cap; ``max_chars_per_context <= 0`` keeps nothing.
     ``min_context_count`` and ``max_contexts`` may name columns that are
     constant within each model (the grid search's per-model parameters); a
@@ -101,15 +103,16 @@ def trim(pairs: DataFrame, min_context_count, max_contexts, max_chars_per_contex
     totals = ordinal(totals, _context_order(ranked), work_keys, name="_new_ctx_rank")
     if capped:
         totals = totals.where(F.col("_new_ctx_rank") <= _val(max_contexts))
-    kept = totals.select(*work_keys, "context", "_new_ctx_rank")
+    kept = totals.select(*work_keys, "context", "_new_ctx_rank", F.col("total").alias("_ctx_total"))
 
     body = pairs.join(kept, on=[*work_keys, "context"], how="inner")
     per_ctx = Window.partitionBy(*work_keys, "context").orderBy(*_char_order(ranked))
     body = body.withColumn("_new_char_rank", F.row_number().over(per_ctx)).where(
         F.col("_new_char_rank") <= max_chars_per_context)
+    body = body.drop("ctx_total")
     if ranked:
         body = body.drop("ctx_rank", "char_rank")
-    body = body.withColumnRenamed("_new_ctx_rank", "ctx_rank").withColumn(
+    body = body.withColumnRenamed("_new_ctx_rank", "ctx_rank").withColumnRenamed("_ctx_total", "ctx_total").withColumn(
         "char_rank", F.col("_new_char_rank").cast("int")).drop("_new_char_rank")
-    cols = [*keys, "context", "ctx_len", "ch", "cnt", "first_seen", "ctx_rank", "char_rank"]
+    cols = [*keys, "context", "ctx_len", "ch", "cnt", "first_seen", "ctx_rank", "char_rank", "ctx_total"]
     return body.select(*cols)

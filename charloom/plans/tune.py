@@ -86,16 +86,23 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
         # P3's own trim with the fit defaults, per order.
         by_order = trim(by_order, fit_params.min_context_count, fit_params.max_contexts, K,
                         keys=["ngram_order"])
-    per_model = by_order.join(F.broadcast(model_df), "ngram_order")
-    trimmed = trim(per_model, "min_cc", "max_ctx", K, keys=["mid", "min_cc", "max_ctx"], ranked=pretrim)
-    trimmed = trimmed.drop("min_cc", "max_ctx").persist(StorageLevel.MEMORY_AND_DISK)
+    # Within one order every (min, cap) model ranks contexts the same way (total
+    # desc, then the same tie key) and keeps the same K characters per context,
+    # so a model is the prefix "ctx_total >= min and ctx_rank <= cap" of ONE
+    # trim with the loosest bounds.  No count is copied per model; the filter is
+    # applied to the matched levels inside the scoring row.
+    caps = list(grid["max_contexts"])
+    loosest_cap = 0 if any(c <= 0 for c in caps) else max(caps)
+    trimmed = trim(by_order, min(grid["min_context_count"]), loosest_cap, K, keys=["ngram_order"], ranked=pretrim)
+    trimmed = trimmed.persist(StorageLevel.MEMORY_AND_DISK)
 
     stats = BaseStats(raw.total_bigram_types > 0,
                       raw.total_bigram_types if raw.total_bigram_types > 0 else
                       int(raw.unigram.agg(F.sum("cnt")).first()[0] or 0),
                       max(1, raw.continuation.count() if raw.total_bigram_types > 0 else raw.n_unigram_types))
     base = scoring.base_counts(raw.unigram, raw.continuation, stats)
-    levels = scoring.levels(trimmed, base, keys=["mid"], vocab_size=stats.vb)
+    levels = scoring.levels(trimmed, base, keys=["ngram_order"], vocab_size=stats.vb,
+                            extra_cols=("ctx_total", "ctx_rank"))
 
     defaults = list(BUILTIN_DEFAULT_CHARS)
     if raw.n_unigram_types > 0:
@@ -115,16 +122,29 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     # The null test reads the raw text: NFC keeps nulls null, and the UDF's
     # output then feeds projections only (never an aggregate expression).
     sets = sets.withColumn("_null", F.col("text").isNull()).withColumn("_t", nfc("text"))
-    x = _inputs_per_model(sets, model_df)
-    sfx = x.select("mid", "sfx").where(F.col("sfx").isNotNull()).distinct()
-    lv = pred_ops.matched_levels(sfx, levels, keys=["mid"])
-    lv = lv.select("mid", "sfx", "lv", F.explode(F.array(*scorings)).alias("sc"))
+    x = _inputs_per_order(sets, orders)
+    sfx = x.select("ngram_order", "sfx").where(F.col("sfx").isNotNull()).distinct()
+    lv = pred_ops.matched_levels(sfx, levels, keys=["ngram_order"], extra=("ctx_total", "ctx_rank"))
+    model_lit = F.array(*[F.struct(F.lit(mid).alias("mid"), F.lit(n).alias("n"), F.lit(m).alias("min_cc"),
+                                   F.lit(c).alias("max_ctx")) for mid, n, m, c in models])
+    per_model = F.explode(F.filter(model_lit, lambda m: m["n"] == F.col("ngram_order")))
+    lv = lv.select("ngram_order", "sfx", "lv", per_model.alias("m"))
+    keep = F.filter("lv", lambda x: (x["ctx_total"] >= F.col("m.min_cc"))
+                    & ((F.col("m.max_ctx") <= 0) | (x["ctx_rank"] <= F.col("m.max_ctx"))))
+    lv = lv.select("ngram_order", "sfx", F.col("m.mid").alias("mid"), keep.alias("lv"),
+                   F.explode(F.array(*scorings)).alias("sc"))
     scored = pred_ops.score_rows(lv, F.col("sc.D"), F.col("sc.A"), F.col("sc.DEN"), k, F.col("sc.R"),
                                  pred_ops._lit_str_array(defaults))
-    scored = scored.select("mid", "sfx", F.col("sc.D").alias("kn_discount"), F.col("sc.A").alias("laplace_alpha"),
-                           F.array_join("guesses", "").alias("pred"))
+    scored = scored.select("ngram_order", "sfx", "mid", F.col("sc.D").alias("kn_discount"),
+                           F.col("sc.A").alias("laplace_alpha"), F.array_join("guesses", "").alias("pred"))
     fallback = "".join(pred_ops.fallback_guesses(defaults, k))
-    j = x.join(scored, ["mid", "sfx"], "left")
+    # Every input meets every grid point of its order (bounded: inputs x grid);
+    # inputs with a null text have no suffix and get the fallback.
+    point_rows = [(mid, n, float(d), float(a)) for mid, n, _, _ in models
+                  for d, a in itertools.product(grid["kn_discount"], grid["laplace_alpha"])]
+    all_points = spark.createDataFrame(point_rows, "mid int, ngram_order int, kn_discount double, laplace_alpha double")
+    j = x.join(F.broadcast(all_points), "ngram_order").join(
+        scored, ["ngram_order", "sfx", "mid", "kn_discount", "laplace_alpha"], "left")
     pred = F.when(F.col("_null"), F.lit(fallback)).otherwise(F.col("pred"))
     hit = F.contains(F.coalesce(pred, F.lit("")), F.col("answer"))
     acc = j.groupBy("mid", "kn_discount", "laplace_alpha").agg(
@@ -149,16 +169,14 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     return res.select(*RESULT_COLUMNS)
 
 
-def _inputs_per_model(sets: DataFrame, model_df: DataFrame) -> DataFrame:
-    """Every input row once per model of the grid (bounded: #inputs x #models),
-    with that model's scoring suffix."""
-    ids = model_df.select("mid", "ngram_order").collect()
-    per = F.explode(F.array(*[F.struct(F.lit(r["mid"]).alias("mid"), F.lit(r["ngram_order"]).alias("n"))
-                              for r in ids]))
-    x = sets.select("set", "qid", "answer", "_null", "_t", per.alias("m"))
-    n1 = F.col("m.n") - 1
-    sfx = F.when(F.col("_t").isNull(), F.lit(None)).when(n1 > 0, F.right("_t", n1)).otherwise(F.lit(""))
-    return x.select("set", "qid", "answer", "_null", F.col("m.mid").alias("mid"), sfx.alias("sfx"))
+def _inputs_per_order(sets: DataFrame, orders: Sequence[int]) -> DataFrame:
+    """Every input row once per order of the grid (bounded: #inputs x #orders),
+    with that order's scoring suffix."""
+    per = F.explode(F.array(*[F.lit(n) for n in orders]))
+    x = sets.select("set", "qid", "answer", "_null", "_t", per.alias("ngram_order"))
+    n1 = F.col("ngram_order") - 1
+    sfx = F.when(F.col("_null"), F.lit(None)).when(n1 > 0, F.right("_t", n1)).otherwise(F.lit(""))
+    return x.select("set", "qid", "answer", "_null", "ngram_order", sfx.alias("sfx"))
 
 
 def best(results: DataFrame) -> DataFrame:
