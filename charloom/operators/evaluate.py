@@ -60,9 +60,31 @@ def compare(preds_by_model: Mapping[str, DataFrame], gold: DataFrame,
     return out
 
 
-def winner(comparison: DataFrame) -> DataFrame:
-    """M11 over the (small, one row per model) comparison table."""
+def require_aligned(inputs: DataFrame, gold: DataFrame) -> None:
+    """J5 as the reference applies it: stop when inputs and answers differ in size
+    or keys (one count action)."""
+    bad = check_aligned(inputs, gold).count()
+    if bad:
+        raise ValueError(f"Mismatched input/answer rows: {bad} qid(s) on one side only")
+
+
+def winner(comparison: DataFrame, tolerance: float = 1e-12) -> DataFrame:
+    """M11 over the comparison table (one row per model, so the unpartitioned
+    windows below are small): the most accurate model, the earlier one on ties;
+    with a ``seconds`` column and more than one model within ``tolerance`` of the
+    best accuracy, also the fastest of those (the earlier one on ties)."""
     from pyspark.sql import Window
-    w = Window.orderBy(F.col("acc").desc(), F.col("model_order").asc())
-    best = comparison.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-    return best.select(F.col("model").alias("winner_by_acc"), "acc")
+    everything = Window.partitionBy()
+    t = comparison.withColumn("_best", F.max("acc").over(everything))
+    t = t.withColumn("_tied", F.abs(F.col("acc") - F.col("_best")) < tolerance)
+    t = t.withColumn("_n_tied", F.sum(F.col("_tied").cast("int")).over(everything))
+    by_acc = F.row_number().over(Window.orderBy(F.col("acc").desc(), F.col("model_order").asc()))
+    t = t.withColumn("_r", by_acc)
+    cols = [F.first(F.when(F.col("_r") == 1, F.col("model")), ignorenulls=True).alias("winner_by_acc"),
+            F.max("_best").alias("acc")]
+    if "seconds" in comparison.columns:
+        by_speed = Window.orderBy((~F.col("_tied")).asc(), F.col("seconds").asc(), F.col("model_order").asc())
+        t = t.withColumn("_s", F.row_number().over(by_speed))
+        cols.append(F.first(F.when((F.col("_s") == 1) & (F.col("_n_tied") > 1), F.col("model")),
+                            ignorenulls=True).alias("tie_breaker_by_speed"))
+    return t.agg(*cols)

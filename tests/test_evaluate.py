@@ -49,3 +49,17 @@ def test_compare_and_winner(spark):
     assert evaluate.winner(tie).first().winner_by_acc == "A"
     assert evaluate.check_aligned(gold, gold).count() == 0
     assert evaluate.check_aligned(a.select("qid"), gold.where("qid = 0")).count() == 1
+
+
+def test_winner_speed_tie_breaker(spark):
+    gold = spark.createDataFrame([(0, "a"), (1, "b")], "qid long, answer string")
+    a = spark.createDataFrame([(0, "abc"), (1, "xyz")], "qid long, pred string")
+    cmp = evaluate.compare({"A": a, "B": a}, gold, seconds={"A": 2.0, "B": 1.0})
+    row = evaluate.winner(cmp).first()
+    assert (row.winner_by_acc, row.tie_breaker_by_speed) == ("A", "B")
+    b = spark.createDataFrame([(0, "abc"), (1, "bbb")], "qid long, pred string")
+    row = evaluate.winner(evaluate.compare({"A": a, "B": b}, gold, seconds={"A": 2.0, "B": 1.0})).first()
+    assert (row.winner_by_acc, row.tie_breaker_by_speed) == ("B", None)
+    with pytest.raises(ValueError):
+        evaluate.require_aligned(a, gold.where("qid = 0"))
+    evaluate.require_aligned(a, gold)

@@ -70,3 +70,19 @@ def test_write_dev_set_aligned(spark):
     files.write_dev_set(dev, d, partitions=4)
     assert files.read_ordered_text(spark, os.path.join(d, "dev_input")) == [f"line {i}" for i in range(50)]
     assert files.read_ordered_text(spark, os.path.join(d, "dev_answer")) == [str(i % 10) for i in range(50)]
+
+
+def test_write_prepared_and_results(spark):
+    from charloom.operators import corpus as C
+    d = tempfile.mkdtemp(prefix="charloom-out-")
+    rows = spark.createDataFrame([(1, "en", "Hello   world!"), (2, "de", "Guten\nTag zusammen"), (3, "en", "short"),
+                                  (4, "en", "Another fine line")], "doc_id long, lang string, text string")
+    prepared = C.prepare(rows, 5, 10, 1000)
+    files.write_prepared(prepared, os.path.join(d, "prep"))
+    en = files.read_ordered_text(spark, os.path.join(d, "prep", "grp=en"))
+    de = files.read_ordered_text(spark, os.path.join(d, "prep", "grp=de"))
+    assert sorted(en) == ["Another fine line", "Hello world!"] and de == ["Guten Tag zusammen"]
+    res = spark.createDataFrame([(0, 0.5, 2), (1, 0.9, 1)], "grid_idx long, dev_acc double, rank long")
+    files.write_results(res, os.path.join(d, "res"))
+    back = spark.read.option("header", True).csv(os.path.join(d, "res")).collect()
+    assert [r.grid_idx for r in back] == ["1", "0"]
