@@ -4,9 +4,10 @@
 row into one task, and ``partitionBy(g)`` puts a hot group (one language can
 hold a third of the corpus) into one task.  ``ordinal`` instead range-sorts the
 rows over the whole cluster, tags each row with its position inside its sorted
-partition, and adds the sizes of the earlier partitions, which come from a
-table with one row per (partition, group): its size is bounded by the number of
-shuffle partitions times the groups inside each, so it is broadcast.
+partition, checkpoints the tagged rows (so every reader sees one partitioning),
+and adds the sizes of the earlier partitions, which come from a table with one
+row per (partition, group): its size is bounded by the number of shuffle
+partitions times the groups inside each, so it is broadcast.
 """
 
 from __future__ import annotations
@@ -32,6 +33,13 @@ def ordinal(df: DataFrame, order_by: Sequence[Column | str], partition_by: Seque
     keys = [_as_col(c) for c in parts] + [_as_col(c) for c in order_by]
     tagged = df.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", _ROWS_PER_PARTITION_BITS))
+    # The per-partition counts and the rows must see the SAME partitioning.
+    # Evaluated twice, the range sort can be sampled or coalesced differently, so
+    # the tagged rows are written once to the shared checkpoint folder (this also
+    # keeps them stable when an executor is lost).
+    from charloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     stats = tagged.groupBy("_pid", *parts).agg(F.count(F.lit(1)).alias("_n"),
                                                F.min("_mid").alias("_m0"))
     before = Window.partitionBy(*parts).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

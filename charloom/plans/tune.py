@@ -127,15 +127,24 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     lv = pred_ops.matched_levels(sfx, levels, keys=["ngram_order"], extra=("ctx_total", "ctx_rank"))
     model_lit = F.array(*[F.struct(F.lit(mid).alias("mid"), F.lit(n).alias("n"), F.lit(m).alias("min_cc"),
                                    F.lit(c).alias("max_ctx")) for mid, n, m, c in models])
-    per_model = F.explode(F.filter(model_lit, lambda m: m["n"] == F.col("ngram_order")))
-    lv = lv.select("ngram_order", "sfx", "lv", per_model.alias("m"))
-    keep = F.filter("lv", lambda x: (x["ctx_total"] >= F.col("m.min_cc"))
-                    & ((F.col("m.max_ctx") <= 0) | (x["ctx_rank"] <= F.col("m.max_ctx"))))
-    lv = lv.select("ngram_order", "sfx", F.col("m.mid").alias("mid"), keep.alias("lv"),
+    # Models of this row's order and, per model, the matched levels it keeps.
+    # Models that keep the same levels score identically, so each distinct set
+    # of kept levels is scored once and fanned out to its model ids afterwards.
+    def keeps(x, m):
+        return (x["ctx_total"] >= m["min_cc"]) & ((m["max_ctx"] <= 0) | (x["ctx_rank"] <= m["max_ctx"]))
+
+    mine = F.filter(model_lit, lambda m: m["n"] == F.col("ngram_order"))
+    with_sig = F.transform(mine, lambda m: F.struct(
+        m["mid"].alias("mid"), F.transform(F.filter("lv", lambda x: keeps(x, m)), lambda x: x["L"]).alias("sig")))
+    groups = F.transform(F.array_distinct(F.transform(with_sig, lambda w: w["sig"])), lambda sg: F.struct(
+        sg.alias("sig"), F.transform(F.filter(with_sig, lambda w: w["sig"] == sg), lambda w: w["mid"]).alias("mids")))
+    lv = lv.select("ngram_order", "sfx", "lv", F.explode(groups).alias("g"))
+    keep = F.filter("lv", lambda x: F.array_contains(F.col("g.sig"), x["L"]))
+    lv = lv.select("ngram_order", "sfx", F.col("g.mids").alias("mids"), keep.alias("lv"),
                    F.explode(F.array(*scorings)).alias("sc"))
     scored = pred_ops.score_rows(lv, F.col("sc.D"), F.col("sc.A"), F.col("sc.DEN"), k, F.col("sc.R"),
                                  pred_ops._lit_str_array(defaults))
-    scored = scored.select("ngram_order", "sfx", "mid", F.col("sc.D").alias("kn_discount"),
+    scored = scored.select("ngram_order", "sfx", F.explode("mids").alias("mid"), F.col("sc.D").alias("kn_discount"),
                            F.col("sc.A").alias("laplace_alpha"), F.array_join("guesses", "").alias("pred"))
     fallback = "".join(pred_ops.fallback_guesses(defaults, k))
     # Every input meets every grid point of its order (bounded: inputs x grid);
