@@ -21,20 +21,25 @@ from charloom.operators.ranking import ordinal
 
 def cap_first_n(corpus: DataFrame, n: int) -> DataFrame:
     """L1: the first ``n`` non-empty lines in (grp_idx, line_id) order; ``take_rank``
-    is the position in that order.  ``n <= 0`` keeps nothing (SURVEY 2.9-j)."""
+    is the position in that order.  ``n <= 0`` keeps nothing (SURVEY 2.9-j).
+    Only the keys are ranked; the text joins back to the <= n chosen keys."""
     kept = corpus.where(F.col("text") != "")
-    ranked = ordinal(kept, [F.col("grp_idx"), F.col("line_id")], name="take_rank")
-    return ranked.where(F.col("take_rank") <= n)
+    keys = ordinal(kept.select("grp_idx", "line_id"), [F.col("grp_idx"), F.col("line_id")], name="take_rank")
+    chosen = keys.where(F.col("take_rank") <= n).select("grp_idx", "line_id", "take_rank")
+    return kept.join(chosen, ["grp_idx", "line_id"])
 
 
 def cap_round_robin(corpus_with_blanks: DataFrame, n: int) -> DataFrame:
     """L2: take line r of every group before line r+1 of any group.  ``rr`` counts
     blank lines too (a blank line uses up its group's turn), then blanks are
-    dropped and the first ``n`` lines in (rr, grp_idx) order are kept."""
-    turns = ordinal(corpus_with_blanks, [F.col("line_id")], partition_by=["grp"], name="rr")
-    kept = turns.where(F.col("text") != "")
-    ranked = ordinal(kept, [F.col("rr"), F.col("grp_idx")], name="take_rank")
-    return ranked.where(F.col("take_rank") <= n)
+    dropped and the first ``n`` lines in (rr, grp_idx) order are kept.  Ranking
+    runs on the narrow key table; the text joins back to the chosen keys."""
+    narrow = corpus_with_blanks.select("grp", "grp_idx", "line_id", (F.col("text") == "").alias("_blank"))
+    turns = ordinal(narrow, [F.col("line_id")], partition_by=["grp"], name="rr")
+    ranked = ordinal(turns.where(~F.col("_blank")).select("grp_idx", "line_id", "rr"),
+                     [F.col("rr"), F.col("grp_idx")], name="take_rank")
+    chosen = ranked.where(F.col("take_rank") <= n)
+    return corpus_with_blanks.join(chosen, ["grp_idx", "line_id"])
 
 
 def load_capped(corpus_with_blanks: DataFrame, max_lines: int | None = None,
@@ -90,8 +95,9 @@ def dev_random(corpus: DataFrame, size: int, seed: int = 42, min_len: int = 2,
     form); the script form splits raw lines."""
     t = nfc("text") if normalize_first else F.col("text")
     base = corpus.select("line_id", "grp", t.alias("_line")).where(F.length("_line") >= min_len)
-    base = base.withColumn("_key", sample_key(seed, F.col("line_id")))
-    picked = ordinal(base, [F.col("_key"), F.col("line_id")], name="qid").where(F.col("qid") <= size)
+    keys = base.select("line_id", sample_key(seed, F.col("line_id")).alias("_key"))
+    picked = ordinal(keys, [F.col("_key"), F.col("line_id")], name="qid").where(F.col("qid") <= size)
+    picked = base.join(picked.select("line_id", "qid"), "line_id")
     prefix, answer = split_example(F.col("_line"))
     return picked.select("qid", "line_id", "grp", prefix.alias("text"), answer.alias("answer"))
 
@@ -105,8 +111,9 @@ def dev_balanced(corpus: DataFrame, per_group: int, seed: int = 42, min_len: int
     base = base.withColumn("_key", sample_key(seed, F.col("line_id")))
     w = Window.partitionBy("grp").orderBy("_key", "line_id")
     picked = base.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= per_group)
-    picked = picked.withColumn("_key2", sample_key(seed, F.col("line_id"), salt="#"))
-    picked = ordinal(picked, [F.col("_key2"), F.col("line_id")], name="qid")
+    keys = picked.select("line_id", sample_key(seed, F.col("line_id"), salt="#").alias("_key2"))
+    order = ordinal(keys, [F.col("_key2"), F.col("line_id")], name="qid").select("line_id", "qid")
+    picked = picked.join(order, "line_id")
     prefix, answer = split_example(F.col("_line"))
     return picked.select("qid", "line_id", "grp", prefix.alias("text"), answer.alias("answer"))
 
