@@ -246,6 +246,12 @@ def q_compare_models(spark, sf):
     return cmp.select("model", "correct", "total", "acc")
 
 
+def q_compare_winner(spark, sf):
+    cmp = q_compare_models(spark, sf).withColumn(
+        "model_order", F.when(F.col("model") == "baseline", 0).otherwise(1))
+    return evaluate.winner(cmp)
+
+
 def q_prune_model(spark, sf):
     return _cc_cols(_model(spark, sf, SMALL).prune(*PRUNE).context_chars)
 
@@ -417,6 +423,11 @@ SELECT model, correct, total, CASE WHEN total > 0 THEN CAST(correct AS DOUBLE) /
   UNION ALL
   SELECT 'kn_initial', CAST(count_if(contains(coalesce(p.pred, ''), d.answer)) AS BIGINT),
          CAST(count(*) AS BIGINT) FROM dev d LEFT JOIN b_pred p USING (qid))""")
+    q["compare_winner"] = q["compare_models"].replace(
+        "\nSELECT model, correct, total,", "\n, cmp AS (SELECT model, correct, total,", 1) + """)
+SELECT (SELECT model FROM cmp ORDER BY acc DESC, CASE model WHEN 'baseline' THEN 0 ELSE 1 END LIMIT 1)
+         AS winner_by_acc,
+       (SELECT max(acc) FROM cmp) AS acc"""
     q["prune_model"] = _ws(_head(3) + _cfg_ctes(s, "m") + [
         O.trim_ctes("m_trim", "pr", PRUNE[0], PRUNE[1], PRUNE[2], ranked=True)], CC.format(t="pr"))
     q["retrim_model"] = _ws(_head(3) + _cfg_ctes(s, "m") + [
