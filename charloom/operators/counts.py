@@ -43,6 +43,12 @@ def unpack_position(col):
 
 
 
+# Lines longer than this many code points are cut into chunks of this size, each
+# carrying the n-1 characters before it, so no task ever holds the character
+# array of a whole multi-megabyte line.
+LINE_CHUNK = 8192
+
+
 def position_windows(corpus: DataFrame, order: int) -> DataFrame:
     """G1: one row per (line, position): ``win`` = up to ``order-1`` previous
     characters + the character at the position, ``pos`` 0-based.  Positions whose
@@ -50,15 +56,30 @@ def position_windows(corpus: DataFrame, order: int) -> DataFrame:
     if order < 1:
         raise ValueError("order must be >= 1")
     n1 = order - 1
-    # posexplode of the character array, then one slice per position: generator
-    # and slice both run in whole-stage codegen (a transform() lambda would not).
-    with_chars = corpus.where(F.length("text") > 0).select(
-        "line_id", F.split(F.col("text"), "").alias("_chars"))
-    ex = with_chars.select("line_id", "_chars", F.posexplode("_chars").alias("pos", "_ch"))
-    ex = ex.where(~F.col("_ch").isin(*NEWLINES))
-    i = F.col("pos") + 1
+    chunk = max(LINE_CHUNK, order)
+    text = F.col("text")
+    # Exact code-point chunks: Java's '.' consumes one code point, (?s) includes
+    # line breaks.  Short lines are a single chunk and skip the regex.
+    chunks = F.when(F.length(text) > chunk,
+                    F.regexp_extract_all(text, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))).otherwise(F.array(text))
+    x = corpus.where(F.length("text") > 0).select("line_id", chunks.alias("_chunks"))
+    x = x.select("line_id", "_chunks", F.posexplode("_chunks").alias("_c", "_chunk"))
+    if n1 > 0:
+        prev = F.when(F.col("_c") > 0, F.right(F.element_at("_chunks", F.col("_c")), F.lit(n1))).otherwise(F.lit(""))
+    else:
+        prev = F.lit("")
+    # The character array is a column of its own: referenced inside an
+    # expression it would be re-split for every position.
+    y = x.select("line_id", "_c", F.length(prev).alias("_ov"),
+                 F.split(F.concat(prev, F.col("_chunk")), "").alias("_chars"))
+    ex = y.select("line_id", "_c", "_ov", "_chars", F.posexplode("_chars").alias("_p", "_ch"))
+    ex = ex.where((F.col("_p") >= F.col("_ov")) & ~F.col("_ch").isin(*NEWLINES))
+    # posexplode + one slice per position run in whole-stage codegen (a
+    # transform() lambda would not).
+    i = F.col("_p") + 1
     win = F.array_join(F.slice("_chars", F.greatest(i - n1, F.lit(1)), F.least(i, F.lit(n1 + 1))), "")
-    return ex.select("line_id", "pos", win.alias("win"))
+    pos = F.col("_c").cast("long") * chunk + (F.col("_p") - F.col("_ov"))
+    return ex.select("line_id", pos.alias("pos"), win.alias("win"))
 
 
 def window_counts(corpus: DataFrame, order: int) -> DataFrame:
