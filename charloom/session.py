@@ -28,6 +28,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Rankings checkpoint their sorted keys; drop the files once unreferenced.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # See functions.text._allow_python_udf_in_joins.
         .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CHARLOOM_DRIVER_MEMORY", "16g"))
