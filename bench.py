@@ -118,7 +118,6 @@ def main():
                       "queries": {k: round(v, 3) for k, v in times.items()},
                       "extra": {k: (round(v, 6) if isinstance(v, float) else v) for k, v in extra.items()},
                       "sf": os.path.basename(sf.rstrip("/")).removeprefix("sf")}))
-    _ = F
 
 
 if __name__ == "__main__":

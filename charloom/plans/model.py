@@ -149,10 +149,10 @@ class CharModel:
         a = float(p.laplace_alpha)
         scored = pred_ops.score_rows(
             lv, F.lit(float(p.kn_discount)), F.lit(a), F.lit(float(stats.denominator(a))), k,
-            pred_ops._lit_ranking(self.ranking_prefix(k)),
-            pred_ops._lit_str_array(self.default_chars)).select("sfx", "guesses")
+            pred_ops.lit_ranking(self.ranking_prefix(k)),
+            pred_ops.lit_str_array(self.default_chars)).select("sfx", "guesses")
         out = x.join(scored, "sfx", "left")
-        fallback = pred_ops._lit_str_array(pred_ops.fallback_guesses(self.default_chars, k))
+        fallback = pred_ops.lit_str_array(pred_ops.fallback_guesses(self.default_chars, k))
         guesses = F.when(F.col("_null"), fallback).otherwise(F.col("guesses"))
         out = out.select(*id_cols, guesses.alias("guesses"))
         return out.select(*id_cols, F.array_join("guesses", "").alias("pred"), "guesses")

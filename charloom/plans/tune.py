@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from charloom.functions.text import nfc
 from charloom.operators import predict as pred_ops
 from charloom.operators import scoring
-from charloom.operators.ranking import ordinal
 from charloom.operators.scoring import BaseStats
 from charloom.operators.trim import trim
 from charloom.plans.model import (BUILTIN_DEFAULT_CHARS, ModelParams, count_corpus, frequent_chars,
@@ -113,7 +112,7 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
         rp = scoring.base_ranking_prefix(base, a, stats, prefix_len)
         scorings.append(F.struct(F.lit(float(d)).alias("D"), F.lit(float(a)).alias("A"),
                                  F.lit(float(stats.denominator(a))).alias("DEN"),
-                                 pred_ops._lit_ranking(rp).alias("R")))
+                                 pred_ops.lit_ranking(rp).alias("R")))
 
     # Inputs: every set x every model, scored once per distinct (model, suffix).
     ex_name = next(iter(examples))
@@ -143,7 +142,7 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     lv = lv.select("ngram_order", "sfx", F.col("g.mids").alias("mids"), keep.alias("lv"),
                    F.explode(F.array(*scorings)).alias("sc"))
     scored = pred_ops.score_rows(lv, F.col("sc.D"), F.col("sc.A"), F.col("sc.DEN"), k, F.col("sc.R"),
-                                 pred_ops._lit_str_array(defaults))
+                                 pred_ops.lit_str_array(defaults))
     scored = scored.select("ngram_order", "sfx", F.explode("mids").alias("mid"), F.col("sc.D").alias("kn_discount"),
                            F.col("sc.A").alias("laplace_alpha"), F.array_join("guesses", "").alias("pred"))
     fallback = "".join(pred_ops.fallback_guesses(defaults, k))
@@ -193,4 +192,4 @@ def best(results: DataFrame) -> DataFrame:
     return results.where(F.col("rank") == 1)
 
 
-__all__ = ["grid_search", "grid_points", "best", "REFERENCE_GRID", "SMALL_GRID", "ordinal"]
+__all__ = ["grid_search", "grid_points", "best", "REFERENCE_GRID", "SMALL_GRID"]

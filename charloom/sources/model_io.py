@@ -12,7 +12,6 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from charloom.plans.model import BUILTIN_DEFAULT_CHARS, CharModel, ModelParams
 
@@ -64,4 +63,4 @@ def model_size_bytes(path: str) -> int:
     return total
 
 
-__all__ = ["save", "load", "scratch_path", "model_size_bytes", "F"]
+__all__ = ["save", "load", "scratch_path", "model_size_bytes"]

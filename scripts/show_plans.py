@@ -11,8 +11,6 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from charloom.operators import counts  # noqa: E402
 from charloom.operators.trim import trim  # noqa: E402
 from charloom.plans import queries as Q  # noqa: E402
@@ -45,7 +43,6 @@ def main():
     tree(model.predict(dev), "Predict (P5)")
     from charloom.operators import evaluate
     tree(evaluate.grade(model.predict(dev), dev), "Grade (P6)")
-    _ = F
 
 
 if __name__ == "__main__":

@@ -1,7 +1,6 @@
 """Window counting: chunked long lines give exactly the unchunked windows."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from charloom.operators import counts
 
@@ -20,4 +19,3 @@ def test_chunked_windows_equal_whole_lines(spark, small_corpus, monkeypatch, ord
     exp = sorted((i, s[max(0, i - order + 1): i + 1]) for i, ch in enumerate(s) if ch not in "\n\r")
     got = sorted((r.pos, r.win) for r in chunked if r.line_id == 10**9)
     assert got == exp
-    _ = F
