@@ -223,6 +223,10 @@ def count_corpus(corpus: DataFrame, order: int, cache: bool = True) -> RawCounts
     pairs = _persist(pairs, cache) if order >= 2 else pairs
     uni = _persist(counts.unigram_counts(wins), cache)
     cont = _persist(counts.continuation_counts(pairs if order >= 2 else all_pairs), cache)
-    agg = cont.agg(F.sum("cont").alias("t")).first()
-    n_uni = uni.count()
+    agg = cont.agg(F.sum("cont").alias("t")).first()   # materialises pairs and cont
+    n_uni = uni.count()                                  # materialises uni
+    if cache and order >= 2:
+        # Everything downstream reads pairs / uni / cont; the per-window table
+        # (the largest intermediate) is no longer needed.
+        wins.unpersist(blocking=False)
     return RawCounts(pairs, uni, cont, int(agg["t"] or 0), int(n_uni))

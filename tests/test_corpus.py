@@ -78,3 +78,28 @@ def test_samples(spark, small_corpus):
     stats = {r.grp: (r.taken, r.available) for r in C.dev_balanced_stats(small_corpus, 25).collect()}
     assert per == {g: t for g, (t, _) in stats.items()}
     assert C.holdout(small_corpus, a).count() == small_corpus.count() - 300
+
+
+def test_load_capped_and_groups(spark, small_corpus):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    with_blank = corpus_lines(docs, keep_blank=True)
+    assert C.load_capped(with_blank).count() == small_corpus.count()
+    first = {r.line_id for r in C.load_capped(with_blank, 400).collect()}
+    assert first == {r.line_id for r in C.cap_first_n(small_corpus, 400).collect()}
+    rr = {r.line_id for r in C.load_capped(with_blank, 400, balanced=True).collect()}
+    assert rr == {r.line_id for r in C.cap_round_robin(with_blank, 400).collect()}
+    one_group = with_blank.where(F.col("grp") == "en")
+    assert {r.line_id for r in C.load_capped(one_group, 50, balanced=True).collect()} == \
+        {r.line_id for r in C.cap_first_n(one_group.where(F.col("text") != ""), 50).collect()}
+    groups = C.resolve_groups(docs, ["src1*", "*5"], "source").orderBy("grp_idx").collect()
+    names = sorted({r.source for r in docs.select("source").distinct().collect()
+                    if r.source.startswith("src1") or r.source.endswith("5")})
+    assert [g.grp for g in groups] == names and [g.grp_idx for g in groups] == list(range(len(names)))
+
+
+def test_dev_random_normalize_first(spark):
+    rows = spark.createDataFrame([(1, "g", "ab"), (2, "g", "ć"), (3, "g", "xyz")],
+                                 "line_id long, grp string, text string")
+    raw = {r.line_id: (r.text, r.answer) for r in C.dev_random(rows, 10).collect()}
+    nf = {r.line_id: (r.text, r.answer) for r in C.dev_random(rows, 10, normalize_first=True).collect()}
+    assert raw[2] == ("c", "́") and 2 not in nf and nf[1] == ("a", "b")
