@@ -107,12 +107,12 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     if raw.n_unigram_types > 0:
         defaults = merge_defaults(frequent_chars(raw.unigram, K), defaults)
     prefix_len = k + (max(orders) - 1) * K
-    scorings = []
-    for d, a in itertools.product(grid["kn_discount"], grid["laplace_alpha"]):
+    discounts = [float(d) for d in grid["kn_discount"]]
+    smoothings = []
+    for a in grid["laplace_alpha"]:
         rp = scoring.base_ranking_prefix(base, a, stats, prefix_len)
-        scorings.append(F.struct(F.lit(float(d)).alias("D"), F.lit(float(a)).alias("A"),
-                                 F.lit(float(stats.denominator(a))).alias("DEN"),
-                                 pred_ops.lit_ranking(rp).alias("R")))
+        smoothings.append(F.struct(F.lit(float(a)).alias("A"), F.lit(float(stats.denominator(a))).alias("DEN"),
+                                   pred_ops.lit_ranking(rp).alias("R")))
 
     # Inputs: every set x every model, scored once per distinct (model, suffix).
     ex_name = next(iter(examples))
@@ -139,12 +139,15 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
         sg.alias("sig"), F.transform(F.filter(with_sig, lambda w: w["sig"] == sg), lambda w: w["mid"]).alias("mids")))
     lv = lv.select("ngram_order", "sfx", "lv", F.explode(groups).alias("g"))
     keep = F.filter("lv", lambda x: F.array_contains(F.col("g.sig"), x["L"]))
+    # The fold depends on D only: fold once per D, then finish once per alpha.
     lv = lv.select("ngram_order", "sfx", F.col("g.mids").alias("mids"), keep.alias("lv"),
-                   F.explode(F.array(*scorings)).alias("sc"))
-    scored = pred_ops.score_rows(lv, F.col("sc.D"), F.col("sc.A"), F.col("sc.DEN"), k, F.col("sc.R"),
-                                 pred_ops.lit_str_array(defaults))
-    scored = scored.select("ngram_order", "sfx", F.explode("mids").alias("mid"), F.col("sc.D").alias("kn_discount"),
-                           F.col("sc.A").alias("laplace_alpha"), F.array_join("guesses", "").alias("pred"))
+                   F.explode(F.array(*[F.lit(d) for d in discounts])).alias("kn_discount"))
+    folded = pred_ops.fold_levels(lv, F.col("kn_discount")).drop("lv")
+    folded = folded.select("*", F.explode(F.array(*smoothings)).alias("sm"))
+    scored = pred_ops.finish_guesses(folded, F.col("sm.A"), F.col("sm.DEN"), k, F.col("sm.R"),
+                                     pred_ops.lit_str_array(defaults))
+    scored = scored.select("ngram_order", "sfx", F.explode("mids").alias("mid"), "kn_discount",
+                           F.col("sm.A").alias("laplace_alpha"), F.array_join("guesses", "").alias("pred"))
     fallback = "".join(pred_ops.fallback_guesses(defaults, k))
     # Every input meets every grid point of its order (bounded: inputs x grid);
     # inputs with a null text have no suffix and get the fallback.
