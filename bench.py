@@ -13,6 +13,7 @@ Runs at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]:
   prune             prune the baseline model to (min 10, 100k, 16)
   save_load         write the model as Parquet and predict from the loaded copy
   grid_small        grid search over 2 orders x 2 trims x 2 discounts x 2 alphas
+  grid_reference_324  (only with BENCH_FULL_GRID=1) the reference's full grid
 Every step forces full execution with a no-op sink (no driver collect).
 """
 
@@ -112,6 +113,13 @@ def main():
     except ImportError:
         pass
 
+    if os.environ.get("BENCH_FULL_GRID") == "1":
+        from charloom.plans import tune
+        t = time.time()
+        res = tune.grid_search(corpus, {"ex": Q._bench_examples(spark, sf)}, dev, grid=tune.REFERENCE_GRID)
+        extra["full_grid_points"] = res.count()
+        times["grid_reference_324"] = time.time() - t
+
     extra["contexts_stored"] = base.context_chars.select("context").distinct().count()
     total = sum(times.values())
     print(json.dumps({"metric": "total_pipeline_sec", "value": round(total, 3), "unit": "sec",
