@@ -20,14 +20,19 @@ def dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def lines_cte(keep_blank: bool = False) -> str:
+def lines_cte(keep_blank: bool = False, split_lines: bool = True) -> str:
     blank = "" if keep_blank else "WHERE nfc_normalize(piece) <> ''"
-    return f"""
-doc_pieces AS (
+    if split_lines:
+        pieces = """
   SELECT doc_id, lang AS grp,
          unnest(string_split(coalesce(text, ''), chr(10))) AS piece,
          unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS piece_no
-  FROM documents),
+  FROM documents"""
+    else:
+        pieces = """
+  SELECT doc_id, lang AS grp, coalesce(text, '') AS piece, 0 AS piece_no FROM documents"""
+    return f"""
+doc_pieces AS ({pieces}),
 grp_index AS (
   SELECT grp, CAST(row_number() OVER (ORDER BY grp) - 1 AS BIGINT) AS grp_idx
   FROM (SELECT DISTINCT lang AS grp FROM documents)),

@@ -126,6 +126,13 @@ def q_context_counts(spark, sf):
                             *_first(raw.pairs))
 
 
+def q_whole_doc_context_counts(spark, sf):
+    docs = corpus_lines(_t(spark, sf, "documents"), split_lines=False)
+    raw = count_corpus(docs, 3)
+    return raw.pairs.select("context", F.col("ctx_len").cast("long").alias("ctx_len"), "ch", "cnt",
+                            *_first(raw.pairs))
+
+
 def q_continuation_counts(spark, sf):
     raw = count_corpus(_corpus(spark, sf), 3)
     return raw.continuation.select("ch", "cont", *_first(raw.continuation))
@@ -371,6 +378,8 @@ FROM lines WHERE length(text) >= 2 GROUP BY grp""")
                               "SELECT line_id, grp, text FROM lines WHERE line_id NOT IN (SELECT line_id FROM dr)")
     q["unigram_counts"] = _ws(_head(3), f"SELECT ch, cnt, {FIRST} FROM uni")
     q["context_counts"] = _ws(_head(3) + [O.pairs_cte(3)], f"SELECT context, ctx_len, ch, cnt, {FIRST} FROM pairs")
+    q["whole_doc_context_counts"] = _ws([O.lines_cte(split_lines=False), O.seq_cte(2), O.counts_ctes(),
+                                         O.pairs_cte(3)], f"SELECT context, ctx_len, ch, cnt, {FIRST} FROM pairs")
     q["continuation_counts"] = _ws(_head(3), f"SELECT ch, cont, {FIRST} FROM cont")
     q["bigram_totals"] = _ws(_head(2), """
 SELECT CAST(t AS BIGINT) AS total_bigram_types, CAST(v_cont AS BIGINT) AS continuation_vocab,

@@ -33,19 +33,22 @@ def group_index(df: DataFrame, group_col: str = "grp", groups: Sequence[str] | N
 
 def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                  group_col: str | None = "lang", groups: Sequence[str] | None = None,
-                 normalize: bool = True, keep_blank: bool = False) -> DataFrame:
+                 normalize: bool = True, keep_blank: bool = False, split_lines: bool = True) -> DataFrame:
     """S2 + F7 + F1 + F4 on a table: split every document into lines, NFC them and
     drop empty lines (``keep_blank`` keeps them, as the round-robin cap needs).
 
-    ``groups`` restricts and orders the groups (the explicit file list); a missing
-    text reads as the empty string (S12)."""
+    ``split_lines=False`` keeps each document whole (SURVEY 2.9-k): its inner
+    newlines are never predicted and never a bigram's left neighbour (F9) but
+    may sit inside contexts.  ``groups`` restricts and orders the groups (the
+    explicit file list); a missing text reads as the empty string (S12)."""
     grp = F.col(group_col) if group_col else F.lit("")
     base = docs.select(F.col(id_col).cast("long").alias("_doc"), grp.cast("string").alias("grp"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     if groups is not None:
         base = base.where(F.col("grp").isin(list(groups)))
     base = spread(base)
-    lines = base.select("_doc", "grp", F.posexplode(F.split("_text", "\n")).alias("_piece", "text"))
+    pieces = F.split("_text", "\n") if split_lines else F.array("_text")
+    lines = base.select("_doc", "grp", F.posexplode(pieces).alias("_piece", "text"))
     lines = lines.select(
         (F.col("_doc") * LINES_PER_DOC + F.col("_piece")).alias("line_id"),
         "grp",

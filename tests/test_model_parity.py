@@ -66,3 +66,20 @@ def test_empty_corpus_pads_from_builtins(spark):
     inputs = spark.createDataFrame([(1, "abc"), (2, None)], "qid long, text string")
     got = {r.qid: r.pred for r in model.predict(inputs).collect()}
     assert got == {1: " .,", 2: " .,"}
+
+
+def test_whole_documents_with_inner_newlines(spark, small_dev):
+    """SURVEY 2.9-k: documents kept whole; newlines only ever inside contexts."""
+    from conftest import SF_SMALL
+    from charloom.sources.tables import corpus_lines
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    corpus = corpus_lines(docs, split_lines=False)
+    texts = [r.text for r in corpus.orderBy("line_id").collect()]
+    assert any("\n" in t for t in texts)
+    params = ModelParams(ngram_order=4, max_chars_per_context=6, min_context_count=2, max_contexts=500)
+    model = CharModel.fit(corpus, params)
+    tiny = _tiny(params, texts)
+    stored = {(r.context, r.ch): r.cnt for r in model.context_chars.collect()}
+    assert stored == {(c, ch): n for c, d in tiny.ctx.items() for ch, n in d.items()}
+    got = {r.qid: r.pred for r in model.predict(small_dev).collect()}
+    assert got == {r.qid: tiny.predict(r.text) for r in small_dev.collect()}
