@@ -194,7 +194,7 @@ class CharModel:
         cont = self.continuation.agg(F.count(F.lit(1)).alias("continuation_vocab_size"))
         key = F.lit(0).alias("_k")
         out = cc.select(key, "*").join(uni.select(key, "*"), "_k").join(cont.select(key, "*"), "_k")
-        return out.drop("_k").withColumn("total_bigram_types", F.lit(int(self.total_bigram_types)))
+        return out.drop("_k").withColumn("total_bigram_types", F.lit(int(self.total_bigram_types)).cast("long"))
 
 
 @dataclass
