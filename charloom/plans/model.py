@@ -183,6 +183,13 @@ class CharModel:
         return CharModel(params, self.context_chars, self.unigram, self.continuation,
                          self.total_bigram_types, list(self.default_chars), self._stats, self._levels)
 
+    def release(self) -> None:
+        """Unpersist this model's cached tables (long-lived sessions)."""
+        for df in (self.context_chars, self._levels):
+            if df is not None:
+                df.unpersist(blocking=False)
+        self._levels = None
+
     # -------------------------------------------------------------- stats
     def stats(self) -> DataFrame:
         """Contexts stored, stored (context, char) entries, unigram vocabulary,
