@@ -103,3 +103,14 @@ def test_dev_random_normalize_first(spark):
     raw = {r.line_id: (r.text, r.answer) for r in C.dev_random(rows, 10).collect()}
     nf = {r.line_id: (r.text, r.answer) for r in C.dev_random(rows, 10, normalize_first=True).collect()}
     assert raw[2] == ("c", "́") and 2 not in nf and nf[1] == ("a", "b")
+
+
+def test_ordinal_on_shuffled_input(spark):
+    # Input straight out of an aggregation (row order inside shuffle partitions is
+    # not fixed, AQE may coalesce): ranks must still equal row_number().
+    agg = spark.range(0, 300_000, 1, 12).groupBy((F.col("id") * 7919 % 40_000).alias("k")).agg(
+        F.count("*").alias("n"), F.sum("id").alias("s"))
+    order = [F.col("s").desc(), F.col("k").asc()]
+    got = {r.k: r.rn for r in ordinal(agg, order, name="rn").collect()}
+    exp = {r.k: r.rn for r in agg.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
+    assert got == exp
