@@ -86,3 +86,17 @@ def test_write_prepared_and_results(spark):
     files.write_results(res, os.path.join(d, "res"))
     back = spark.read.option("header", True).csv(os.path.join(d, "res")).collect()
     assert [r.grid_idx for r in back] == ["1", "0"]
+
+
+def test_grade_from_files(spark):
+    from charloom.operators import evaluate
+    d = tempfile.mkdtemp(prefix="charloom-grade-")
+    preds = _write(d, "pred.txt", "abc\n e \nXYZ\nİab\nqqqq\n".encode())
+    gold = _write(d, "answer.txt", "b\ne\nz\ni\nq\nw\n".encode())
+    p = files.read_lines(spark, [preds]).selectExpr("line_no AS qid", "text AS pred")
+    g = files.read_answers(spark, gold)
+    row = evaluate.grade(p, g).first()
+    # caseless; 'İ' lowercases to two code points before the cut; the sixth
+    # answer has no prediction and counts as a miss
+    exp = ["b" in "abc", "e" in " e ", "z" in "xyz", "i" in "İab".lower()[:3], "q" in "qqq", False]
+    assert (row.correct, row.total) == (sum(exp), 6)
