@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
-from .common import table
+from . import language_id, quality_classifier, quality_rules, simhash
+from .common import crc_mod, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,20 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_cascade(docs).select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_classifier.classify(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) == 1)
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs, crc_mod("doc_id", 4) == 2)
+
+
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 ORACLES: dict[str, str] = {}
 
 # Base measures by unnesting; the rules follow RULES.
@@ -53,6 +67,9 @@ FROM b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op5_language_id": op5_language_id,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 
