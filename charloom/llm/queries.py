@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, quality_classifier, quality_rules, simhash
+from . import language_id, quality_classifier, quality_rules, secret_scan, simhash
 from .common import crc_mod, table
 
 
@@ -32,6 +32,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_scan.digest(secret_scan.scan(docs))
+
+
 ORACLES: dict[str, str] = {}
 
 # Base measures by unnesting; the rules follow RULES.
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op5_language_id": op5_language_id,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 
