@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, quality_classifier, quality_rules, secret_scan, simhash
+from . import decontamination, language_id, line_dedup, quality_classifier, quality_rules, secret_scan, simhash
 from .common import crc_mod, table
 
 
@@ -18,6 +18,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_cascade(docs).select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_classifier.classify(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) == 1)
@@ -28,6 +33,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, crc_mod("doc_id", 4) == 2)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -70,10 +80,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+# Exact distinct sites per trimmed line of five words or more; the first copy stays.
+ORACLES["op6_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents),
+k AS (SELECT *, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS body FROM l),
+e AS (SELECT *, len(string_split_regex(body, '[\x20\x09-\x0D]+')) >= 5 AS counts FROM k),
+common AS (SELECT body FROM e WHERE counts GROUP BY body HAVING count(DISTINCT coalesce('=' || source, '')) >= 5),
+r AS (
+  SELECT e.*, counts AND body IN (SELECT body FROM common)
+         AND row_number() OVER (PARTITION BY counts, body ORDER BY doc_id, pos) > 1 AS gone
+  FROM e)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+FROM r GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_language_id": op5_language_id,
+    "op6_line_dedup": op6_line_dedup,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_secret_scan": op10_secret_scan,
 }

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import quality_rules
+from charloom.llm import decontamination, line_dedup, quality_rules, simhash
 from charloom.llm.common import shared_folder
 
 
@@ -22,8 +22,27 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(F.col("kept")).select(*docs.columns)
 
 
+def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: all but the first copy of cross-site boilerplate lines go."""
+    cut = line_dedup.dedup_lines(docs)
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: one document of each SimHash component stays."""
+    return simhash.keep_one(docs)
+
+
+def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents that hold a benchmark item go."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 STAGES = [
     ("quality_rules", stage_quality),
+    ("line_dedup", stage_lines),
+    ("simhash_near_dedup", stage_near_duplicates),
+    ("benchmark_decontamination", stage_decontaminate),
 ]
 
 # Sampled segmentation is not expressible in SQL; tests/llm/ checks run() against a
