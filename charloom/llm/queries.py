@@ -8,8 +8,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from . import decontamination, language_id, line_dedup, quality_classifier, quality_rules, secret_scan, simhash
+from pyspark.sql import functions as F
+
+from . import (
+    decontamination,
+    language_id,
+    line_dedup,
+    lm_scoring,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sentence_pieces,
+    simhash,
+    token_counts,
+)
 from .common import crc_mod, table
 
 
@@ -28,6 +40,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) == 1)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_scoring.score(docs, table(spark, sf_dir, "labels"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs, crc_mod("doc_id", 4) == 2)
@@ -38,10 +55,22 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = sentence_pieces.load_vocabulary()
+    coded = sentence_pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab=vocab)
+    return sentence_pieces.decode(coded, vocab=vocab).select(
+        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secret_scan.digest(secret_scan.scan(docs))
@@ -102,9 +131,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_decontamination": op2_decontamination,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_sentence_pieces": op9_sentence_pieces,
     "op10_secret_scan": op10_secret_scan,
 }
 

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.llm import decontamination, line_dedup, quality_rules, simhash
+from charloom.llm import decontamination, line_dedup, quality_rules, sentence_pieces, simhash
 from charloom.llm.common import shared_folder
 
 
@@ -38,11 +38,21 @@ def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: adds the sampled pieces of the text, their number, and whether decoding
+    gives the text back."""
+    vocab = sentence_pieces.load_vocabulary()
+    coded = sentence_pieces.decode(sentence_pieces.encode(docs, vocab=vocab), vocab=vocab)
+    return coded.select(*docs.columns, "pieces", F.size("pieces").cast("long").alias("n_pieces"),
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 STAGES = [
     ("quality_rules", stage_quality),
     ("line_dedup", stage_lines),
     ("simhash_near_dedup", stage_near_duplicates),
     ("benchmark_decontamination", stage_decontaminate),
+    ("sentence_pieces", stage_pieces),
 ]
 
 # Sampled segmentation is not expressible in SQL; tests/llm/ checks run() against a
