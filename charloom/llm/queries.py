@@ -92,10 +92,10 @@ cover AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(rang
 m AS (
   SELECT d.doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
-         CAST(len(list_filter(l, x -> regexp_matches(x, '[^\x20\x09-\x0D]')))
-              - len(list_distinct(list_filter(l, x -> regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+         CAST(len(list_filter(l, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+              - len(list_distinct(list_filter(l, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
-         len(list_filter(range(1, len(w)), i -> w[i] = w[i + 1])) AS n_stutter
+         len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) AS n_stutter
   FROM d LEFT JOIN cover USING (doc_id)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
