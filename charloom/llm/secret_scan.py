@@ -58,7 +58,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def _matches(text: Column, pattern: str, seen: Column, value_group: int = 2) -> Column:
     """Leftmost non-overlapping matches as (start, end, value).  The text before each
     match is a group too, so that lengths add up to positions."""
-    whole = rf"(?s)(.*?){pattern}"
+    # \G: only where the last match ended.  Without it the search after the last match
+    # would start again at every position and read to the end each time.
+    whole = rf"(?s)\G(.*?){pattern}"
     parts = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(whole), F.lit(g)).alias(n)
                            for g, n in ((1, "gap"), (2, "hit"), (value_group, "val"))])
 
