@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 SEED = 3
 WINDOW = 3
-SHARE = 0.4
+SHARE = 0.5
 LEAST = 6.0
 BLOCK_ITEMS = 50_000
 PENALTY = 0.5

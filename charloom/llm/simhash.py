@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, internal
 from .components import connected_components
 
 SHINGLE = 3
@@ -163,8 +163,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     # One narrow row per component; a null id sorts after every id.
     first = named.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("th"))).alias("first"))
-    winners = first.select(F.col("first.th").alias("_th")).distinct()
+    key = internal(docs, "_th")
+    winners = first.select(F.col("first.th").alias(key)).distinct()
     mine = F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     own = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.select(*own, mine.alias("_th")).join(winners, "_th", "left_semi")
-            .dropDuplicates(["_th"]).select(*own))
+    return (docs.select(*own, mine.alias(key)).join(winners, key, "left_semi")
+            .dropDuplicates([key]).select(*own))
