@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 BITS = 18
 ORDERS = (1, 2, 3, 4)
 WINDOW = 5
-FIT_ROWS = 8000
+FIT_ROWS = 4000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,8 +99,8 @@ def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.nda
     """L2-regularised hinge loss.  Row i has the values scale[rows[i]] / sqrt(len) and a
     constant bias feature 1; y is -1 or 1.  Returns weights over unscaled rows and bias."""
     w, b = np.zeros(len(scale)), 0.0
-    values = [scale[r] / np.sqrt(max(len(r), 1)) for r in rows]
-    diagonal = np.array([v @ v + 1 for v in values])
+    root = np.sqrt([max(len(r), 1) for r in rows])
+    diagonal = np.array([scale[r] @ scale[r] for r in rows]) / root ** 2 + 1
     alpha = np.zeros(len(rows))
     order = np.arange(len(rows))
     shuffle = np.random.default_rng(seed).shuffle
@@ -110,13 +110,14 @@ def dual_coordinate_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.nda
         shuffle(order)
         most = 0.0
         for i in order:
-            gradient = y[i] * (w[rows[i]] @ values[i] + b) - 1
+            values = scale[rows[i]] / root[i]
+            gradient = y[i] * (w[rows[i]] @ values + b) - 1
             projected = min(gradient, 0) if alpha[i] <= 0 else max(gradient, 0) if alpha[i] >= limit[i] else gradient
             most = max(most, abs(projected))
             if projected:
                 new = min(max(alpha[i] - gradient / diagonal[i], 0), limit[i])
                 step = (new - alpha[i]) * y[i]
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * values
                 b += step
                 alpha[i] = new
         if most < tolerance:
@@ -150,8 +151,9 @@ def _logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def fit(labelled: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, smoothing: float = 1.0) -> Model:
     """``labelled``: id, text and y (0/1), the training rows only."""
     n = np.zeros((2, (1 << bits) + 1))
-    for r in class_counts(labelled, bits).collect():  # 2 * (2 ** bits + 1) rows at most
-        n[r["y"], r["bucket"]] = r["n"]
+    got = class_counts(labelled, bits).toPandas()  # 2 * (2 ** bits + 1) rows at most
+    n[got["y"], got["bucket"]] = got["n"]
+    del got
     docs = n[:, -1]
     if docs.min() == 0:
         share = float(docs[1] / docs.sum()) if docs.sum() else 0.5
@@ -166,7 +168,7 @@ def fit(labelled: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, smoothi
     for value in (0, 1):
         part = labelled.where(F.col("y") == value).select("id", "text").orderBy(F.xxhash64("id"), "id").limit(fit_rows // 2)
         got = part.select(found("text").alias("f")).toPandas()["f"]
-        rows += [np.asarray(f, np.int64) for f in got]
+        rows += [np.asarray(f, np.int32) for f in got]
         y += [2 * value - 1] * len(got)
     y = np.array(y)
     weights, bias = dual_coordinate_descent(rows, ratio, y)
