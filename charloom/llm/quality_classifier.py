@@ -148,10 +148,19 @@ def _logistic(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(c)
 
 
-def fit(labelled: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, smoothing: float = 1.0) -> Model:
-    """``labelled``: id, text and y (0/1), the training rows only."""
+def fit_sample(docs: DataFrame, labels: DataFrame, y: int, rows: int) -> DataFrame:
+    """At most ``rows`` labelled rows of class ``y``: those whose id hashes lowest.  They
+    are chosen by id alone, so that only their texts move."""
+    order = (F.xxhash64("id"), F.col("id"))
+    chosen = docs.select("id").join(labels.where(F.col("y") == y), "id").select("id").distinct().orderBy(*order).limit(rows)
+    # ``rows`` ids at most.
+    return docs.join(F.broadcast(chosen), "id").orderBy(*order, F.xxhash64("text")).limit(rows)
+
+
+def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, smoothing: float = 1.0) -> Model:
+    """``docs``: id and text, the training rows only; ``labels``: id and y (0/1)."""
     n = np.zeros((2, (1 << bits) + 1))
-    got = class_counts(labelled, bits).toPandas()  # 2 * (2 ** bits + 1) rows at most
+    got = class_counts(docs.join(labels, "id"), bits).toPandas()  # 2 * (2 ** bits + 1) rows at most
     n[got["y"], got["bucket"]] = got["n"]
     del got
     docs = n[:, -1]
@@ -166,8 +175,7 @@ def fit(labelled: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, smoothi
     # Half the bound for each class, so that a rare class is seen.
     rows, y = [], []
     for value in (0, 1):
-        part = labelled.where(F.col("y") == value).select("id", "text").orderBy(F.xxhash64("id"), "id").limit(fit_rows // 2)
-        got = part.select(found("text").alias("f")).toPandas()["f"]
+        got = fit_sample(docs, labels, value, fit_rows // 2).select(found("text").alias("f")).toPandas()["f"]
         rows += [np.asarray(f, np.int32) for f in got]
         y += [2 * value - 1] * len(got)
     y = np.array(y)
@@ -203,6 +211,6 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
     ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     own = docs.select(ident.alias("id"), text.alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     known = labels.select(ident.alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")).where("y in (0, 1)")
-    model = fit(own.where(~F.col("held_out")).join(known, "id").select("id", "text", "y"), **options)
+    model = fit(own.where(~F.col("held_out")).select("id", "text"), known, **options)
     scored = own.select("id", "held_out", score(F.col("text"), model, docs.sparkSession).alias("score"))
     return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
