@@ -163,11 +163,11 @@ def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, fit_rows: int = FI
     got = class_counts(docs.join(labels, "id"), bits).toPandas()  # 2 * (2 ** bits + 1) rows at most
     n[got["y"], got["bucket"]] = got["n"]
     del got
-    docs = n[:, -1]
-    if docs.min() == 0:
-        share = float(docs[1] / docs.sum()) if docs.sum() else 0.5
+    size = n[:, -1]
+    if size.min() == 0:
+        share = float(size[1] / size.sum()) if size.sum() else 0.5
         return Model(np.zeros(1 << bits), 0.0, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    p = (n[:, :-1] + smoothing) / (docs[:, None] + 2 * smoothing)
+    p = (n[:, :-1] + smoothing) / (size[:, None] + 2 * smoothing)
     ratio = np.log(p[1] / p[0])
     ratio[n[:, :-1].sum(axis=0) == 0] = 0.0
 
