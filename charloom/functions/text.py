@@ -49,21 +49,9 @@ _nfc_arrow = _nfc_arrow.asNondeterministic()
 _decode_ignore_arrow = _decode_ignore_arrow.asNondeterministic()
 
 
-def _allow_python_udf_in_joins() -> None:
-    """Spark's runtime bloom-filter injection copies a join key's producing plan
-    into an aggregate; when that key is derived from a Python UDF the copy cannot
-    be code-generated and the query fails.  The bloom filter is only an
-    optimisation, so it is switched off for sessions that use these UDFs."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    if spark is not None:
-        spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
-
-
 def nfc(col: Column | str) -> Column:
     """Unicode NFC.  Rows without a code point >= U+0300 pass through untouched;
     the UDF sees a null for them, so only the rows that can change cross to Python."""
-    _allow_python_udf_in_joins()
     c = F.col(col) if isinstance(col, str) else col
     needs = c.rlike(_MAY_CHANGE_UNDER_NFC)
     return F.coalesce(_nfc_arrow(F.when(needs, c)), c)
@@ -74,7 +62,6 @@ def decode_ignore(raw: Column | str) -> Column:
 
     ``raw`` is a string column straight from the text reader (it keeps the raw
     bytes) or a binary column.  Valid rows never reach Python."""
-    _allow_python_udf_in_joins()
     c = F.col(raw) if isinstance(raw, str) else raw
     as_bin = c.cast("binary")
     valid = F.is_valid_utf8(as_bin.cast("string"))

@@ -21,25 +21,32 @@ from charloom.operators.ranking import ordinal
 
 def cap_first_n(corpus: DataFrame, n: int) -> DataFrame:
     """L1: the first ``n`` non-empty lines in (grp_idx, line_id) order; ``take_rank``
-    is the position in that order.  ``n <= 0`` keeps nothing (SURVEY 2.9-j).
+    is the position in that order, and ``line_id`` becomes it, so that a model fitted
+    on the result breaks ties in load order.  ``n <= 0`` keeps nothing (SURVEY 2.9-j).
     Only the keys are ranked; the text joins back to the <= n chosen keys."""
     kept = corpus.where(F.col("text") != "")
     keys = ordinal(kept.select("grp_idx", "line_id"), [F.col("grp_idx"), F.col("line_id")], name="take_rank")
     chosen = keys.where(F.col("take_rank") <= n).select("grp_idx", "line_id", "take_rank")
-    return kept.join(chosen, ["grp_idx", "line_id"])
+    return _in_load_order(kept.join(chosen, ["grp_idx", "line_id"]))
+
+
+def _in_load_order(taken: DataFrame) -> DataFrame:
+    return taken.withColumn("line_id", F.col("take_rank"))
 
 
 def cap_round_robin(corpus_with_blanks: DataFrame, n: int) -> DataFrame:
     """L2: take line r of every group before line r+1 of any group.  ``rr`` counts
     blank lines too (a blank line uses up its group's turn), then blanks are
-    dropped and the first ``n`` lines in (rr, grp_idx) order are kept.  Ranking
-    runs on the narrow key table; the text joins back to the chosen keys."""
-    narrow = corpus_with_blanks.select("grp", "grp_idx", "line_id", (F.col("text") == "").alias("_blank"))
-    turns = ordinal(narrow, [F.col("line_id")], partition_by=["grp"], name="rr")
+    dropped and the first ``n`` lines in (rr, grp_idx) order are kept; ``line_id``
+    becomes that order.  A group is a position in the list (``grp_idx``): a file
+    listed twice takes two turns.  Ranking runs on the narrow key table; the text
+    joins back to the chosen keys."""
+    narrow = corpus_with_blanks.select("grp_idx", "line_id", (F.col("text") == "").alias("_blank"))
+    turns = ordinal(narrow, [F.col("line_id")], partition_by=["grp_idx"], name="rr")
     ranked = ordinal(turns.where(~F.col("_blank")).select("grp_idx", "line_id", "rr"),
                      [F.col("rr"), F.col("grp_idx")], name="take_rank")
     chosen = ranked.where(F.col("take_rank") <= n)
-    return corpus_with_blanks.join(chosen, ["grp_idx", "line_id"])
+    return _in_load_order(corpus_with_blanks.join(chosen, ["grp_idx", "line_id"]))
 
 
 def load_capped(corpus_with_blanks: DataFrame, max_lines: int | None = None,
@@ -48,7 +55,7 @@ def load_capped(corpus_with_blanks: DataFrame, max_lines: int | None = None,
     ``balanced`` and there is more than one group."""
     if max_lines is None:
         return corpus_with_blanks.where(F.col("text") != "")
-    if balanced and corpus_with_blanks.select("grp").distinct().limit(2).count() > 1:
+    if balanced and corpus_with_blanks.select("grp_idx").distinct().limit(2).count() > 1:
         return cap_round_robin(corpus_with_blanks, max_lines)
     return cap_first_n(corpus_with_blanks, max_lines)
 

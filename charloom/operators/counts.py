@@ -10,11 +10,12 @@ only on its length, so this is exact, and it explodes distinct windows instead
 of every position of the corpus.
 
 ``first_seen`` = the smallest (line_id, pos) at which a key occurs keeps the
-order in which the reference's dicts first saw it; it is the tie key of every
-later ranking.  It is packed into one long, ``line_id * 2**24 + pos``, so the
+order in which characters were first seen; it is the tie key of every later
+ranking.  It is packed into one decimal(38,0), ``line_id * 2**31 + pos``, so the
 aggregations stay hash-based (a struct minimum forces a sort-based aggregate).
-A line longer than 2**24 code points or a line id of 2**39 or more stops the job
-with an error instead of packing wrongly.
+``pos`` fits because no string is longer than 2**31, and ``line_id`` may be any
+number up to 29 digits: a 64-bit document id and a 31-bit line number (see
+``line_key``), negative ids included.  A larger one stops the job with an error.
 """
 
 from __future__ import annotations
@@ -24,22 +25,40 @@ from pyspark.sql import functions as F
 
 from charloom.functions.text import NEWLINES
 
-POS_BITS = 24
-MAX_LINE_ID = 1 << 39
+STEP = 1 << 31
+LINE_TYPE = "decimal(29,0)"
+KEY_TYPE = "decimal(38,0)"
+
+
+def _step():
+    return F.lit(STEP).cast("decimal(10,0)")
+
+
+def line_key(doc_id, piece):
+    """One ordered number from a 64-bit document id and a line number below 2**31."""
+    return (doc_id.cast("decimal(19,0)") * _step() + piece.cast("decimal(10,0)")).cast(LINE_TYPE)
 
 
 def pack_position(line_id, pos):
-    ok = (line_id >= 0) & (line_id < MAX_LINE_ID) & (pos < (1 << POS_BITS))
-    packed = F.shiftleft(line_id.cast("long"), POS_BITS) + pos.cast("long")
-    return F.when(ok, packed).otherwise(
-        F.raise_error(F.lit("line id or position out of range for the packed first_seen key")).cast("long"))
+    packed = (line_id.cast(LINE_TYPE) * _step() + pos.cast("decimal(10,0)")).cast(KEY_TYPE)
+    return F.coalesce(packed, F.raise_error(F.lit("line id out of range for the first_seen key")).cast(KEY_TYPE))
+
+
+def _split(c):
+    low = F.pmod(c, _step())
+    return ((c - low) / _step()).cast(LINE_TYPE), low
 
 
 def unpack_position(col):
     """``struct(line_id, pos)`` from a packed ``first_seen``."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.struct(F.shiftright(c, POS_BITS).alias("line_id"),
-                    c.bitwiseAND(F.lit((1 << POS_BITS) - 1)).cast("int").alias("pos"))
+    line, pos = _split(F.col(col) if isinstance(col, str) else col)
+    return F.struct(line.alias("line_id"), pos.cast("long").alias("pos"))
+
+
+def unpack_line(col):
+    """``struct(doc_id, piece)`` from a ``line_key``."""
+    doc, piece = _split(F.col(col) if isinstance(col, str) else col)
+    return F.struct(doc.cast("long").alias("doc_id"), piece.cast("long").alias("piece"))
 
 
 

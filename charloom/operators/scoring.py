@@ -25,7 +25,6 @@ from charloom.functions.text import NEWLINES
 
 # A character is one code point, so a table keyed by one character has at most
 # this many rows: the proven bound that lets us broadcast base tables.
-UNICODE_CODE_POINTS = 0x110000
 BROADCAST_VOCAB_LIMIT = 250_000
 
 

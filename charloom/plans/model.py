@@ -24,6 +24,7 @@ BUILTIN_DEFAULT_CHARS = [" ", ".", ",", "。", "،", "।", "，", "・", "-"]
 
 @dataclass(frozen=True)
 class ModelParams:
+    # The published default configuration.
     ngram_order: int = 6
     laplace_alpha: float = 1.0
     max_chars_per_context: int = 64
@@ -37,12 +38,8 @@ def _persist(df: DataFrame, enabled: bool) -> DataFrame:
 
 
 def merge_defaults(frequent: list[str], current: list[str]) -> list[str]:
-    """Ordered distinct union, first occurrence wins."""
-    out: list[str] = []
-    for ch in [*frequent, *current]:
-        if ch not in out:
-            out.append(ch)
-    return out
+    """Ordered distinct union, first occurrence wins (dict keys keep their order)."""
+    return list(dict.fromkeys(frequent) | dict.fromkeys(current))
 
 
 def frequent_chars(unigram: DataFrame, k: int) -> list[str]:
@@ -140,9 +137,8 @@ class CharModel:
         t = nfc(text_col) if normalize else F.col(text_col)
         x = inputs.select(*id_cols, F.col(text_col).isNull().alias("_null"), t.alias("_t"))
         x = x.withColumn("sfx", F.when(~F.col("_null"), scoring_suffix("_t", p.ngram_order))).drop("_t")
-        # Narrow (ids, flag, <= n-1 character suffix) and read by two branches:
-        # keep it so every input row is scanned and normalised once.
-        x = _persist(x, True)
+        # Read by two branches and not persisted: a call leaves nothing behind in the
+        # executors, however many calls or micro-batches a session makes.
         sfx = x.select("sfx").where(F.col("sfx").isNotNull()).distinct()
         lv = pred_ops.matched_levels(sfx, self.levels())
         stats = self.base_stats()
@@ -213,10 +209,10 @@ class RawCounts:
     total_bigram_types: int
     n_unigram_types: int
 
-    def at_order(self, order: int) -> DataFrame:
-        """Counts for a smaller order are the rows with ``ctx_len <= order - 1``,
-        tie keys included (SURVEY 4.2-3)."""
-        return self.pairs.where(F.col("ctx_len") <= order - 1)
+    def release(self) -> None:
+        """Unpersist the counts, once the models made of them are done."""
+        for df in (self.pairs, self.unigram, self.continuation):
+            df.unpersist(blocking=False)
 
 
 def count_corpus(corpus: DataFrame, order: int, cache: bool = True) -> RawCounts:

@@ -2,16 +2,13 @@
 
 Written independently of the Spark plans, straight from the semantics: lines are
 unnested into characters with their position, contexts come from ``lag`` over
-each line, ties use the packed first position ``line_id * 2^24 + pos``, and the
+each line, ties use the plain struct (document, line, position), and the
 prediction fold is spelled out level by level.  Every constant is cast to DOUBLE
 (DuckDB reads ``1.0`` as a DECIMAL).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-PACK = 16777216  # 2**24, same packing as the Spark side
 SKIP = "(chr(10), chr(13))"
 BUILTIN_SQL = "[' ', '.', ',', '。', '،', '।', '，', '・', '-']"
 
@@ -20,37 +17,49 @@ def dbl(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def lines_cte(keep_blank: bool = False, split_lines: bool = True) -> str:
-    blank = "" if keep_blank else "WHERE nfc_normalize(piece) <> ''"
+def lines_cte(keep_blank: bool = False, split_lines: bool = True, table: str = "documents", name: str = "lines") -> str:
+    blank = "" if keep_blank else "WHERE nfc_normalize(t) <> ''"
     if split_lines:
-        pieces = """
+        pieces = f"""
   SELECT doc_id, lang AS grp,
-         unnest(string_split(coalesce(text, ''), chr(10))) AS piece,
-         unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS piece_no
-  FROM documents"""
+         unnest(string_split(coalesce(text, ''), chr(10))) AS t,
+         unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS piece
+  FROM {table}"""
     else:
-        pieces = """
-  SELECT doc_id, lang AS grp, coalesce(text, '') AS piece, 0 AS piece_no FROM documents"""
+        pieces = f"""
+  SELECT doc_id, lang AS grp, coalesce(text, '') AS t, CAST(0 AS BIGINT) AS piece FROM {table}"""
     return f"""
 doc_pieces AS ({pieces}),
 grp_index AS (
-  SELECT grp, CAST(row_number() OVER (ORDER BY grp) - 1 AS BIGINT) AS grp_idx
-  FROM (SELECT DISTINCT lang AS grp FROM documents)),
+  SELECT grp, CAST(row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS BIGINT) AS grp_idx
+  FROM (SELECT DISTINCT lang AS grp FROM {table})),
+{name} AS (
+  SELECT p.doc_id, piece, CAST(p.doc_id AS HUGEINT) * 2147483648 + piece AS line_id, p.grp, g.grp_idx,
+         nfc_normalize(t) AS text
+  FROM doc_pieces p JOIN grp_index g ON p.grp IS NOT DISTINCT FROM g.grp {blank})"""
+
+
+def capped_cte(n: int, balanced: bool) -> str:
+    """``lines``: the first ``n`` of ``every`` (blank lines kept there) in load order,
+    which takes the document's place in the order of ties."""
+    turn = "row_number() OVER (PARTITION BY grp_idx ORDER BY doc_id, piece)" if balanced else "0"
+    order = "rr, grp_idx" if balanced else "grp_idx, doc_id, piece"
+    return f"""
+turns AS (SELECT *, {turn} AS rr FROM every),
 lines AS (
-  SELECT CAST(doc_id * 100000 + piece_no AS BIGINT) AS line_id, p.grp, g.grp_idx,
-         nfc_normalize(piece) AS text
-  FROM doc_pieces p JOIN grp_index g USING (grp) {blank})"""
+  SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS doc_id, CAST(0 AS BIGINT) AS piece, grp, text
+  FROM turns WHERE text <> '' QUALIFY doc_id <= {n})"""
 
 
 def seq_cte(max_lag: int) -> str:
     lags = "".join(f",\n         lag(ch, {j}) OVER w AS p{j}" for j in range(1, max(max_lag, 1) + 1))
     return f"""
 chars AS (
-  SELECT line_id, unnest(string_split(text, '')) AS ch, unnest(range(0, length(text))) AS pos
+  SELECT doc_id, piece, unnest(string_split(text, '')) AS ch, unnest(range(0, length(text))) AS pos
   FROM lines),
 seq AS (
-  SELECT line_id, pos, ch, line_id * {PACK} + pos AS fs{lags}
-  FROM chars WINDOW w AS (PARTITION BY line_id ORDER BY pos))"""
+  SELECT pos, ch, {{'d': doc_id, 'p': piece, 'i': pos}} AS fs{lags}
+  FROM chars WINDOW w AS (PARTITION BY doc_id, piece ORDER BY pos))"""
 
 
 def counts_ctes() -> str:
@@ -233,17 +242,8 @@ def conv_inputs_cte(name: str = "dev") -> str:
     """Inputs and gold from whole conversation turns: text[:-1] and text[-1]."""
     return f"""
 {name}_raw AS (
-  SELECT CAST(conv_id * 1000 + turn AS BIGINT) AS qid, nfc_normalize(text) AS t FROM conversations
+  SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS qid, nfc_normalize(text) AS t FROM conversations
   WHERE length(nfc_normalize(text)) >= 2),
 {name} AS (
   SELECT qid, substring(t, 1, length(t) - 1) AS text, right(t, 1) AS answer FROM {name}_raw)"""
 
-
-@dataclass(frozen=True)
-class Cfg:
-    order: int
-    alpha: float
-    kmax: int
-    min_count: int
-    max_contexts: int
-    discount: float

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from charloom.functions.text import decode_ignore
 from charloom.operators import corpus as corpus_ops
 from charloom.operators import evaluate
-from charloom.operators.counts import unpack_position
+from charloom.operators.counts import unpack_line, unpack_position
 from charloom.operators.scoring import base_score
 from charloom.operators.trim import context_totals, trim
 from charloom.plans import oracle as O
 from charloom.plans.model import CharModel, ModelParams, count_corpus
+from charloom.session import allow_python_join_keys
 from charloom.sources import model_io
 from charloom.sources.tables import corpus_lines
 
@@ -41,6 +42,7 @@ ROUND = 9
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    allow_python_join_keys(spark)
     return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
 
 
@@ -51,14 +53,15 @@ def _corpus(spark, sf, keep_blank=False) -> DataFrame:
 def _dev(spark, sf) -> DataFrame:
     conv = _t(spark, sf, "conversations")
     from charloom.functions.text import drop_last_char, last_char, nfc
-    base = conv.select((F.col("conv_id") * 1000 + F.col("turn")).cast("long").alias("qid"),
+    base = conv.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("qid"),
                        nfc("text").alias("_t")).where(F.length("_t") >= 2)
     return base.select("qid", drop_last_char("_t").alias("text"), last_char("_t").alias("answer"))
 
 
 def _first(df: DataFrame, col: str = "first_seen") -> list:
     u = unpack_position(col)
-    return [u["line_id"].alias("first_line_id"), u["pos"].cast("long").alias("first_pos")]
+    line = unpack_line(u["line_id"])
+    return [line["doc_id"].alias("first_doc_id"), line["piece"].alias("first_piece"), u["pos"].alias("first_pos")]
 
 
 def _model(spark, sf, params: ModelParams) -> CharModel:
@@ -72,7 +75,7 @@ def _cc_cols(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- Spark side
 def q_corpus_lines(spark, sf):
-    return _corpus(spark, sf).select("line_id", "grp", F.col("grp_idx").cast("long").alias("grp_idx"), "text")
+    return _corpus(spark, sf).select("doc_id", "piece", "grp", F.col("grp_idx").cast("long").alias("grp_idx"), "text")
 
 
 def q_prepare_corpus(spark, sf):
@@ -86,24 +89,29 @@ def q_kept_per_lang(spark, sf):
 
 
 def q_cap_first_n(spark, sf):
-    return corpus_ops.cap_first_n(_corpus(spark, sf), CAP_LINES).select("line_id", "grp", "take_rank", "text")
+    return corpus_ops.cap_first_n(_corpus(spark, sf), CAP_LINES).select("doc_id", "piece", "grp", "take_rank", "text")
 
 
 def q_cap_round_robin(spark, sf):
     out = corpus_ops.cap_round_robin(_corpus(spark, sf, keep_blank=True), CAP_LINES)
-    return out.select("line_id", "grp", "rr", "take_rank", "text")
+    return out.select("doc_id", "piece", "grp", "rr", "take_rank", "text")
 
 
 def q_distinct_groups(spark, sf):
     return corpus_ops.resolve_groups(_t(spark, sf, "documents"), GROUP_PATTERNS, "source")
 
 
+def _with_doc(dev: DataFrame) -> DataFrame:
+    line = unpack_line("line_id")
+    return dev.select("qid", line["doc_id"].alias("doc_id"), line["piece"].alias("piece"), "grp", "text", "answer")
+
+
 def q_dev_random(spark, sf):
-    return corpus_ops.dev_random(_corpus(spark, sf), DEV_SIZE, DEV_SEED)
+    return _with_doc(corpus_ops.dev_random(_corpus(spark, sf), DEV_SIZE, DEV_SEED))
 
 
 def q_dev_balanced(spark, sf):
-    return corpus_ops.dev_balanced(_corpus(spark, sf), PER_GROUP, DEV_SEED)
+    return _with_doc(corpus_ops.dev_balanced(_corpus(spark, sf), PER_GROUP, DEV_SEED))
 
 
 def q_dev_balanced_stats(spark, sf):
@@ -112,7 +120,7 @@ def q_dev_balanced_stats(spark, sf):
 
 def q_holdout_corpus(spark, sf):
     c = _corpus(spark, sf)
-    return corpus_ops.holdout(c, corpus_ops.dev_random(c, DEV_SIZE, DEV_SEED)).select("line_id", "grp", "text")
+    return corpus_ops.holdout(c, corpus_ops.dev_random(c, DEV_SIZE, DEV_SEED)).select("doc_id", "piece", "grp", "text")
 
 
 def q_unigram_counts(spark, sf):
@@ -280,7 +288,58 @@ def q_model_roundtrip(spark, sf):
 
 def q_decode_ignore(spark, sf):
     d = _t(spark, sf, "documents")
-    return d.select("doc_id", F.length(decode_ignore(F.col("text").cast("binary"))).cast("long").alias("n_chars"))
+    # A lone lead byte in front and a byte that UTF-8 never uses behind; both go.
+    dirty = F.concat(F.unhex(F.lit("C3")), F.col("text").cast("binary"), F.unhex(F.lit("FF")))
+    return d.select("doc_id", F.md5(decode_ignore(dirty).cast("binary")).alias("text_md5"))
+
+
+def q_wide_ids_context_counts(spark, sf):
+    far = _t(spark, sf, "documents").withColumn("doc_id", (F.col("doc_id") - 300) * 100_000_000_000)
+    raw = count_corpus(corpus_lines(far), 3)
+    return raw.pairs.select("context", F.col("ctx_len").cast("long").alias("ctx_len"), "ch", "cnt", *_first(raw.pairs))
+
+
+def _capped(spark, sf, balanced: bool) -> DataFrame:
+    return corpus_ops.load_capped(_corpus(spark, sf, keep_blank=True), CAP_LINES, balanced)
+
+
+def q_fit_first_n(spark, sf):
+    return _cc_cols(CharModel.fit(_capped(spark, sf, False), SMALL).context_chars)
+
+
+def q_fit_balanced(spark, sf):
+    return _cc_cols(CharModel.fit(_capped(spark, sf, True), SMALL).context_chars)
+
+
+def q_predict_balanced(spark, sf):
+    return CharModel.fit(_capped(spark, sf, True), SMALL).predict(_dev(spark, sf)).select("qid", "pred")
+
+
+def q_grade_missing(spark, sf):
+    """A third of the predictions missing, and predictions for unknown ids."""
+    dev = _dev(spark, sf)
+    preds = _model(spark, sf, SMALL).predict(dev).select("qid", "pred")
+    part = preds.where(F.substring_index("qid", ":", 1).cast("long") % 3 != 0)
+    more = preds.select(F.concat(F.lit("x"), "qid").alias("qid"), "pred")
+    return evaluate.grade(part.unionByName(more), dev)
+
+
+def q_predict_edge(spark, sf):
+    """M7, M8: turns made blank, newline-only or null by their number, five guesses."""
+    dev = _dev(spark, sf)
+    turn = F.substring_index("qid", ":", -1).cast("int") % 4
+    odd = dev.withColumn("text", F.when(turn == 0, "").when(turn == 1, F.lit(None)).otherwise(F.col("text")))
+    return _model(spark, sf, SMALL).predict(odd, k=5).select("qid", "pred")
+
+
+def _single_chars(spark, sf) -> DataFrame:
+    """One-character lines: the first character of every line of the corpus."""
+    return _corpus(spark, sf).withColumn("text", F.substring("text", 1, 1))
+
+
+def q_predict_add_alpha(spark, sf):
+    """M2: no bigram exists, so the base is the add-alpha unigram."""
+    return CharModel.fit(_single_chars(spark, sf), SMALL).predict(_dev(spark, sf)).select("qid", "pred")
 
 
 def _bench_examples(spark, sf) -> DataFrame:
@@ -324,7 +383,7 @@ def _head(order: int, keep_blank: bool = False, dev: bool = False) -> list[str]:
     return out
 
 
-FIRST = f"fs // {O.PACK} AS first_line_id, fs % {O.PACK} AS first_pos"
+FIRST = "fs.d AS first_doc_id, fs.p AS first_piece, fs.i AS first_pos"
 CC = "SELECT context, ch, cnt, ctx_rank, char_rank FROM {t}"
 
 
@@ -344,30 +403,30 @@ prep_kept AS (
   QUALIFY kept_rank <= {PREP_LINES})"""
     dev_random = f"""
 dr AS (
-  SELECT line_id, grp, text AS line,
+  SELECT line_id, doc_id, piece, grp, text AS line,
          CAST(row_number() OVER (ORDER BY md5('{DEV_SEED}:' || CAST(line_id AS VARCHAR)), line_id) AS BIGINT) AS qid
   FROM lines WHERE length(text) >= 2 QUALIFY qid <= {DEV_SIZE})"""
     s = SMALL
     q: dict[str, str] = {}
-    q["corpus_lines"] = _ws([O.lines_cte()], "SELECT line_id, grp, grp_idx, text FROM lines")
+    q["corpus_lines"] = _ws([O.lines_cte()], "SELECT doc_id, piece, grp, grp_idx, text FROM lines")
     q["prepare_corpus"] = _ws([prep], "SELECT * FROM prep_kept")
     q["kept_per_lang"] = _ws([prep], "SELECT grp, CAST(count(*) AS BIGINT) AS kept FROM prep_kept GROUP BY grp")
     q["cap_first_n"] = _ws([O.lines_cte()], f"""
-SELECT line_id, grp, CAST(row_number() OVER (ORDER BY grp_idx, line_id) AS BIGINT) AS take_rank, text
+SELECT doc_id, piece, grp, CAST(row_number() OVER (ORDER BY grp_idx, doc_id, piece) AS BIGINT) AS take_rank, text
 FROM lines QUALIFY take_rank <= {CAP_LINES}""")
     q["cap_round_robin"] = _ws([O.lines_cte(keep_blank=True)], f"""
-SELECT line_id, grp, rr, CAST(row_number() OVER (ORDER BY rr, grp_idx) AS BIGINT) AS take_rank, text
-FROM (SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY line_id) AS BIGINT) AS rr FROM lines)
+SELECT doc_id, piece, grp, rr, CAST(row_number() OVER (ORDER BY rr, grp_idx) AS BIGINT) AS take_rank, text
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY doc_id, piece) AS BIGINT) AS rr FROM lines)
 WHERE text <> '' QUALIFY take_rank <= {CAP_LINES}""")
     like = " OR ".join(f"source LIKE '{p.replace('*', '%')}'" for p in GROUP_PATTERNS)
     q["distinct_groups"] = f"""
 SELECT grp, CAST(row_number() OVER (ORDER BY grp) - 1 AS BIGINT) AS grp_idx
 FROM (SELECT DISTINCT source AS grp FROM documents WHERE {like})"""
     q["dev_random"] = _ws([O.lines_cte(), dev_random], """
-SELECT qid, line_id, grp, substring(line, 1, length(line) - 1) AS text, right(line, 1) AS answer FROM dr""")
+SELECT qid, doc_id, piece, grp, substring(line, 1, length(line) - 1) AS text, right(line, 1) AS answer FROM dr""")
     q["dev_balanced"] = _ws([O.lines_cte()], f"""
 SELECT CAST(row_number() OVER (ORDER BY md5('{DEV_SEED}#' || CAST(line_id AS VARCHAR)), line_id) AS BIGINT) AS qid,
-       line_id, grp, substring(text, 1, length(text) - 1) AS text, right(text, 1) AS answer
+       doc_id, piece, grp, substring(text, 1, length(text) - 1) AS text, right(text, 1) AS answer
 FROM (SELECT * FROM lines WHERE length(text) >= 2
       QUALIFY row_number() OVER (PARTITION BY grp ORDER BY md5('{DEV_SEED}:' || CAST(line_id AS VARCHAR)), line_id)
               <= {PER_GROUP})""")
@@ -375,7 +434,7 @@ FROM (SELECT * FROM lines WHERE length(text) >= 2
 SELECT grp, CAST(least(count(*), {PER_GROUP}) AS BIGINT) AS taken, CAST(count(*) AS BIGINT) AS available
 FROM lines WHERE length(text) >= 2 GROUP BY grp""")
     q["holdout_corpus"] = _ws([O.lines_cte(), dev_random],
-                              "SELECT line_id, grp, text FROM lines WHERE line_id NOT IN (SELECT line_id FROM dr)")
+                              "SELECT doc_id, piece, grp, text FROM lines WHERE line_id NOT IN (SELECT line_id FROM dr)")
     q["unigram_counts"] = _ws(_head(3), f"SELECT ch, cnt, {FIRST} FROM uni")
     q["context_counts"] = _ws(_head(3) + [O.pairs_cte(3)], f"SELECT context, ctx_len, ch, cnt, {FIRST} FROM pairs")
     q["whole_doc_context_counts"] = _ws([O.lines_cte(split_lines=False), O.seq_cte(2), O.counts_ctes(),
@@ -447,7 +506,29 @@ SELECT CAST((SELECT count(DISTINCT context) FROM m_trim) AS BIGINT) AS contexts_
        CAST(v_uni AS BIGINT) AS unigram_vocab_size, CAST(n_uni AS BIGINT) AS unigram_total,
        CAST(v_cont AS BIGINT) AS continuation_vocab_size, CAST(t AS BIGINT) AS total_bigram_types FROM totals""")
     q["grid_accuracy"] = _grid_sql()
-    q["decode_ignore"] = "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars FROM documents"
+    q["decode_ignore"] = "SELECT doc_id, md5(text) AS text_md5 FROM documents"
+    far = "(SELECT * REPLACE ((doc_id - 300) * 100000000000 AS doc_id) FROM documents)"
+    q["wide_ids_context_counts"] = _ws([O.lines_cte(table=far), O.seq_cte(2), O.counts_ctes(), O.pairs_cte(3)],
+                                       f"SELECT context, ctx_len, ch, cnt, {FIRST} FROM pairs")
+    for name, balanced in (("first_n", False), ("balanced", True)):
+        head = [O.lines_cte(True, name="every"), O.capped_cte(CAP_LINES, balanced), O.seq_cte(2), O.counts_ctes()]
+        q[f"fit_{name}"] = _ws(head + _cfg_ctes(s, "m"), CC.format(t="m_trim"))
+    q["predict_balanced"] = _ws(head + [O.conv_inputs_cte("dev")] + _model_sql(s, "m"), "SELECT qid, pred FROM m_pred")
+    missing = """
+m_part AS (SELECT * FROM m_pred WHERE CAST(split_part(qid, ':', 1) AS BIGINT) % 3 <> 0),
+gr AS (
+  SELECT d.qid, lower(d.answer) AS gold, substring(lower(coalesce(p.pred, '')), 1, 3) AS pred
+  FROM dev d LEFT JOIN m_part p USING (qid))"""
+    q["grade_missing"] = _ws(_head(3, dev=True) + _model_sql(s, "m") + [missing], q["grade"][q["grade"].rindex("SELECT CAST(count_if"):])
+    odd = """
+odd AS (
+  SELECT qid, CASE CAST(split_part(qid, ':', 2) AS INT) % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE text END AS text FROM dev)"""
+    q["predict_edge"] = _ws(_head(3, dev=True) + [odd] + _model_sql(s, "m", with_predict=False) + [
+        O.predict_ctes("odd", s.ngram_order, "m_lv", "m_base", "m_def", 5, "m_pred")], "SELECT qid, pred FROM m_pred")
+    first = """
+lines AS (SELECT * REPLACE (substring(text, 1, 1) AS text) FROM every)"""
+    q["predict_add_alpha"] = _ws([O.lines_cte(name="every"), first, O.seq_cte(2), O.counts_ctes(), O.conv_inputs_cte("dev")]
+                                 + _model_sql(s, "m"), "SELECT qid, pred FROM m_pred")
     return q
 
 
@@ -460,7 +541,7 @@ def _grid_sql() -> str:
     ctes = _head(max(orders), dev=True)
     ctes.append("""
 ex_raw AS (
-  SELECT CAST(item_id AS BIGINT) AS qid, nfc_normalize(text) AS t FROM benchmark
+  SELECT CAST(item_id AS VARCHAR) AS qid, nfc_normalize(text) AS t FROM benchmark
   WHERE length(nfc_normalize(text)) >= 2),
 ex AS (
   SELECT qid, substring(t, 1, length(t) - 1) AS text, right(t, 1) AS answer FROM ex_raw)""")

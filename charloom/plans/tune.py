@@ -115,9 +115,11 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
                                    pred_ops.lit_ranking(rp).alias("R")))
 
     # Inputs: every set x every model, scored once per distinct (model, suffix).
-    ex_name = next(iter(examples))
-    sets = examples[ex_name].select(F.lit("ex").alias("set"), "qid", "text", "answer").unionByName(
-        dev.select(F.lit("dev").alias("set"), "qid", "text", "answer"))
+    if len(examples) != 1:
+        raise ValueError("grid_search reports one example set; union the sets first (with distinct qids)")
+    (given,) = examples.values()
+    row = (F.col("qid").cast("string").alias("qid"), "text", "answer")
+    sets = given.select(F.lit("ex").alias("set"), *row).unionByName(dev.select(F.lit("dev").alias("set"), *row))
     # The null test reads the raw text: NFC keeps nulls null, and the UDF's
     # output then feeds projections only (never an aggregate expression).
     sets = sets.withColumn("_null", F.col("text").isNull()).withColumn("_t", nfc("text"))

@@ -30,16 +30,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Rankings checkpoint their sorted keys; drop the files once unreferenced.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        # See functions.text._allow_python_udf_in_joins.
-        .config("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
         .config("spark.driver.memory", os.environ.get("CHARLOOM_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    allow_python_join_keys(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def allow_python_join_keys(spark: SparkSession) -> None:
+    """Spark's runtime bloom-filter injection copies a join key's producing plan into an
+    aggregate; when that key comes from a Python function (Unicode normalisation here)
+    the copy cannot be code-generated and the query fails.  The filter is only an
+    optimisation; callers that own the session switch it off with this."""
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.enabled", "false")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import fnmatch
 import os
 import posixpath
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,6 +42,22 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.getFileStatus(p).isFile())
 
 
+def _size(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getLen()
+
+
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    """A file itself, or the part files of a written folder in name order."""
+    if _is_file(spark, path):
+        return [path]
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        raise FileNotFoundError(path)
+    names = sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
+    return [posixpath.join(path, n) for n in names if not n.startswith(("_", "."))]
+
+
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
     """Regular files matching ``pattern``; ``**`` matches any number of folders
     (including none), as Python's recursive glob does."""
@@ -48,7 +65,7 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
         fs, p = _fs(spark, pattern)
         found = fs.globStatus(p) or []
         return [str(s.getPath().toUri().getPath()) if s.getPath().toUri().getScheme() in (None, "file")
-                else str(s.getPath()) for s in found if s.isFile()]
+                else str(s.getPath()) for s in found if s.isFile() and not s.getPath().getName().startswith(".")]
     root = pattern.split("**", 1)[0].rstrip("/") or "."
     fs, p = _fs(spark, root)
     if not fs.exists(p):
@@ -60,7 +77,9 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
         st = it.next()
         full = st.getPath().toUri().getPath()
         rel = posixpath.join(root, full[len(root_uri):].lstrip("/")) if root != "." else full[len(root_uri):].lstrip("/")
-        if _glob_match(rel, pattern):
+        # Hidden files and folders do not match a wildcard.
+        inner = full[len(root_uri):].lstrip("/").split("/")
+        if not any(name.startswith(".") for name in inner) and _glob_match(rel, pattern):
             out.append(rel)
     return out
 
@@ -72,33 +91,58 @@ def _glob_match(path: str, pattern: str) -> bool:
     return "**/" in pattern and fnmatch.fnmatchcase(path, pattern.replace("**/", "", 1))
 
 
-def resolve_training_files(spark: SparkSession, paths: Sequence[str] | str | None = None,
-                           patterns: Sequence[str] = DEFAULT_PATTERNS,
-                           fallback: str = FALLBACK_FILE) -> list[str]:
-    """An explicit list (a ``:``-separated string or a sequence; order and
-    duplicates kept, empty parts dropped); else the sorted, de-duplicated regular
-    files matching the patterns (U1); else the fallback file."""
-    if paths:
-        parts = paths.split(":") if isinstance(paths, str) else list(paths)
-        return [p for p in parts if p]
-    found = sorted({f for pat in patterns for f in _glob(spark, pat)})
-    return found or [fallback]
+# One path of a ':'-separated list: a URI (its scheme and its port keep their colons), or
+# a plain path.
+_LISTED = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://[^/:]*(?::\d+)?[^:]*|[^:]+")
+
+
+def corpus_files(spark: SparkSession, listed: Sequence[str] | str | None = None,
+                 patterns: Sequence[str] = DEFAULT_PATTERNS, fallback: str = FALLBACK_FILE) -> list[str]:
+    """The training files, in order.
+
+    A list given as text is cut at its colons; order and duplicates stay.  Without one,
+    every pattern's regular files are merged and sorted (U1); without any file the
+    fallback is named, whether it exists or not."""
+    if isinstance(listed, str):
+        listed = _LISTED.findall(listed)
+    chosen = [path for path in listed or () if path != ""]
+    if chosen:
+        return chosen
+    merged: set[str] = set().union(*(_glob(spark, pattern) for pattern in patterns))
+    return sorted(merged) if merged else [fallback]
+
+
+def _uri(spark: SparkSession, path: str) -> str:
+    """The one form under which Spark names a file: qualified by its file system, encoded,
+    and with one slash after ``file:``."""
+    fs, p = _fs(spark, path)
+    return _one_slash(fs.makeQualified(p).toUri().toString())
+
+
+def _one_slash(uri: str) -> str:
+    return re.sub("^file:/+", "file:/", uri)
 
 
 def _file_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    rows = [(os.path.abspath(p) if "://" not in p else p, i) for i, p in enumerate(paths)]
-    return spark.createDataFrame(rows, "path string, grp_idx int")
+    rows = [(_uri(spark, p), p, i) for i, p in enumerate(paths)]
+    return spark.createDataFrame(rows, "uri string, path string, grp_idx int")
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str], repair_utf8: bool = True) -> DataFrame:
     """Every line of every file: ``(grp, grp_idx, line_no, text)``, raw (no NFC,
     blank lines kept).  Missing files are skipped (the reference skips unreadable
-    files); a path listed twice is read twice."""
+    files); a path listed twice is read twice.  A file that exists but that Spark's
+    reader would pass over (a name that starts with ``_`` or ``.``) is an error."""
     existing = [p for p in paths if _is_file(spark, p)]
     if not existing:
         return spark.createDataFrame([], "grp string, grp_idx int, line_no long, text string")
     distinct = list(dict.fromkeys(existing))
-    raw = spark.read.text(distinct).select(
+    reader = spark.read.text(distinct)
+    seen = {_one_slash(f) for f in reader.inputFiles()}
+    lost = [p for p in distinct if _uri(spark, p) not in seen and _size(spark, p) > 0]
+    if lost:
+        raise ValueError(f"Spark's text reader passes over these files: {lost}")
+    raw = reader.select(
         "value", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"))
@@ -111,9 +155,8 @@ def read_lines(spark: SparkSession, paths: Sequence[str], repair_utf8: bool = Tr
     lines = raw.join(F.broadcast(splits.select("_file", "_block", "_m0", "_off")), ["_file", "_block"])
     lines = lines.select("_file", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("line_no"), "text")
     files = _file_table(spark, existing)
-    # The metadata path is a URI; compare on the path part.
-    lines = lines.withColumn("_path", F.regexp_replace("_file", "^file:(//)?", ""))
-    out = lines.join(F.broadcast(files), lines["_path"] == files["path"])
+    lines = lines.withColumn("uri", F.regexp_replace("_file", "^file:/+", "file:/"))
+    out = lines.join(files, "uri")
     return out.select(F.col("path").alias("grp"), "grp_idx", "line_no", "text")
 
 
@@ -123,36 +166,44 @@ def read_corpus(spark: SparkSession, paths: Sequence[str], keep_blank: bool = Fa
     (file position in the list, line number)."""
     lines = read_lines(spark, paths)
     lines = lines.withColumn("text", nfc("text"))
-    per_file = lines.groupBy("grp_idx").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("grp_idx").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per listed file: a single ordered window over it is small.
-    per_file = per_file.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    out = lines.join(F.broadcast(per_file), "grp_idx").withColumn("line_id", F.col("_off") + F.col("line_no"))
+    out = _with_file_offset(lines).withColumn("line_id", F.col("_off") + F.col("line_no"))
     if not keep_blank:
         out = out.where(F.col("text") != "")
     return out.select("line_id", "grp", "grp_idx", "line_no", "text")
 
 
 def read_inputs(spark: SparkSession, path: str) -> DataFrame:
-    """``(qid, text)``, one row per line, blank lines kept, NFC; the file must
-    exist."""
-    if not _is_file(spark, path):
-        raise FileNotFoundError(path)
-    lines = read_lines(spark, [path])
-    return lines.select(F.col("line_no").alias("qid"), nfc("text").alias("text"))
+    """``(qid, text)``, one row per line, blank lines kept, NFC.  ``path`` is a file, or
+    a folder as the writers below leave it; it must exist."""
+    return _numbered(spark, path).select("qid", nfc("text").alias("text"))
 
 
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
-    """``(qid, answer)``, newline stripped only."""
-    if not _is_file(spark, path):
-        raise FileNotFoundError(path)
-    return read_lines(spark, [path]).select(F.col("line_no").alias("qid"), F.col("text").alias("answer"))
+    """``(qid, answer)``, newline stripped only; a file or a folder."""
+    return _numbered(spark, path).select("qid", F.col("text").alias("answer"))
+
+
+def _numbered(spark: SparkSession, path: str) -> DataFrame:
+    """``(qid, text)``: the lines of a file, or of a folder's parts one after the other."""
+    lines = read_lines(spark, _parts(spark, path))
+    return _with_file_offset(lines).select((F.col("_off") + F.col("line_no")).alias("qid"), "text")
+
+
+def _with_file_offset(lines: DataFrame) -> DataFrame:
+    """``_off``: lines of the files before.  One row per listed file: a single ordered
+    window over it is small."""
+    per_file = lines.groupBy("grp_idx").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("grp_idx").rowsBetween(Window.unboundedPreceding, -1)
+    per_file = per_file.select("grp_idx", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return lines.join(per_file, "grp_idx")
 
 
 def _write_ordered_text(df: DataFrame, col: str, path: str, order_col: str, partitions: int | None) -> None:
+    # A line break inside a value would shift every later line: it becomes a space.
+    value = F.regexp_replace(F.coalesce(F.col(col).cast("string"), F.lit("")), "[\r\n]", " ")
     parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(parts, order_col).sortWithinPartitions(order_col)
-       .select(F.col(col).cast("string")).write.mode("overwrite").text(path))
+       .select(value.alias(col)).write.mode("overwrite").text(path))
 
 
 def write_predictions(preds: DataFrame, path: str, partitions: int | None = None) -> None:
@@ -168,8 +219,9 @@ def write_dev_set(dev: DataFrame, out_dir: str, partitions: int | None = None) -
 
 
 def write_prepared(prepared: DataFrame, out_dir: str) -> None:
-    """One folder per group (``grp=<lang>``), rows in id order per group."""
-    (prepared.repartition("grp").sortWithinPartitions("grp", "row_id")
+    """One folder per group (``grp=<lang>``), rows in id order per group; a large group
+    is cut by id ranges into several part files."""
+    (prepared.repartitionByRange("grp", "row_id").sortWithinPartitions("grp", "row_id")
      .select("grp", "text").write.mode("overwrite").partitionBy("grp").text(out_dir))
 
 
@@ -177,13 +229,3 @@ def write_results(results: DataFrame, path: str) -> None:
     """The ranked grid results (one row per grid point) as one CSV file."""
     results.orderBy("rank").coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
-
-def read_ordered_text(spark: SparkSession, path: str) -> list[str]:
-    """Test helper: the lines of a folder written by the writers above, in order
-    (bounded by what the caller wrote)."""
-    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
-    out: list[str] = []
-    for f in files:
-        with open(os.path.join(path, f), encoding="utf-8") as h:
-            out.extend(line.rstrip("\n") for line in h)
-    return out

@@ -2,8 +2,9 @@
 
 A corpus row is ``(line_id, grp, grp_idx, line_no, text)``.  For a table of
 documents a line is a piece of ``text`` between ``\\n``; ``line_id`` is
-``doc_id * 100000 + piece`` so it orders lines the way a reader of the
-documents in id order would see them.
+``operators.counts.line_key(doc_id, piece)``, which orders lines the way a reader of
+the documents in id order would see them, for any 64-bit id and any number of lines.
+A null group is a group of its own, before the others.
 """
 
 from __future__ import annotations
@@ -14,10 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from charloom.functions.text import drop_last_char, last_char, nfc
+from charloom.operators.counts import line_key
 from charloom.session import spread
 
-LINES_PER_DOC = 100_000
-
 
 def group_index(df: DataFrame, group_col: str = "grp", groups: Sequence[str] | None = None) -> DataFrame:
     """``(grp, grp_idx)``: position of each group in an explicit list, else in sorted
@@ -28,7 +28,7 @@ def group_index(df: DataFrame, group_col: str = "grp", groups: Sequence[str] | N
         return spark.createDataFrame(rows, "grp string, grp_idx int")
     distinct = df.select(F.col(group_col).alias("grp")).distinct()
     # One row per group: a single-partition window over it is small by construction.
-    return distinct.withColumn("grp_idx", (F.row_number().over(Window.orderBy("grp")) - 1).cast("int"))
+    return distinct.withColumn("grp_idx", (F.row_number().over(Window.orderBy(F.col("grp").asc_nulls_first())) - 1).cast("int"))
 
 
 def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -50,7 +50,7 @@ def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     pieces = F.split("_text", "\n") if split_lines else F.array("_text")
     lines = base.select("_doc", "grp", F.posexplode(pieces).alias("_piece", "text"))
     lines = lines.select(
-        (F.col("_doc") * LINES_PER_DOC + F.col("_piece")).alias("line_id"),
+        line_key(F.col("_doc"), F.col("_piece")).alias("line_id"),
         "grp",
         F.col("_doc").alias("doc_id"),
         F.col("_piece").cast("long").alias("piece"),
@@ -58,8 +58,9 @@ def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     )
     if not keep_blank:
         lines = lines.where(F.col("text") != "")
-    gi = F.broadcast(group_index(base.select("grp"), "grp", groups))
-    out = lines.join(gi, "grp", "inner")
+    # Groups may be as many as URLs or paths: Spark sizes this side itself.
+    gi = group_index(base.select("grp"), "grp", groups).withColumnRenamed("grp", "_grp")
+    out = lines.join(gi, F.col("grp").eqNullSafe(F.col("_grp")), "inner")
     return out.select("line_id", "grp", "grp_idx", "doc_id", "piece", "text")
 
 

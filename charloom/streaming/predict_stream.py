@@ -49,10 +49,8 @@ def start(model: CharModel, input_dir: str, output_dir: str, checkpoint_location
         splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         rows = batch.join(F.broadcast(splits.select("file", "block", "_m0", "_off")), ["file", "block"])
         rows = rows.select("file", (F.col("_off") + F.col("row") - F.col("_m0")).alias("line_no"), "text")
-        rows = rows.withColumn("qid", F.xxhash64("file", "line_no"))
-        preds = model.predict(rows, k=k, id_cols=("qid",))
-        out = rows.select("qid", "file", "line_no").join(preds.select("qid", "pred"), "qid")
-        (out.select("file", F.col("line_no").alias("qid"), "pred")
+        preds = model.predict(rows, k=k, id_cols=("file", "line_no"))
+        (preds.select("file", F.col("line_no").alias("qid"), "pred")
          .write.mode("overwrite").parquet(os.path.join(output_dir, f"batch={batch_id}")))
 
     writer = input_stream(spark, input_dir).writeStream.foreachBatch(score_batch).option(

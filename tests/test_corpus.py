@@ -30,9 +30,9 @@ def test_ordinal_equals_row_number(spark):
 
 def test_cap_first_n(spark, small_corpus):
     rows = small_corpus.collect()
-    exp = [r.line_id for r in sorted(rows, key=lambda r: (r.grp_idx, r.line_id))][:700]
-    got = C.cap_first_n(small_corpus, 700).orderBy("take_rank").collect()
-    assert [r.line_id for r in got] == exp
+    exp = [(r.doc_id, r.piece) for r in sorted(rows, key=lambda r: (r.grp_idx, r.line_id))][:700]
+    got = C.cap_first_n(small_corpus, 700).orderBy("line_id").collect()
+    assert [(r.doc_id, r.piece) for r in got] == exp
     assert C.cap_first_n(small_corpus, 0).count() == 0
 
 
@@ -44,12 +44,12 @@ def test_cap_round_robin(spark):
     while len(taken) < 900 and any(turn < len(v) for v in groups.values()):
         for g in sorted(groups):
             if turn < len(groups[g]) and groups[g][turn].text:
-                taken.append(groups[g][turn].line_id)
+                taken.append((groups[g][turn].doc_id, groups[g][turn].piece))
                 if len(taken) >= 900:
                     break
         turn += 1
-    got = C.cap_round_robin(with_blank, 900).orderBy("take_rank").collect()
-    assert [r.line_id for r in got] == taken
+    got = C.cap_round_robin(with_blank, 900).orderBy("line_id").collect()
+    assert [(r.doc_id, r.piece) for r in got] == taken
 
 
 def test_prepare_matches_python(spark):

@@ -4,8 +4,10 @@ import os
 import tempfile
 import unicodedata
 
+import pytest
 from pyspark.sql import functions as F
 
+from bruteforce import TinyModel
 from charloom.plans.model import CharModel, ModelParams
 from charloom.sources import files
 
@@ -15,6 +17,38 @@ def _py_lines(path):
         return [unicodedata.normalize("NFC", line.rstrip("\n")) for line in h]
 
 
+def _read_parts(spark, path):
+    """Lines of a written folder, in order."""
+    return [r.answer for r in files.read_answers(spark, path).orderBy("qid").collect()]
+
+
+def test_paths_that_need_care(spark):
+    d = tempfile.mkdtemp(prefix="charloom-paths-")
+    a = _write(d, "a b é.txt", b"one\ntwo\n")
+    b = "file://" + _write(d, "plain.txt", b"three\n")
+    got = [r.text for r in files.read_corpus(spark, [a, b, a]).orderBy("line_id").collect()]
+    assert got == ["one", "two", "three", "one", "two"]
+    hidden = _write(d, "_hidden.txt", b"lost\n")
+    with pytest.raises(ValueError):
+        files.read_corpus(spark, [a, hidden])
+    with pytest.raises(FileNotFoundError):
+        files.read_inputs(spark, os.path.join(d, "none"))
+
+
+def test_load_order_and_a_path_listed_twice(spark):
+    from charloom.operators import corpus as C
+    d = tempfile.mkdtemp(prefix="charloom-order-")
+    a, b = _write(d, "a", b"l1\nl2\nl3\n"), _write(d, "b", b"m1\nm2\nm3\n")
+    lines = files.read_corpus(spark, [a, b, a], keep_blank=True)
+    got = C.load_capped(lines, 5, balanced=True).orderBy("line_id").collect()
+    assert [r.text for r in got] == ["l1", "m1", "l1", "l2", "m2"]
+    x, y = _write(d, "x", b"xa\nxb\nxc\n"), _write(d, "y", b"xd\nxe\nxf\n")
+    taken = C.load_capped(files.read_corpus(spark, [x, y], keep_blank=True), 4, balanced=True)
+    model = CharModel.fit(taken, ModelParams(ngram_order=2, max_chars_per_context=2, min_context_count=1))
+    tiny = TinyModel(2, 1.0, 2, 1).fit(["xa", "xd", "xb", "xe"])
+    assert {(r.context, r.ch) for r in model.context_chars.collect()} == {(c, ch) for c, t in tiny.ctx.items() for ch in t} == {("x", "a"), ("x", "d")}
+
+
 def _write(d, name, data: bytes):
     p = os.path.join(d, name)
     with open(p, "wb") as h:
@@ -37,12 +71,14 @@ def test_read_corpus_matches_python(spark):
 def test_glob_resolution(spark):
     d = tempfile.mkdtemp(prefix="charloom-glob-")
     os.makedirs(os.path.join(d, "data", "sub"))
-    for rel in ("data/x.txt", "data/sub/y.txt", "data/z.csv"):
+    os.makedirs(os.path.join(d, "data", ".d"))
+    for rel in ("data/x.txt", "data/sub/y.txt", "data/z.csv", "data/.h.txt", "data/.d/k.txt"):
         _write(d, rel, b"hi\n")
-    found = files.resolve_training_files(spark, patterns=[os.path.join(d, "data/**/*.txt")])
+    found = files.corpus_files(spark, patterns=[os.path.join(d, "data/**/*.txt")])
     assert [os.path.relpath(f, d) for f in found] == ["data/sub/y.txt", "data/x.txt"]
-    assert files.resolve_training_files(spark, paths="a::b:a") == ["a", "b", "a"]
-    assert files.resolve_training_files(spark, patterns=[os.path.join(d, "nope/*.txt")]) == [files.FALLBACK_FILE]
+    assert files.corpus_files(spark, listed="a::b:a") == ["a", "b", "a"]
+    assert files.corpus_files(spark, listed="hdfs://nn:8020/a.txt:b.txt:s3a://k/c") == ["hdfs://nn:8020/a.txt", "b.txt", "s3a://k/c"]
+    assert files.corpus_files(spark, patterns=[os.path.join(d, "nope/*.txt")]) == [files.FALLBACK_FILE]
 
 
 def test_inputs_answers_predictions_roundtrip(spark):
@@ -56,7 +92,7 @@ def test_inputs_answers_predictions_roundtrip(spark):
     preds = model.predict(inputs)
     out = os.path.join(d, "pred")
     files.write_predictions(preds, out, partitions=3)
-    lines = files.read_ordered_text(spark, out)
+    lines = _read_parts(spark, out)
     assert lines == [r.pred for r in preds.orderBy("qid").collect()]
     assert len(lines) == 4 and all(len(x) == 3 for x in lines)
     answers = files.read_answers(spark, ans)
@@ -65,11 +101,11 @@ def test_inputs_answers_predictions_roundtrip(spark):
 
 def test_write_dev_set_aligned(spark):
     d = tempfile.mkdtemp(prefix="charloom-dev-")
-    dev = spark.range(50).select(F.col("id").alias("qid"), F.concat(F.lit("line "), F.col("id").cast("string")).alias("text"),
+    dev = spark.range(50).select(F.col("id").alias("qid"), F.concat(F.lit("line\r"), F.col("id").cast("string")).alias("text"),
                                  (F.col("id") % 10).cast("string").alias("answer"))
     files.write_dev_set(dev, d, partitions=4)
-    assert files.read_ordered_text(spark, os.path.join(d, "dev_input")) == [f"line {i}" for i in range(50)]
-    assert files.read_ordered_text(spark, os.path.join(d, "dev_answer")) == [str(i % 10) for i in range(50)]
+    assert _read_parts(spark, os.path.join(d, "dev_input")) == [f"line {i}" for i in range(50)]
+    assert _read_parts(spark, os.path.join(d, "dev_answer")) == [str(i % 10) for i in range(50)]
 
 
 def test_write_prepared_and_results(spark):
@@ -79,8 +115,8 @@ def test_write_prepared_and_results(spark):
                                   (4, "en", "Another fine line")], "doc_id long, lang string, text string")
     prepared = C.prepare(rows, 5, 10, 1000)
     files.write_prepared(prepared, os.path.join(d, "prep"))
-    en = files.read_ordered_text(spark, os.path.join(d, "prep", "grp=en"))
-    de = files.read_ordered_text(spark, os.path.join(d, "prep", "grp=de"))
+    en = _read_parts(spark, os.path.join(d, "prep", "grp=en"))
+    de = _read_parts(spark, os.path.join(d, "prep", "grp=de"))
     assert sorted(en) == ["Another fine line", "Hello world!"] and de == ["Guten Tag zusammen"]
     res = spark.createDataFrame([(0, 0.5, 2), (1, 0.9, 1)], "grid_idx long, dev_acc double, rank long")
     files.write_results(res, os.path.join(d, "res"))
