@@ -64,11 +64,8 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocab = sentence_pieces.load_vocabulary()
-    coded = sentence_pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab=vocab)
-    return sentence_pieces.decode(coded, vocab=vocab).select(
-        "doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    coded = sentence_pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), lossless="lossless")
+    return coded.select("doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), "pieces", "lossless")
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,8 @@ weighs exp(alpha * score), as a unigram model needs.  A character that has no pi
 becomes its UTF-8 bytes, and so does a marker that stands in the text itself: decoding
 gives back every text exactly.
 
-Memory: a slice is about ``SLICE`` characters; long texts are cut between segments.  Only
+Memory: a slice is about ``SLICE`` characters of at most ``ROWS`` rows; long texts are cut
+between segments.  Only
 one segment longer than that (a word without a space) is held whole.  Defined results:
 null text has null pieces; empty text has none; null keys seed like a value of their own.
 """
@@ -26,15 +27,20 @@ null text has null pieces; empty text has none; null keys seed like a value of t
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import internal
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE = 1 << 19
+SLICE = 1 << 17
+ROWS = 500
 MARK = "▁"
 # Stands for a marker of the text itself; valid text never holds a lone surrogate.
 _OWN_MARK = "\ud800"
@@ -282,41 +288,63 @@ def decode_ids(ids, vocab_raw: list[bytes]) -> str:
     return b"".join(map(vocab_raw.__getitem__, ids))[1:].decode("utf-8", "replace")
 
 
-def encoder(spark: SparkSession, vocab: Vocabulary, seed: int = 0):
-    """(text column, key column) -> array<int> column."""
-    sent = spark.sparkContext.broadcast(vocab)
-
-    def batch(texts: pd.Series, keys: pd.Series) -> pd.Series:
-        return pd.Series(encode_batch(texts.tolist(), keys.to_numpy(np.int64), sent.value), dtype=object)
-
-    batch.__annotations__ = {"texts": pd.Series, "keys": pd.Series, "return": pd.Series}
-    call = F.pandas_udf(batch, "array<int>")
-    return lambda text, key: call(text, F.xxhash64(F.lit(seed), key.isNull(), key))
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "pieces",
+           vocab: Vocabulary | None = None, seed: int = 0, lossless: str | None = None) -> DataFrame:
+    """``docs`` with the sampled piece ids of every text.  With ``lossless``, a Boolean
+    column of that name tells whether decoding the pieces gave the text back.  Input
+    columns of these names give way."""
+    sent = docs.sparkSession.sparkContext.broadcast(vocab or load_vocabulary())
+    told = [lossless] if lossless else []
+    gone = {c.lower() for c in [out, *told]}
+    kept = [f for f in docs.schema.fields if f.name.lower() not in gone]
+    names = [f.name for f in kept]
+    t, k = internal(docs, "_text"), internal(docs, "_key")
+    given, key = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    rows = docs.select(*[F.col(f"`{n}`") for n in names], given.alias(t),
+                       F.xxhash64(F.lit(seed), key.isNull(), key).alias(k))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = sent.value
+        for batch in _small(batches):
+            texts = batch.column(t).to_pylist()
+            ids = encode_batch(texts, batch.column(k).to_numpy(), vocab)
+            columns = [batch.column(n) for n in names] + [_lists(ids)]
+            if lossless:
+                same = [i is None or decode_ids(i.tolist(), vocab.raw) == x for x, i in zip(texts, ids)]
+                columns.append(pa.array(same, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names + [out] + told)
+
+    schema = T.StructType(kept + [T.StructField(out, T.ArrayType(T.IntegerType()))]
+                          + [T.StructField(c, T.BooleanType()) for c in told])
+    return rows.mapInArrow(run, schema)
 
 
-def decoder(spark: SparkSession, vocab: Vocabulary):
-    """array<int> column -> text column."""
-    sent = spark.sparkContext.broadcast(vocab.raw)
+def decode(docs: DataFrame, pieces: str = "pieces", out: str = "decoded", vocab: Vocabulary | None = None) -> DataFrame:
+    """``docs`` with the text of every piece sequence (an input column named ``out`` gives
+    way)."""
+    sent = docs.sparkSession.sparkContext.broadcast((vocab or load_vocabulary()).raw)
+    kept = [f for f in docs.schema.fields if f.name.lower() != out.lower()]
+    names = [f.name for f in kept]
 
-    def batch(ids: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = sent.value
-        return pd.Series([None if i is None else decode_ids(i.tolist(), raw) for i in ids], dtype=object)
+        for batch in _small(batches):
+            texts = [None if i is None else decode_ids(i, raw) for i in batch.column(pieces).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [pa.array(texts, pa.string())], names + [out])
 
-    batch.__annotations__ = {"ids": pd.Series, "return": pd.Series}
-    return F.pandas_udf(batch, "string")
+    return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(
+        run, T.StructType(kept + [T.StructField(out, T.StringType())]))
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "pieces",
-           vocab: Vocabulary | None = None, seed: int = 0) -> DataFrame:
-    """``docs`` with the sampled piece ids of every text (an input column named ``out``
-    gives way)."""
-    vocab = vocab or load_vocabulary()
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
-    return docs.select(*own, encoder(docs.sparkSession, vocab, seed)(F.col(f"`{text_col}`"), F.col(f"`{id_col}`")).alias(out))
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that what is made of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
 
 
-def decode(docs: DataFrame, pieces: str = "pieces", out: str = "decoded", vocab: Vocabulary | None = None) -> DataFrame:
-    """``docs`` with the text of every piece sequence."""
-    vocab = vocab or load_vocabulary()
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()]
-    return docs.select(*own, decoder(docs.sparkSession, vocab)(F.col(f"`{pieces}`")).alias(out))
+def _lists(ids: list[np.ndarray | None]) -> pa.Array:
+    size = [0 if i is None else len(i) for i in ids]
+    flat = np.concatenate([i for i in ids if i is not None] + [np.zeros(0, np.int32)])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat, pa.int32()),
+                                    mask=pa.array([i is None for i in ids], pa.bool_()))

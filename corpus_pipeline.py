@@ -41,12 +41,10 @@ def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: adds the sampled pieces of the text, their number, and whether decoding
     gives the text back (input columns of these names give way)."""
-    added = ("pieces", "n_pieces", "lossless", "decoded")
+    added = ("pieces", "n_pieces", "lossless")
     own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]
-    vocab = sentence_pieces.load_vocabulary()
-    coded = sentence_pieces.decode(sentence_pieces.encode(docs.select(*own), vocab=vocab), vocab=vocab)
-    return coded.select(*own, "pieces", F.size("pieces").cast("long").alias("n_pieces"),
-                        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+    coded = sentence_pieces.encode(docs.select(*own), lossless="lossless")
+    return coded.select(*own, "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), "lossless")
 
 
 STAGES = [

@@ -236,7 +236,11 @@ def test_pieces_query(spark, odd_rows, sf_copy):
     assert {r.doc_id: r.pieces for r in rows} == again
     odd = queries.op9_sentence_pieces(spark, sf_copy(documents=make_docs(spark, odd_rows, clashing=True))).collect()
     assert len(odd) == len(odd_rows) and all(r.lossless for r in odd)
-    assert [r.n_pieces for r in odd if r.doc_id == 3] == [-1] or [r.pieces for r in odd if r.doc_id == 3] == [None]
+    assert [(r.n_pieces, r.pieces) for r in odd if r.doc_id == 3] == [(0, None)]
+    docs = make_docs(spark, odd_rows, clashing=True)
+    back = sentence_pieces.decode(sentence_pieces.encode(docs)).collect()
+    assert all(r.decoded == r.text for r in back)
+    assert sentence_pieces.decode(sentence_pieces.encode(docs.where("doc_id > 99"))).count() == 0
 
 
 def test_pipeline_stage_by_stage(spark):
