@@ -46,9 +46,9 @@ def capped_cte(n: int, balanced: bool) -> str:
     order = "rr, grp_idx" if balanced else "grp_idx, doc_id, piece"
     return f"""
 turns AS (SELECT *, {turn} AS rr FROM every),
-lines AS (
-  SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS doc_id, CAST(0 AS BIGINT) AS piece, grp, text
-  FROM turns WHERE text <> '' QUALIFY doc_id <= {n})"""
+taken AS (
+  SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS place, grp, text FROM turns WHERE text <> ''),
+lines AS (SELECT place AS doc_id, CAST(0 AS BIGINT) AS piece, grp, text FROM taken WHERE place <= {n})"""
 
 
 def seq_cte(max_lag: int) -> str:
