@@ -160,7 +160,8 @@ def fit_sample(docs: DataFrame, labels: DataFrame, y: int, rows: int) -> DataFra
 def fit(docs: DataFrame, labels: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS, smoothing: float = 1.0) -> Model:
     """``docs``: id and text, the training rows only; ``labels``: id and y (0/1)."""
     n = np.zeros((2, (1 << bits) + 1))
-    got = class_counts(docs.join(labels, "id"), bits).toPandas()  # 2 * (2 ** bits + 1) rows at most
+    # Labels grow with the documents: both sides shuffle, at every size.
+    got = class_counts(docs.join(labels.hint("merge"), "id"), bits).toPandas()  # 2 * (2 ** bits + 1) rows at most
     n[got["y"], got["bucket"]] = got["n"]
     del got
     size = n[:, -1]
