@@ -121,14 +121,14 @@ class Models:
         return -np.log(p)
 
 
-def fit(docs: DataFrame, word_share: float = WORD_SHARE, bigram_share: float = BIGRAM_SHARE, discount: float = DISCOUNT) -> Models:
-    """``docs``: text and target (boolean), all documents."""
+def fit(docs: DataFrame, sided: DataFrame, word_share: float = WORD_SHARE, bigram_share: float = BIGRAM_SHARE, discount: float = DISCOUNT) -> Models:
+    """``docs``: text of all documents; ``sided``: the same with target (boolean)."""
     counts = checkpointed(word_counts(docs))
     total = counts.agg(F.sum("n")).first()[0] or 0
     # 1 / word_share words at most.
     vocab = Vocabulary(sorted(r["word"] for r in counts.where(F.col("n") >= word_share * total).select("word").collect()))
     sent = docs.sparkSession.sparkContext.broadcast(vocab)
-    pairs = checkpointed(bigram_counts(docs, sent))
+    pairs = checkpointed(bigram_counts(sided, sent))
     base = vocab.base
 
     def by(key: str) -> np.ndarray:
@@ -155,8 +155,9 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     loss_target, loss_background, score (nats per token)."""
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     wanted = labels.where(F.col(f"`{label_col}`") == 1).select(F.col(f"`{id_col}`").alias("id"), F.lit(True).alias("target")).distinct()
-    sided = own.join(wanted, "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    sent = docs.sparkSession.sparkContext.broadcast(fit(sided, **options))
+    # Labels grow with the documents: both sides shuffle, at every size, and the texts once.
+    sided = own.join(wanted.hint("merge"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    sent = docs.sparkSession.sparkContext.broadcast(fit(own, sided, **options))
 
     def batch(texts: pd.Series) -> pd.DataFrame:
         models = sent.value

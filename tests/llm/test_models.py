@@ -122,7 +122,7 @@ def test_language_odd_rows(spark, odd_rows):
 def test_lm_models_sum_to_one_and_score_by_hand(spark):
     texts = [("a b a b c", True), ("a b d", True), ("c c a", False), ("d a b a", False)] * 3
     df = spark.createDataFrame(texts, "text string, target boolean")
-    m = lm_scoring.fit(df, word_share=0.1, bigram_share=0.01)
+    m = lm_scoring.fit(df, df, word_share=0.1, bigram_share=0.01)
     base = m.vocab.base
     for context in range(base):
         p = np.exp(-m.losses(context * base + np.arange(base)))
