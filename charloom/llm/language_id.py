@@ -193,7 +193,7 @@ def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col
 
     def batch(texts: pd.Series) -> pd.DataFrame:
         langs, scores = predict_batch(texts.tolist(), sent.value)
-        return pd.DataFrame({"lang_pred": langs, "score": scores})
+        return pd.DataFrame({"lang_pred": pd.Series(langs, dtype=object), "score": pd.Series(scores, dtype=float)})
 
     batch.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
     guess = F.pandas_udf(batch, "lang_pred string, score double")(F.col("text"))

@@ -44,15 +44,19 @@ def words_of(text: str | None) -> list[str]:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all of ``docs`` (text).  A task holds ``HELD_WORDS`` words at most."""
+    def frame_of(held: Counter) -> pd.DataFrame:
+        return pd.DataFrame({"word": pd.Series(list(held.keys()), dtype=object), "n": list(held.values())})
+
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: Counter = Counter()
         for frame in frames:
             for text in frame["text"]:
                 held.update(words_of(text))
                 if len(held) >= HELD_WORDS:
-                    yield pd.DataFrame({"word": held.keys(), "n": held.values()})
+                    yield frame_of(held)
                     held = Counter()
-        yield pd.DataFrame({"word": list(held.keys()), "n": list(held.values())}).astype({"n": "int64"})
+        if held:
+            yield frame_of(held)
 
     return docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
