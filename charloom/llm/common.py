@@ -12,7 +12,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Few and short Arrow batches for the Python functions of a session, so that a task's
+    memory does not grow with the length of the texts.  Called by the registered queries
+    and the pipeline; operators leave the session alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

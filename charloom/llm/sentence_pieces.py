@@ -298,15 +298,16 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
     gone = {c.lower() for c in [out, *told]}
     kept = [f for f in docs.schema.fields if f.name.lower() not in gone]
     names = [f.name for f in kept]
-    t, k = internal(docs, "_text"), internal(docs, "_key")
-    given, key = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
-    rows = docs.select(*[F.col(f"`{n}`") for n in names], given.alias(t),
+    if text_col not in names:
+        raise ValueError(f"{text_col} is the name of a result column")
+    k, key = internal(docs, "_key"), F.col(f"`{id_col}`")
+    rows = docs.select(*[F.col(f"`{n}`") for n in names],
                        F.xxhash64(F.lit(seed), key.isNull(), key).alias(k))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = sent.value
         for batch in _small(batches):
-            texts = batch.column(t).to_pylist()
+            texts = batch.column(text_col).to_pylist()
             ids = encode_batch(texts, batch.column(k).to_numpy(), vocab)
             columns = [batch.column(n) for n in names] + [_lists(ids)]
             if lossless:

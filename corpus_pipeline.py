@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from charloom.llm import decontamination, line_dedup, quality_rules, sentence_pieces, simhash
-from charloom.llm.common import shared_folder
+from charloom.llm.common import bounded_batches, shared_folder
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +30,13 @@ def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: one document of each SimHash component stays."""
+    bounded_batches(spark)
     return simhash.keep_one(docs)
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents that hold a benchmark item go."""
+    bounded_batches(spark)
     return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -43,6 +45,7 @@ def stage_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     gives the text back (input columns of these names give way)."""
     added = ("pieces", "n_pieces", "lossless")
     own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]
+    bounded_batches(spark)
     coded = sentence_pieces.encode(docs.select(*own), lossless="lossless")
     return coded.select(*own, "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"), "lossless")
 
