@@ -5,16 +5,19 @@ vocabulary, one set of bigrams, one discount and one smoothing, so that their lo
 token compare.  A document's score is its mean loss under the target model less that
 under the background model: the lower, the more it reads like the target.
 
-The vocabulary is every word that makes up ``word_share`` of all tokens of all documents;
-the bigrams are those that make up ``bigram_share`` of either side's.  Shares bound them
-at any size of corpus (1 / word_share words, 2 / bigram_share bigrams), so the models can
-be broadcast, while the counts they come from cover every token and are shuffled as
-partial counts.  Other words are one unknown word; a bigram that was not kept gets its
+The vocabulary is every word of every document and the bigrams are all that occur; none
+is cut or merged, at any size of corpus.  A bigram that one side has not seen gets its
 context's left-over mass times the word's smoothed share, so each model sums to 1.
+The models are tables, not broadcasts: bigram counts (checkpointed), and per word its
+counts as a word and as a context.  Bigrams meet their context and their word, and the
+documents' own (document, bigram, n) rows meet the bigrams, by sort-merge joins; keys
+with ``HOT_SHARE`` of the rows or more (1 / HOT_SHARE at most) are spread over ``SALTS``
+tasks.  Losses are then summed per document.  Words are told apart by 64-bit hashes.
 
 Defined results: null and empty texts have 0 tokens and null losses and score.  Without
 target (or background) documents that model is uniform.  Documents whose id is null are
-background.  An id with several labels is target if one of them says so.
+background.  An id with several labels is target if one of them says so.  Repeated rows
+(same id and text) each get the same score.
 """
 
 from __future__ import annotations
@@ -30,12 +33,15 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-WORD_SHARE = 1e-5
-BIGRAM_SHARE = 1e-6
 DISCOUNT = 0.75
 HELD_WORDS = 400_000
 HELD_TOKENS = 1 << 21
 UNKNOWN = 0
+# Fixed value: the hash that stands for the context of a first word.
+START = 0
+HOT_SHARE = 1e-4
+HOT_ROWS = 10_000
+SALTS = 64
 
 
 def words_of(text: str | None) -> list[str]:
@@ -125,11 +131,12 @@ class Models:
         return -np.log(p)
 
 
-def fit(docs: DataFrame, sided: DataFrame, word_share: float = WORD_SHARE, bigram_share: float = BIGRAM_SHARE, discount: float = DISCOUNT) -> Models:
-    """``docs``: text of all documents; ``sided``: the same with target (boolean)."""
+def fit(docs: DataFrame, sided: DataFrame, word_share: float = 0.0, bigram_share: float = 0.0, discount: float = DISCOUNT) -> Models:
+    """The models held in one process, for small corpora and as the check of ``score``,
+    which does not use it.  ``docs``: text of all documents; ``sided``: the same with
+    target (boolean).  Words and bigrams under a share, if one is asked for, are cut."""
     counts = checkpointed(word_counts(docs))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    # 1 / word_share words at most.
     vocab = Vocabulary(sorted(r["word"] for r in counts.where(F.col("n") >= word_share * total).select("word").collect()))
     sent = docs.sparkSession.sparkContext.broadcast(vocab)
     pairs = checkpointed(bigram_counts(sided, sent))
@@ -153,29 +160,107 @@ def fit(docs: DataFrame, sided: DataFrame, word_share: float = WORD_SHARE, bigra
     return Models(vocab, code, seen, 1 - used, (word + 1) / (n + base))
 
 
+def bigram_rows(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, context, word, n) of all tokens, words as hashes; ``groups``: one small
+    number a text."""
+    lists = [words_of(t) for t in texts]
+    lengths = np.array([len(x) for x in lists], np.int64)
+    words = np.array([w for x in lists for w in x], dtype=object)
+    if not len(words):
+        return (np.zeros(0, np.int64),) * 4
+    ids, kinds = pd.factorize(words)
+    hashes = np.append(pd.util.hash_array(kinds, categorize=False).view(np.int64), START)
+    base = len(hashes)
+    before = np.concatenate([[base - 1], ids[:-1]])
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = base - 1
+    key, n = np.unique((np.repeat(groups, lengths) * base + before) * base + ids, return_counts=True)
+    return key // (base * base), hashes[key // base % base], hashes[key % base], n
+
+
+def pair_counts(sided: DataFrame) -> DataFrame:
+    """(c, w, n0, n1): background and target tokens of every bigram of ``sided`` (text, target)."""
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            side, c, w, n = bigram_rows(frame["text"].tolist(), frame["target"].to_numpy(np.int64))
+            yield pd.DataFrame({"c": c, "w": w, "n0": n * (1 - side), "n1": n * side})
+
+    parts = sided.select("text", "target").mapInPandas(count, "c long, w long, n0 long, n1 long")
+    return parts.groupBy("c", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def document_rows(rows: DataFrame) -> DataFrame:
+    """(row, c, w, n): the bigrams of every document of ``rows`` (row, text)."""
+    def spell(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            at, c, w, n = bigram_rows(frame["text"].tolist(), np.arange(len(frame)))
+            yield pd.DataFrame({"row": frame["row"].to_numpy(np.int64)[at], "c": c, "w": w, "n": n})
+
+    return rows.select("row", "text").mapInPandas(spell, "row long, c long, w long, n long")
+
+
+def word_stats(pairs: DataFrame, discount: float) -> DataFrame:
+    """Per word k (and START): w0, w1, its tokens; c0, c1, the tokens after it; d0, d1, the
+    same of bigrams less the discount; rows, the bigrams that hold it."""
+    less = [F.greatest(F.col(f"n{i}") - F.lit(discount), F.lit(0.0)).alias(f"d{i}") for i in (0, 1)]
+    none, zero = F.lit(0).cast("long"), F.lit(0.0)
+    as_word = pairs.select(F.col("w").alias("k"), F.col("n0").alias("w0"), F.col("n1").alias("w1"), none.alias("c0"), none.alias("c1"),
+                           zero.alias("d0"), zero.alias("d1"))
+    as_context = pairs.select(F.col("c").alias("k"), none.alias("w0"), none.alias("w1"), F.col("n0").alias("c0"), F.col("n1").alias("c1"), *less)
+    return as_word.unionAll(as_context).groupBy("k").agg(
+        *[F.sum(x).alias(x) for x in ("w0", "w1", "c0", "c1", "d0", "d1")], F.count("*").alias("rows"))
+
+
+def _meet(rows: DataFrame, table: DataFrame, keys: list[str], hot: DataFrame, spread: str) -> DataFrame:
+    """``rows`` joined to ``table``, by a shuffle at every size.  Rows of a key of ``hot``
+    are spread by their column ``spread`` over copies of the table's row."""
+    # 1 / HOT_SHARE rows at most (twice that for words).
+    marks = F.broadcast(hot.select(*keys, F.lit(True).alias("hot")))
+    dealt = rows.join(marks, keys, "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))).drop("hot")
+    copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copied = table.join(marks, keys, "left").withColumn("salt", F.explode(copies)).drop("hot")
+    return dealt.join(copied.hint("merge"), [*keys, "salt"]).drop("salt")
+
+
+def bigram_losses(pairs: DataFrame, discount: float) -> DataFrame:
+    """(c, w, l0, l1): -log p of every bigram of ``pairs`` under both sides."""
+    stats = checkpointed(word_stats(pairs, discount))
+    all_ = stats.agg(F.sum("w0").alias("n0"), F.sum("w1").alias("n1"), F.sum("rows").alias("rows"),
+                     F.count(F.when(F.col("k") != START, 1)).alias("words")).first()
+    base = all_["words"] + 2  # the words, the unknown word and the start, as in Vocabulary
+    hot = stats.where(F.col("rows") >= max(HOT_SHARE * (all_["rows"] or 0), HOT_ROWS))
+    contexts = stats.select(F.col("k").alias("c"), *[
+        x for i in (0, 1) for x in (F.greatest(F.col(f"c{i}"), F.lit(1)).alias(f"c{i}"), F.col(f"d{i}"))])
+    words = stats.select(F.col("k").alias("w"), *[
+        ((F.col(f"w{i}") + 1) / F.lit(float((all_[f"n{i}"] or 0) + base))).alias(f"u{i}") for i in (0, 1)])
+    half = _meet(pairs, contexts, ["c"], hot.select(F.col("k").alias("c")), "w").select("c", "w", *[
+        x for i in (0, 1) for x in ((F.greatest(F.col(f"n{i}") - F.lit(discount), F.lit(0.0)) / F.col(f"c{i}")).alias(f"seen{i}"),
+                                    (1 - F.col(f"d{i}") / F.col(f"c{i}")).alias(f"rest{i}"))])
+    return _meet(half, words, ["w"], hot.select(F.col("k").alias("w")), "c").select(
+        "c", "w", *[(-F.log(F.col(f"seen{i}") + F.col(f"rest{i}") * F.col(f"u{i}"))).alias(f"l{i}") for i in (0, 1)])
+
+
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          **options) -> DataFrame:
+          discount: float = DISCOUNT) -> DataFrame:
     """Fit on all rows (target: label 1) and score every row.  Returns id, n_tokens,
     loss_target, loss_background, score (nats per token)."""
-    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    own = docs.select(ident.alias("id"), text.alias("text"), F.xxhash64(ident.isNull(), ident, text).alias("row"))
     wanted = labels.where(F.col(f"`{label_col}`") == 1).select(F.col(f"`{id_col}`").alias("id"), F.lit(True).alias("target")).distinct()
     # Labels grow with the documents: both sides shuffle, at every size, and the texts once.
     sided = own.join(wanted.hint("merge"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    sent = docs.sparkSession.sparkContext.broadcast(fit(own, sided, **options))
-
-    def batch(texts: pd.Series) -> pd.DataFrame:
-        models = sent.value
-        out = []
-        for text in texts:
-            code = models.vocab.bigrams(text)
-            if len(code):
-                background, target = models.losses(code).mean(axis=0).tolist()
-                out.append((len(code), target, background, target - background))
-            else:
-                out.append((0, None, None, None))
-        return pd.DataFrame(out, columns=["n_tokens", "loss_target", "loss_background", "score"]).astype(
-            {"n_tokens": "int64", "loss_target": "float64", "loss_background": "float64", "score": "float64"})
-
-    batch.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
-    call = F.pandas_udf(batch, "n_tokens long, loss_target double, loss_background double, score double")
-    return own.select(F.col("id").alias(id_col), call("text").alias("s")).select(id_col, "s.*")
+    pairs = checkpointed(pair_counts(sided))
+    tokens = pairs.agg(F.sum(F.col("n0") + F.col("n1"))).first()[0] or 0
+    hot = pairs.where(F.col("n0") + F.col("n1") >= max(HOT_SHARE * tokens, HOT_ROWS)).select("c", "w")
+    met = _meet(document_rows(own), bigram_losses(pairs, discount), ["c", "w"], hot, "row")
+    # Repeated rows add up alike above and below.
+    sums = met.groupBy("row").agg(*[(F.sum(F.col("n") * F.col(f"l{i}")) / F.sum("n")).alias(f"loss{i}") for i in (0, 1)])
+
+    def lengths(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(words_of(t)) for t in texts], dtype="int64")
+
+    lengths.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    sized = own.select("id", "row", F.pandas_udf(lengths, "long")("text").alias("n_tokens"))
+    return sized.join(sums.hint("merge"), "row", "left").select(
+        F.col("id").alias(id_col), "n_tokens", F.col("loss1").alias("loss_target"), F.col("loss0").alias("loss_background"),
+        (F.col("loss1") - F.col("loss0")).alias("score"))

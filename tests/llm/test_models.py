@@ -158,6 +158,33 @@ def test_lm_odd_rows(spark, odd_rows):
     assert lm_scoring.score(docs.where("doc_id > 99"), labels).count() == 0
 
 
+def test_lm_score_cuts_neither_words_nor_bigrams(spark, monkeypatch):
+    rnd = random.Random(4)
+    # 30,000 words that stand once, beside words and a bigram in every document.
+    rows = [(i, " ".join(x for k in range(50) for x in (f"once{i}x{k}", rnd.choice("abcd"))) + " New York", "en", "s") for i in range(600)]
+    rows += [rows[7], (None, "a b c New York", "en", "s"), (700, None, "en", "s"), (701, " ", "en", "s")]
+    docs = make_docs(spark, rows, clashing=True)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, quality int")
+    sided = spark.createDataFrame([(t, i is not None and i < 600 and i % 3 == 0) for i, t, _, _ in rows], "text string, target boolean")
+    models = lm_scoring.fit(sided, sided)
+    assert len(models.vocab.ids) == 30_006
+    want = {}
+    for i, t, _, _ in rows:
+        code = models.vocab.bigrams(t)
+        want[i] = (len(code), *(models.losses(code).mean(axis=0) if len(code) else (None, None)))
+    for hot_rows in (lm_scoring.HOT_ROWS, 50):
+        monkeypatch.setattr(lm_scoring, "HOT_ROWS", hot_rows)
+        out = lm_scoring.score(docs, labels).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            n, background, target = want[r.doc_id]
+            assert r.n_tokens == n
+            if n:
+                assert math.isclose(r.loss_target, target, rel_tol=1e-9) and math.isclose(r.loss_background, background, rel_tol=1e-9)
+            else:
+                assert r.loss_target is r.loss_background is r.score is None
+
+
 def greedy(word, pieces, marker):
     word, n = marker + word, 0
     while word:
