@@ -1,7 +1,8 @@
 """Operator 10, secret scans: fixed patterns plus a battery of randomness tests.
 
 Three patterns give the base spans.  Every other run of 20 or more base-64 letters is a
-candidate: its encoding is inferred (hex, base 32, base 36, base 64), and three tests of
+candidate: its encoding is inferred (hex, base 32, base 36, base 64, or without a digit
+the 26 letters of one case or the 52 of both), and three tests of
 "these symbols are uniform and independent" are taken together by Fisher's method:
 chi-squared uniformity over the encoding's alphabet, runs above and below the middle of
 the alphabet, and lag-1 serial correlation.  A word-like run fails at once, a generated
@@ -44,6 +45,8 @@ ALPHABETS = {
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "letters26": "abcdefghijklmnopqrstuvwxyz",
+    "letters52": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
 }
 Q = 0.01
 MAX_BIN = 300
@@ -119,9 +122,12 @@ def randomness_p(x: Column, k: Column) -> Column:
 
 def _judged(run: Column) -> Column:
     """(encoding, size class, bin) of a candidate; encoding null where none fits."""
-    digit, upper, lower = run.rlike("[0-9]"), run.rlike("[A-Z]"), run.rlike("[a-z]")
+    upper, lower = run.rlike("[A-Z]"), run.rlike("[a-z]")
     encoding = (
-        F.when(~digit | (~upper & ~lower), F.lit(None).cast("string"))
+        F.when(~upper & ~lower, F.lit(None).cast("string"))
+        # A key of any encoding that happens to have no digit is uniform over its letters.
+        .when(run.rlike("^([a-z]+|[A-Z]+)$"), F.lit("letters26"))
+        .when(run.rlike("^[A-Za-z]+$"), F.lit("letters52"))
         .when(run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit("hex"))
         .when(run.rlike("^[A-Z2-7]+$"), F.lit("base32"))
         .when(run.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), F.lit("base36"))
@@ -130,7 +136,7 @@ def _judged(run: Column) -> Column:
 
     def for_encoding(enc: Column) -> Column:
         letters = F.element_at(F.create_map(*[F.lit(v) for kv in ALPHABETS.items() for v in kv]), enc)
-        norm = F.when(enc.isin("hex", "base36"), F.lower(run)).otherwise(F.translate(run, "-_", "+/"))
+        norm = F.when(enc.isin("hex", "base36", "letters26"), F.lower(run)).otherwise(F.translate(run, "-_", "+/"))
         chars = F.filter(F.split(norm, ""), lambda c: c != "")
         p = let(letters, lambda a: let(F.transform(chars, lambda c: F.call_function("instr", a, c).cast("double") - 1),
                                       lambda x: randomness_p(x, F.length(a).cast("double"))))
@@ -167,7 +173,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
         F.filter(_matches(t, ASSIGN, t.rlike(ASSIGN_SEEN), 3), lambda x: F.length(x["v"]) >= MIN_VALUE).alias("assign"),
         _matches(t, ACCESS, t.contains("AKIA")).alias("access"),
         _matches(t, HEX, t.rlike("[0-9a-f]{24}")).alias("hex"),
-        F.filter(_matches(t, RUN, t.rlike("[A-Za-z0-9+/_-]{20}")), lambda x: x["v"].rlike("[0-9]")).alias("run"),
+        _matches(t, RUN, t.rlike("[A-Za-z0-9+/_-]{20}")).alias("run"),
     )
     # A checkpoint here keeps the scan to one pass: what follows reads spans only.
     spans = checkpointed(spans)

@@ -175,6 +175,20 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert sum("random" in out[i] for i in range(200, 400)) <= 6
 
 
+def test_random_letters_without_a_digit_are_found(spark):
+    rnd = random.Random(6)
+    sets = [string.ascii_lowercase, string.ascii_letters, string.ascii_uppercase, string.ascii_letters + "+/"]
+    words = "the of and ation table road house green version build path query value index".split()
+    rows = [(i, "go " + "".join(rnd.choice(sets[i % 4]) for _ in range(rnd.choice([20, 24, 32, 40, 64, 200]))) + " end", "en", "s")
+            for i in range(200)]
+    for i in range(200, 400):
+        rows.append((i, f"see {'ab' * 12} or {'the' * 9} or " + "".join(rnd.choice(words) for _ in range(40)) + " or "
+                     + "".join(rnd.choice(words).title() for _ in range(40)) + " or " + "-" * 30, "en", "s"))
+    out = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.scan(make_docs(spark, rows))).collect()}
+    assert sum("random:3:" in out[i] for i in range(200)) >= 190
+    assert sum("random" in out[i] for i in range(200, 400)) <= 6
+
+
 def test_secret_scan_odd_and_empty(spark, odd_rows):
     docs = make_docs(spark, odd_rows, clashing=True)
     out = secret_scan.digest(secret_scan.scan(docs)).collect()
