@@ -6,7 +6,9 @@
 3. A seed in a document joins it to the item and fixes a diagonal; the words around it
    are aligned with the item by Smith-Waterman (match 1, mismatch and gap -0.5).  An
    alignment of ``share`` of the item's words and at least ``least`` is a leak, so
-   edited and paraphrased copies count as well as exact ones.
+   edited and paraphrased copies count as well as exact ones.  So is one of ``LONG``
+   that covers a seed rare in the corpus (in at most ``RARE_SHARE`` of the documents, or
+   in ``RARE_DOCS``), whatever its share of the item.
 
 The join is a lookup: item n-grams come in blocks of at most about ``BLOCK_ITEMS`` items,
 broadcast one block after the other, so a large benchmark costs more passes and no more
@@ -35,6 +37,10 @@ SEED = 3
 WINDOW = 3
 SHARE = 0.5
 LEAST = 6.0
+# Matched words less penalties that are a leak in themselves.
+LONG = 13.0
+RARE_SHARE = 1e-3
+RARE_DOCS = 10
 BLOCK_ITEMS = 50_000
 PENALTY = 0.5
 LEAK = "array<struct<item:int,score:double,share:double,word_start:int,word_end:int>>"
@@ -82,6 +88,7 @@ class Index:
     grams: np.ndarray | None = None
     seeds: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
     seed_codes: np.ndarray | None = None
+    rare: set[int] = field(default_factory=set)
 
     def __post_init__(self) -> None:
         for words in self.items:
@@ -105,8 +112,9 @@ class Index:
             known &= part >= 0
         return np.where(known, out, -1)
 
-    def choose_seeds(self, frequency: np.ndarray) -> None:
-        """``frequency``: documents per gram, in the order of ``grams``."""
+    def choose_seeds(self, frequency: np.ndarray, documents: int) -> None:
+        """``frequency``: of ``documents``, those with a gram, in the order of ``grams``."""
+        rare = frequency <= max(RARE_SHARE * documents, RARE_DOCS)
         for i, codes in enumerate(self.codes):
             g = self.grams_of(codes)
             f = frequency[np.searchsorted(self.grams, g)]
@@ -114,6 +122,7 @@ class Index:
             for q in sorted(chosen):
                 self.seeds.setdefault(int(g[q]), []).append((i, q))
         self.seed_codes = np.array(sorted(self.seeds), np.int64)
+        self.rare = set(self.grams[rare].tolist()) & set(self.seeds)
 
     def known(self, words: list[bytes]) -> np.ndarray:
         get = self.vocab.get
@@ -133,9 +142,12 @@ class Index:
         codes = self.known(words_of(text))
         at, g = self.found(codes, self.seed_codes)
         diagonals: dict[int, set[int]] = {}
+        rare: dict[int, list[int]] = {}
         for p, code in zip(at.tolist(), g.tolist()):
             for item, q in self.seeds[code]:
                 diagonals.setdefault(item, set()).add(p - q)
+                if code in self.rare:
+                    rare.setdefault(item, []).append(p)
         out = []
         for item, starts in sorted(diagonals.items()):
             target = self.codes[item]
@@ -152,12 +164,14 @@ class Index:
                 for a, b in _merged(starts, n, pad, len(codes)):
                     window = codes[a:b]
                     kinds, times = np.unique(window[window >= 0], return_counts=True)
-                    if sum(min(t, count[k]) for k, t in zip(kinds.tolist(), times.tolist()) if k in count) < need:
+                    spots = [p for p in rare.get(item, ()) if a <= p < b]
+                    if sum(min(t, count[k]) for k, t in zip(kinds.tolist(), times.tolist()) if k in count) < (min(need, LONG) if spots else need):
                         continue
                     score, x, y = align(target, window)
-                    if score > best[0]:
+                    long = score >= LONG and any(a + x <= p and p + SEED <= a + y for p in spots)
+                    if score > best[0] and (score >= need or long):
                         best = (score, a + x, a + y)
-            if best[0] >= need:
+            if best[0] > 0:
                 out.append((item, best[0], best[0] / n, best[1], best[2]))
         return out
 
@@ -177,23 +191,26 @@ def _merged(starts: set[int], n: int, pad: int, length: int) -> Iterator[tuple[i
         yield a, b
 
 
-def _frequencies(docs: DataFrame, text_col: str, sent) -> np.ndarray:
-    """Documents per n-gram, over all of ``docs``."""
+def _frequencies(docs: DataFrame, text_col: str, sent) -> tuple[np.ndarray, int]:
+    """Documents per n-gram, and documents, over all of ``docs``."""
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = sent.value
         n = np.zeros(len(index.grams), np.int64)
+        rows = 0
         for frame in frames:
+            rows += len(frame)
             for text in frame["text"]:
                 _, g = index.found(index.known(words_of(text)), index.grams)
                 n[np.searchsorted(index.grams, np.unique(g))] += 1
         at = np.flatnonzero(n)
-        yield pd.DataFrame({"gram": at, "n": n[at]})
+        yield pd.DataFrame({"gram": np.append(at, -1), "n": np.append(n[at], rows)})
 
     parts = docs.select(F.col(f"`{text_col}`").alias("text")).mapInPandas(count, "gram long, n long")
+    got = {r["gram"]: r["n"] for r in parts.groupBy("gram").agg(F.sum("n").alias("n")).collect()}  # grams of one block at most
+    documents = got.pop(-1, 0)
     total = np.zeros(len(sent.value.grams), np.int64)
-    for r in parts.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # grams of one block at most
-        total[r["gram"]] = r["n"]
-    return total
+    total[list(got.keys())] = list(got.values())
+    return total, documents
 
 
 def leak_columns(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -209,7 +226,7 @@ def leak_columns(docs: DataFrame, items: DataFrame, text_col: str = "text", item
                       key=lambda r: (r["item"] is None, r["item"], r["text"]))
         index = Index([words_of(r["text"]) for r in rows])
         sent = spark.sparkContext.broadcast(index)
-        index.choose_seeds(_frequencies(docs, text_col, sent))
+        index.choose_seeds(*_frequencies(docs, text_col, sent))
         sent.unpersist()
         seeded = spark.sparkContext.broadcast(index)
         out.append((F.pandas_udf(_one_series(seeded, share, least), LEAK)(F.col(f"`{text_col}`")), [r["item"] for r in rows]))

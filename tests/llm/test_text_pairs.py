@@ -159,6 +159,21 @@ def test_leaks_exact_and_edited_and_common(spark):
     assert {r.doc_id for r in clean.collect()} == set(range(400)) - {i for i, _ in got}
 
 
+def test_long_leaks_below_the_share(spark):
+    rnd = random.Random(12)
+    items = [[f"i{k}x{j}" for j in range(n)] for k, n in enumerate((59, 300, 59))]
+    items[2] = [f"common{j}" for j in range(20)] + items[2][20:]
+    swapped = [f"new{j}" if rnd.random() < 0.35 else w for j, w in enumerate(items[0])]
+    parts = [items[0][10:35], items[1][100:240], swapped, items[0][:10], ["alone"]]
+    rows = [(i, " ".join(["before", *p, "after"]), "en", "s") for i, p in enumerate(parts)]
+    # Twenty words of item 2 that many documents hold are no leak.
+    rows += [(i, " ".join(items[2][:20]) + f" own{i}", "en", "s") for i in range(10, 60)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id int, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.find_leaks(make_docs(spark, rows), bench).collect()}
+    assert set(got) == {(0, 0), (1, 1), (2, 0)}
+    assert got[0, 0] == 25 and got[1, 1] == 140
+
+
 def test_leaks_odd_rows_and_items(spark, odd_rows):
     docs = make_docs(spark, odd_rows, clashing=True)
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "x"), (4, "another text of the same id"), (4, "another text of the same id"),
