@@ -16,13 +16,16 @@ memory.  A document is read once to count and once to align, and only counts and
 leave the task.  An item that shares too few words with a window to reach the score is
 skipped before aligning (the bound is exact), and a verbatim copy needs no table.
 
-Words are lower-cased runs of letters, digits and non-ASCII characters.  Defined results:
-null and empty texts leak nothing; null or wordless items match nothing; items of fewer
-than three words are one n-gram and must occur whole.  Repeated items are separate items.
+Words are lower-cased runs of letters, digits and non-ASCII characters; in scripts without
+spaces each character is a word.  Defined results: null and empty texts leak nothing; null
+or wordless items match nothing; items of fewer than three words are one seed of their own
+length, looked up in every document, and must occur whole.  Repeated items are separate
+items.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -45,10 +48,18 @@ BLOCK_ITEMS = 50_000
 PENALTY = 0.5
 LEAK = "array<struct<item:int,score:double,share:double,word_start:int,word_end:int>>"
 _WORDS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+# Thai and Lao, Tibetan, Myanmar, Khmer, Kana, Bopomofo, Han.
+_UNSPACED = re.compile("([\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u312f\u31a0-\u31ff"
+                       "\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
+# CJK punctuation and full-width signs end a word.
+_SIGNS = re.compile("[\u3000-\u3004\u3008-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().translate(_WORDS).split()
+    text = text or ""
+    if not text.isascii():
+        text = _UNSPACED.sub(r" \1 ", _SIGNS.sub(" ", text))
+    return text.lower().encode().translate(_WORDS).split()
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int, int]:
@@ -89,25 +100,27 @@ class Index:
     seeds: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
     seed_codes: np.ndarray | None = None
     rare: set[int] = field(default_factory=set)
+    short: list[int] = field(default_factory=list)  # lengths of items under SEED words
 
     def __post_init__(self) -> None:
         for words in self.items:
             self.codes.append(np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words], np.int64))
         every = [self.grams_of(c) for c in self.codes if len(c)]
         self.grams = np.unique(np.concatenate(every)) if every else np.zeros(0, np.int64)
+        self.short = sorted({len(c) for c in self.codes if 0 < len(c) < SEED})
 
-    def grams_of(self, codes: np.ndarray) -> np.ndarray:
-        """N-gram codes by position (-1 where a word is unknown); a shorter sequence is one
-        n-gram, filled up with a word that none has."""
+    def grams_of(self, codes: np.ndarray, size: int = 0) -> np.ndarray:
+        """Codes of the n-grams of ``size`` words by position (-1 where a word is unknown).
+        Those of fewer than SEED words are filled up with a word that none has; without a
+        size, a sequence shorter than SEED is one n-gram."""
         base = len(self.vocab) + 1
-        if 0 < len(codes) < SEED:
-            codes = np.append(codes, np.full(SEED - len(codes), len(self.vocab)))
-        if len(codes) < SEED:
+        size = size or min(len(codes), SEED)
+        if not 0 < size <= len(codes):
             return np.zeros(0, np.int64)
-        out = np.zeros(len(codes) - SEED + 1, np.int64)
+        out = np.zeros(len(codes) - size + 1, np.int64)
         known = np.ones(len(out), bool)
         for k in range(SEED):
-            part = codes[k:k + len(out)]
+            part = codes[k:k + len(out)] if k < size else np.int64(len(self.vocab))
             out = out * base + part
             known &= part >= 0
         return np.where(known, out, -1)
@@ -130,13 +143,17 @@ class Index:
 
     def found(self, codes: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions and codes of the document's n-grams that are in ``among`` (sorted)."""
-        g = self.grams_of(codes)
-        at = np.flatnonzero(g >= 0)
-        if not len(at) or not len(among):
-            return at[:0], g[:0]
-        place = np.searchsorted(among, g[at])
-        at = at[among[np.minimum(place, len(among) - 1)] == g[at]]
-        return at, g[at]
+        spots, found = [], []
+        for size in (*self.short, SEED):
+            g = self.grams_of(codes, size)
+            at = np.flatnonzero(g >= 0)
+            if len(at) and len(among):
+                place = np.searchsorted(among, g[at])
+                at = at[among[np.minimum(place, len(among) - 1)] == g[at]]
+                spots.append(at)
+                found.append(g[at])
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *spots]), np.concatenate([none, *found])
 
     def leaks(self, text: str | None, share: float, least: float) -> list[tuple[int, float, float, int, int]]:
         codes = self.known(words_of(text))

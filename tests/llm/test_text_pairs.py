@@ -174,6 +174,15 @@ def test_long_leaks_below_the_share(spark):
     assert got[0, 0] == 25 and got[1, 1] == 140
 
 
+def test_short_and_unspaced_items_inside_documents(spark):
+    rows = [(0, "here Xyzzy stands", "en", "s"), (1, "and plugh, twice it is", "en", "s"), (2, "plugh it twice", "en", "s"),
+            (3, "我们今天去公园看花。明天再说", "zh", "s"), (4, "前文、日本の首都は東京である。後文", "ja", "s"), (5, "xyzzyx", "en", "s"), (6, "東京", "ja", "s")]
+    bench = spark.createDataFrame([(0, "xyzzy"), (1, "plugh twice"), (2, "今天去公园看花"), (3, "日本の首都は東京である"), (4, "公园")],
+                                  "item_id int, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(make_docs(spark, rows), bench).collect()}
+    assert got == {(0, 0), (1, 1), (3, 2), (4, 3), (3, 4)}
+
+
 def test_leaks_odd_rows_and_items(spark, odd_rows):
     docs = make_docs(spark, odd_rows, clashing=True)
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "x"), (4, "another text of the same id"), (4, "another text of the same id"),
