@@ -7,7 +7,8 @@ clearly below is not; the lines whose estimate lies within the sketch's error of
 threshold get an exact distinct count.  Every occurrence but the first (smallest id,
 then position) of a boilerplate line is removed, so the corpus keeps one copy.
 
-Only lines of ``min_words`` words or more count: short lines repeat by chance.  Lines are
+Only lines of ``min_words`` words or more count (1: every line that is not blank, as in
+the pipeline; the registered query follows its SQL, which asks for five).  Lines are
 compared trimmed, by a 64-bit hash.  All of it is DataFrame functions; the text itself
 shuffles once, to meet the positions to remove.
 
@@ -31,10 +32,10 @@ SIGMAS = 4.0
 
 
 def line_hashes(text: Column, min_words: int) -> Column:
-    """Hash of every line, null for lines of fewer words."""
+    """Hash of every line, null for blank lines and those of fewer words."""
     def one(line: Column) -> Column:
         body = F.trim(line, F.lit(" \t\r\x0b\x0c"))
-        return F.when(F.size(F.split(body, SPACE)) >= min_words, F.xxhash64(body))
+        return F.when((body != "") & (F.size(F.split(body, SPACE)) >= min_words), F.xxhash64(body))
 
     return F.transform(F.split(text, "\n"), one)
 

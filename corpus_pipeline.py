@@ -23,8 +23,8 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: all but the first copy of cross-site boilerplate lines go."""
-    cut = line_dedup.dedup_lines(docs)
+    """Operator 6: all but the first copy of cross-site boilerplate lines go, however short."""
+    cut = line_dedup.dedup_lines(docs, min_words=1)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

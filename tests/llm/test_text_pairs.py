@@ -301,3 +301,12 @@ def test_pipeline_odd_and_empty_tables(spark, odd_rows, sf_copy):
             assert out.columns[:len(docs.columns)] == docs.columns or name == "sentence_pieces"
             out.count()
     assert corpus_pipeline.run(spark, folder).count() >= 1
+
+
+def test_pipeline_cuts_boilerplate_of_any_length(spark):
+    rows = [(i, f"own line {i}\n\nAll rights reserved.\n版权所有不得转载\nOnly here {i % 4}", "en", f"s{i % 6}" if i else None) for i in range(12)]
+    cut = dict(corpus_pipeline.STAGES)["line_dedup"](spark, make_docs(spark, rows), SF_SMALL)
+    got = {r.doc_id: r.text for r in cut.collect()}
+    assert got[0] == rows[0][1]
+    for i in range(1, 12):  # blank lines, and lines on three sites, stay
+        assert got[i] == f"own line {i}\n\nOnly here {i % 4}"
