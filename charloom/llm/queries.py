@@ -5,6 +5,7 @@ Each query reads whole tables with production parameters and returns its full re
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,14 @@ from . import (
     lm_scoring,
     quality_classifier,
     quality_rules,
+    repeat_runs,
     secret_scan,
     sentence_pieces,
     simhash,
     token_counts,
+    token_files,
 )
-from .common import crc_mod, table
+from .common import WORD, crc_mod, shared_folder, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +76,43 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(docs))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
+    token_files.write_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), folder)
+    return token_files.read_ids(spark, folder, with_ids=False)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's change of every tenth document (by crc32): from word a on, the words
+    repeat with period p.  Words of a changed document are joined by one space."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"({WORD})"), 1))
+    w = docs.select("doc_id", "text", (h / 10).cast("long").alias("g"), words.alias("w"))
+    n = F.size("w")
+    w = w.withColumn("a", F.when(n > 0, F.col("g") % n))
+    w = w.withColumn("p", F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))))
+    place = F.sequence(F.lit(0).cast("long"), n - 1)
+    changed = F.transform(place, lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(
+        F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return w.select("doc_id", F.when(n > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_repeat_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = repeat_runs.find_runs(docs).select("doc_id", "found.*")
+    line = F.transform("runs", lambda r: F.concat(F.array_join(F.array(r["start"], r["length"], r["period"]), ","), F.lit("\n")))
+    # Greatest length / period, exactly: the first run of a list in order wins ties.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(
+        r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    top = found.withColumn("top", best)
+    return top.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"), F.col("top.length").alias("length"), F.col("top.period").alias("period"),
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 ORACLES: dict[str, str] = {}
 
 # Base measures by unnesting; the rules follow RULES.
@@ -135,6 +175,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_secret_scan": op10_secret_scan,
+    "op11_token_files": op11_token_files,
+    "op13_repeat_runs": op13_repeat_runs,
 }
 
 
