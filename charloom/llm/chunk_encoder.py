@@ -5,7 +5,11 @@ else, and what comes before never changes how the rest is cut.  So a text is cut
 chunks (white space and what follows up to the next); the chunks of a batch that are not
 remembered are joined and encoded by the tokenizers library in one call, and their ids,
 laid end to end, are those of the whole text (a test compares the two over all code
-points).
+points).  Texts whose only white space is single spaces and line feeds are cut and their
+chunks numbered by Arrow; others by a regular expression.
+
+Two tables of at most ``CACHE`` chunks are remembered: when the newer one is full it
+becomes the older one, and chunks met again move from the older to the newer.
 """
 
 from __future__ import annotations
@@ -16,16 +20,22 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .token_counts import _byte_letters
 
-CACHE = 500_000
+CACHE = 400_000
 LONGEST_KEPT = 64
 # The Unicode white space characters, as the pre-tokenizer's patterns see them.
 WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 # Chunks that may follow one another in one call: white space in front, none at the end.
 _JOINED = re.compile(f"[{WHITE}].*[^{WHITE}]", re.S)
+# A word between single spaces and line feeds that is none: empty, or white at an end.
+_RE2_WHITE = re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", WHITE)
+_NO_WORD = f"^$|^[{_RE2_WHITE}]|[{_RE2_WHITE}]$"
+_BEFORE = ("", " ", "\n")
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -47,7 +57,8 @@ class ChunkEncoder:
         self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
         self.dtype = np.dtype("<u2" if len(self.sizes) <= 1 << 16 else "<u4")
         self.cache = cache
-        self.known: dict[str, bytes] = {}
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _token_bytes(self) -> list[bytes]:
         letters = _byte_letters()
@@ -58,46 +69,93 @@ class ChunkEncoder:
             out[k] = piece.encode() if k in added else bytes(letters[c] for c in piece)
         return out
 
-    def _encode_new(self, chunks: list[str]) -> None:
+    def _encode_new(self, chunks: list[str]) -> dict[str, bytes]:
         joined = [c for c in chunks if _JOINED.fullmatch(c)]
-        single = [c for c in chunks if not _JOINED.fullmatch(c)]
-        ids = np.array(self.tokenizer.encode("".join(joined), add_special_tokens=False).ids, self.dtype)
+        single = [c for c in chunks if not _JOINED.fullmatch(c)] if len(joined) < len(chunks) else []
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, self.dtype)
         ends = np.cumsum(self.sizes[ids])
         wanted = np.cumsum([len(c.encode()) for c in joined], dtype=np.int64)
         cuts = np.searchsorted(ends, wanted, "right")
         if len(wanted) and not np.array_equal(ends[cuts - 1], wanted):
             raise ValueError("the tokenizer's tokens do not end where white space begins")
-        begin = 0
-        for chunk, end in zip(joined, cuts.tolist()):
-            self.known[chunk] = ids[begin:end].tobytes()
-            begin = end
+        raw, size = ids.tobytes(), self.dtype.itemsize
+        cuts = [0, *(cuts * size).tolist()]
+        out = {c: raw[i:j] for c, i, j in zip(joined, cuts, cuts[1:])}
         for chunk, coded in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False)):
-            self.known[chunk] = np.array(coded.ids, self.dtype).tobytes()
-
-    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one text after the other, and how many each has."""
-        chunks = [_CHUNK.findall(t) for t in texts]
-        n_chunks = np.array([len(c) for c in chunks], np.int64)
-        if not n_chunks.sum():
-            return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
-        code, used = pd.factorize(np.array([c for cs in chunks for c in cs], dtype=object))
-        known = self.known
-        new = [c for c in used if c not in known]
-        if len(known) + len(new) > self.cache:
-            known.clear()
-            new = list(used)
-        self._encode_new(new)
-        coded = [known[c] for c in used]
+            out[chunk] = np.array(coded.ids, self.dtype).tobytes()
+        return out
+
+    def _coded(self, chunks: list[str]) -> list[bytes]:
+        """The packed ids of distinct chunks."""
+        newer, older = self.newer, self.older
+        out, missing = [], []
+        for k, chunk in enumerate(chunks):
+            packed = newer.get(chunk)
+            if packed is None:
+                packed = older.get(chunk)
+                if packed is None:
+                    missing.append(k)
+                else:
+                    newer[chunk] = packed
+            out.append(packed)
+        if missing:
+            fresh = self._encode_new([chunks[k] for k in missing])
+            for k in missing:
+                out[k] = fresh[chunks[k]]
+            newer.update(fresh if max(map(len, fresh)) <= LONGEST_KEPT else {c: b for c, b in fresh.items() if len(c) <= LONGEST_KEPT})
+        if len(newer) > self.cache:
+            self.newer, self.older = {}, newer
+        return out
+
+    def _ids(self, chunks: list[str], code: np.ndarray, n_chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the chunks numbered ``code``, and how many each text has."""
+        coded = self._coded(chunks)
         flat = np.frombuffer(b"".join(coded), self.dtype)
         sizes = np.array([len(b) for b in coded], np.int64) // self.dtype.itemsize
         per_chunk = sizes[code]
-        ids = gather(flat, (np.cumsum(sizes) - sizes)[code], per_chunk)
         before = np.concatenate(([0], np.cumsum(per_chunk)))
         ends = np.cumsum(n_chunks)
-        for chunk in new:
-            if len(chunk) > LONGEST_KEPT:
-                del known[chunk]
-        return ids, before[ends] - before[ends - n_chunks]
+        return gather(flat, (np.cumsum(sizes) - sizes)[code], per_chunk), before[ends] - before[ends - n_chunks]
+
+    def _by_words(self, texts: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and counts of the texts that Arrow can cut, and which those are."""
+        lines = pc.split_pattern(texts, "\n")
+        words = pc.split_pattern(lines.flatten(), " ")
+        coded = words.flatten().dictionary_encode()
+        word = coded.indices.to_numpy()
+        kinds = len(_BEFORE)
+        line_starts = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+        text_starts = line_starts[lines.offsets.to_numpy() - lines.offsets[0].as_py()]
+        key = word.astype(np.int64) * kinds + 1
+        key[line_starts[:-1]] += 1
+        key[text_starts[:-1]] += _BEFORE.index(lead) - 2
+        n_words = np.diff(text_starts)
+        odd = pc.match_substring_regex(coded.dictionary, _NO_WORD).to_numpy(zero_copy_only=False)
+        plain = np.ones(len(texts), bool)
+        if odd.any():
+            plain[np.repeat(np.arange(len(texts)), n_words)[odd[word]]] = False
+            key = key[np.repeat(plain, n_words)]
+        used = np.zeros(kinds * len(odd), bool)
+        used[key] = True
+        number = np.cumsum(used) - 1
+        spelled = coded.dictionary.to_pylist()
+        chunks = [_BEFORE[k % kinds] + spelled[k // kinds] for k in np.flatnonzero(used).tolist()]
+        return *self._ids(chunks, number[key], n_words[plain]), plain
+
+    def encode(self, texts: pa.Array, lead: str = "") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (without nulls), one text after the other, and how many each
+        has; ``lead`` ("" or a space) is put in front of every text."""
+        ids, n, plain = self._by_words(texts, lead)
+        if plain.all():
+            return ids, n
+        chunks = [_CHUNK.findall(lead + t) for t in texts.filter(pa.array(~plain)).to_pylist()]
+        code, used = pd.factorize(np.array([c for cs in chunks for c in cs], dtype=object))
+        others, m = self._ids(list(used), code, np.array([len(c) for c in chunks], np.int64))
+        counts = np.zeros(len(texts), np.int64)
+        counts[plain], counts[~plain] = n, m
+        starts = np.zeros(len(texts), np.int64)
+        starts[plain], starts[~plain] = np.cumsum(n) - n, len(ids) + np.cumsum(m) - m
+        return gather(np.concatenate((ids, others)), starts, counts), counts
 
 
 _encoders: dict[tuple[int, bool], ChunkEncoder] = {}

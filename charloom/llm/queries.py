@@ -22,6 +22,7 @@ from . import (
     secret_scan,
     sentence_pieces,
     simhash,
+    token_alignment,
     token_counts,
     token_files,
 )
@@ -82,6 +83,17 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, folder, with_ids=False)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # The digest stands in for the groups' text, which is several times the input.
+    digest = F.when(F.col("groups").isNull(), "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    path = f"{shared_folder(spark)}/token-alignment-{uuid.uuid4().hex}"
+    aligned.withColumn("groups_sha256", digest).drop("groups").withColumn("row", F.monotonically_increasing_id()) \
+        .write.option("compression", "zstd").parquet(path)
+    scored = token_alignment.score_links(spark.read.parquet(path), "row")
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """The contract's change of every tenth document (by crc32): from word a on, the words
     repeat with period p.  Words of a changed document are joined by one space."""
@@ -176,6 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_secret_scan": op10_secret_scan,
     "op11_token_files": op11_token_files,
+    "op12_token_alignment": op12_token_alignment,
     "op13_repeat_runs": op13_repeat_runs,
 }
 

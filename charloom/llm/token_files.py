@@ -78,7 +78,7 @@ def write_ids(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: st
                 system.create_dir(path, recursive=True)
                 out = system.open_output_stream(f"{path}/{name}")
                 out.write(MAGIC)
-            ids, n = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
+            ids, n = encoder.encode(batch.column(1).fill_null(""))
             # The end id goes behind the ids of each document.
             flat = np.concatenate((ids, np.array(end, encoder.dtype)))
             cuts = np.cumsum(n)
