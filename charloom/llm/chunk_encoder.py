@@ -19,7 +19,6 @@ import re
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -149,8 +148,8 @@ class ChunkEncoder:
         if plain.all():
             return ids, n
         chunks = [_CHUNK.findall(lead + t) for t in texts.filter(pa.array(~plain)).to_pylist()]
-        code, used = pd.factorize(np.array([c for cs in chunks for c in cs], dtype=object))
-        others, m = self._ids(list(used), code, np.array([len(c) for c in chunks], np.int64))
+        numbered = pa.array([c for cs in chunks for c in cs], pa.string()).dictionary_encode()
+        others, m = self._ids(numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), np.array([len(c) for c in chunks], np.int64))
         counts = np.zeros(len(texts), np.int64)
         counts[plain], counts[~plain] = n, m
         starts = np.zeros(len(texts), np.int64)

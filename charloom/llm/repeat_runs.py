@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,7 +158,8 @@ def runs_of_batch(texts: list[list[str]], min_length: int = MIN_LENGTH, min_expo
     flat = [w for t in texts for w in t]
     if not flat:
         return out
-    word = pd.factorize(np.array(flat, dtype=object))[0].astype(np.int64)
+    # Arrow, not pandas, numbers the words: pandas ends a string at a null character.
+    word = pa.array(flat, pa.string()).dictionary_encode().indices.to_numpy().astype(np.int64)
     text = np.repeat(np.arange(len(texts)), sizes)
     # Texts in which m0 words in a row never come back have no run: their windows are
     # numbered two, four, ... words at a time, exactly.

@@ -41,7 +41,8 @@ VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
 VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
 REMEMBERED = 2_000_000
 BROADCAST_PAIRS = 2_000_000
-LARGE = 256
+LARGE = 256  # A x B tokens of a group, beyond which distinct pairs are multiplied
+SLICE_BYTES = 1 << 20
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<struct<pair long, links long>>"
 
 
@@ -233,8 +234,15 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_of(model_a.value, model_b.value)
         for batch in batches:
-            out = aligner.batch(batch.column(1))
-            yield pa.RecordBatch.from_pydict({id_col: batch.column(0)} | out)
+            # A text takes some hundred times its bytes while it is aligned.
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy().astype(np.int64))
+            first = 0
+            while first < batch.num_rows:
+                seen = sizes[first - 1] if first else 0
+                last = max(int(np.searchsorted(sizes, seen + SLICE_BYTES, "right")), first + 1)
+                part = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_pydict({id_col: part.column(0)} | aligner.batch(part.column(1)))
+                first = last
 
     own = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("text"))
     kind = own.schema[0].dataType.simpleString()
