@@ -42,7 +42,7 @@ VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
 REMEMBERED = 2_000_000
 BROADCAST_PAIRS = 2_000_000
 LARGE = 256  # A x B tokens of a group, beyond which distinct pairs are multiplied
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 3 << 19
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<struct<pair long, links long>>"
 
 
@@ -90,25 +90,30 @@ class Aligner:
         self.a, self.b = encoder, pieces
         self.space_a = np.array([t.startswith(b" ") for t in encoder.token_bytes])
         self.space_b = np.array([t.startswith(b" ") for t in pieces.token_bytes])
+        self.spelled = [(np.frombuffer(b"".join(v.token_bytes), np.uint8), np.cumsum(v.sizes) - v.sizes, v.sizes) for v in (encoder, pieces)]
         self.width = len(pieces.sizes)
         self.span = len(encoder.sizes) * self.width  # ids of a pair as one number below this
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}  # windows, numbered as they come
+        self.number: dict[bytes, int] = {}  # windows, numbered as they come
         self.text: list[str] = []
         self.totals = np.zeros((0, 3), np.int64)  # groups, links, distinct pairs of a window
         self.pairs = self.links = np.zeros(0, np.int64)  # of all windows, one after the other
         self.weight = 0
 
-    def _learn(self, keys: list[tuple[bytes, bytes]]) -> None:
+    def _learn(self, keys: list[bytes]) -> None:
         """Groups, links and text of new windows."""
-        a, b = (np.frombuffer(b"".join([k[side] for k in keys]), np.uint32).astype(np.int64) for side in (0, 1))
+        packed = np.frombuffer(b"".join(keys), np.uint32).astype(np.int64)
+        sizes = np.array([len(k) for k in keys], np.int64) // 4
+        starts = np.cumsum(sizes) - sizes
+        n_a = packed[starts]
+        a, b = gather(packed, starts + 1, n_a), gather(packed, starts + 1 + n_a, sizes - 1 - n_a)
         ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
         shared = common(ends_a, ends_b)
         cut_a, cut_b = (np.concatenate(([0], np.searchsorted(ends, shared, "right"))) for ends in (ends_a, ends_b))
         in_a, in_b = np.diff(cut_a), np.diff(cut_b)
-        last = np.searchsorted(shared, ends_a[np.cumsum([len(k[0]) // 4 for k in keys]) - 1], "right")
+        last = np.searchsorted(shared, ends_a[np.cumsum(n_a) - 1], "right")
         n_groups = np.diff(np.concatenate(([0], last)))
         window = np.repeat(np.arange(len(keys)), n_groups)
         # Every A token of a group with every B token; of a large group, each distinct pair once.
@@ -134,11 +139,23 @@ class Aligner:
         self.text += [";".join(groups[i:j]) for i, j in zip(first.tolist(), last.tolist())]
         self.weight += len(a) + len(b)
 
-    def _verified(self, spaced: list[bytes], ids: np.ndarray, n: np.ndarray, token_bytes: list[bytes]) -> np.ndarray:
-        """Which texts the tokens give back byte for byte."""
-        cuts = np.concatenate(([0], np.cumsum(n))).tolist()
-        listed = ids.tolist()
-        return np.array([b"".join(map(token_bytes.__getitem__, listed[i:j])) == s for s, i, j in zip(spaced, cuts, cuts[1:])], bool)
+    def _verified(self, text: np.ndarray, ends: np.ndarray, ids: np.ndarray, n: np.ndarray, side: int) -> np.ndarray:
+        """Which texts (``text`` holds them end to end, up to ``ends``) the tokens give back
+        byte for byte."""
+        flat, starts, sizes = self.spelled[side]
+        last = np.cumsum(n)
+        spelled_ends = np.concatenate(([0], np.cumsum(sizes[ids])))
+        ours = spelled_ends[last] - spelled_ends[last - n]
+        good = ours == np.diff(np.concatenate(([0], ends)))
+        back = gather(flat, starts[ids], sizes[ids])
+        if good.all():
+            wrong = np.flatnonzero(back != text)
+            good[np.searchsorted(ends, wrong, "right")] = False
+            return good
+        from_, to = spelled_ends[last - n], spelled_ends[last]
+        for k in np.flatnonzero(good).tolist():
+            good[k] = np.array_equal(back[from_[k]:to[k]], text[ends[k] - ours[k]:ends[k]])
+        return good
 
     def batch(self, column: pa.Array) -> dict[str, pa.Array]:
         if self.weight > REMEMBERED:
@@ -148,14 +165,16 @@ class Aligner:
         filled = column.take(pa.array(rows))
         texts = filled.to_pylist()
         raw = [b" " + t.encode() for t in texts]
+        joined = np.frombuffer(b"".join(raw), np.uint8)
+        lengths = np.array([len(r) for r in raw], np.int64)
         a, n_a = self.a.encode(filled, " ")
         b, n_b = self.b.encode(texts)
-        good = self._verified(raw, a, n_a, self.a.token_bytes) & self._verified(raw, b, n_b, self.b.token_bytes)
+        good = self._verified(joined, np.cumsum(lengths), a, n_a, 0) & self._verified(joined, np.cumsum(lengths), b, n_b, 1)
         if not good.all():
             a = gather(a, (np.cumsum(n_a) - n_a)[good], n_a[good])
             b = gather(b, (np.cumsum(n_b) - n_b)[good], n_b[good])
-            rows, n_a, n_b, raw = rows[good], n_a[good], n_b[good], [r for r, g in zip(raw, good) if g]
-        code, per_row = self._windows(a, n_a, b, n_b, np.cumsum([len(r) for r in raw], dtype=np.int64))
+            rows, n_a, n_b, lengths = rows[good], n_a[good], n_b[good], lengths[good]
+        code, per_row = self._windows(a, n_a, b, n_b, np.cumsum(lengths))
         totals = self.totals
         row = np.repeat(np.arange(len(rows)), per_row)
         first = np.cumsum(per_row) - per_row  # a verified text has a window at least
@@ -188,15 +207,20 @@ class Aligner:
         marked_a, marked_b = self.space_a[a], self.space_b[b]
         marked_a[np.cumsum(n_a)[:-1]] = marked_b[np.cumsum(n_b)[:-1]] = True  # a text begins
         shared = np.append(common(ends_a[:-1][marked_a[1:]], ends_b[:-1][marked_b[1:]]), text_ends[-1])
-        cut_a = (np.concatenate(([0], np.searchsorted(ends_a, shared, "right"))) * 4).tolist()
-        cut_b = (np.concatenate(([0], np.searchsorted(ends_b, shared, "right"))) * 4).tolist()
-        raw_a, raw_b = a.astype(np.uint32).tobytes(), b.astype(np.uint32).tobytes()
+        cut_a, cut_b = (np.concatenate(([0], np.searchsorted(ends, shared, "right"))) for ends in (ends_a, ends_b))
+        # A window's key: how many A ids it has, its A ids, its B ids.
+        n, in_a, in_b = len(shared), np.diff(cut_a), np.diff(cut_b)
+        starts = np.column_stack((np.arange(n), n + cut_a[:-1], n + len(a) + cut_b[:-1])).ravel()
+        sizes = np.column_stack((np.ones_like(in_a), in_a, in_b)).ravel()
+        packed = gather(np.concatenate((in_a, a, b)).astype(np.uint32), starts, sizes)
+        offsets = np.concatenate(([0], np.cumsum(1 + in_a + in_b))) * 4
+        keys = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(packed)]).dictionary_encode()
         known, before = self.number, len(self.number)
-        code = [known.setdefault((raw_a[i:j], raw_b[k:m]), len(known)) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+        number = np.array([known.setdefault(key, len(known)) for key in keys.dictionary.to_pylist()], np.int64)
         if len(known) > before:
             self._learn(list(islice(known, before, None)))
         per_text = np.diff(np.concatenate(([0], np.searchsorted(shared, text_ends, "right"))))
-        return np.array(code, np.int64), per_text
+        return number[keys.indices.to_numpy()], per_text
 
     def _pairs_of(self, row: np.ndarray, code: np.ndarray, n_pairs: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each row's distinct pairs with their links; ``at`` says where a row's begin."""
