@@ -7,9 +7,6 @@ remembered are joined and encoded by the tokenizers library in one call, and the
 laid end to end, are those of the whole text (a test compares the two over all code
 points).  Texts whose only white space is single spaces and line feeds are cut and their
 chunks numbered by Arrow; others by a regular expression.
-
-Two tables of at most ``CACHE`` chunks are remembered: when the newer one is full it
-becomes the older one, and chunks met again move from the older to the newer.
 """
 
 from __future__ import annotations
@@ -43,6 +40,55 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+class Memory:
+    """The packed ids of chunks, in two tables of at most ``cache`` chunks: when the newer
+    one is full it becomes the older one, and chunks met again move back to the newer."""
+
+    def __init__(self, encode_new, dtype: np.dtype, cache: int):
+        self.encode_new, self.dtype, self.cache = encode_new, dtype, cache
+        self.newer: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _coded(self, chunks: list[str]) -> list[bytes]:
+        newer, older = self.newer, self.older
+        out, missing = [], []
+        for k, chunk in enumerate(chunks):
+            packed = newer.get(chunk)
+            if packed is None:
+                packed = older.get(chunk)
+                if packed is None:
+                    missing.append(k)
+                else:
+                    newer[chunk] = packed
+            out.append(packed)
+        if missing:
+            fresh = self.encode_new([chunks[k] for k in missing])
+            for k in missing:
+                out[k] = fresh[chunks[k]]
+            newer.update({c: b for c, b in fresh.items() if len(c) <= LONGEST_KEPT})
+        if len(newer) > self.cache:
+            self.newer, self.older = {}, newer
+        return out
+
+    def ids(self, chunks: list[str], code: np.ndarray, n_chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the distinct ``chunks`` numbered ``code``, and how many each text has."""
+        coded = self._coded(chunks)
+        flat = np.frombuffer(b"".join(coded), self.dtype)
+        sizes = np.array([len(b) for b in coded], np.int64) // self.dtype.itemsize
+        per_chunk = sizes[code]
+        before = np.concatenate(([0], np.cumsum(per_chunk)))
+        ends = np.cumsum(n_chunks)
+        return gather(flat, (np.cumsum(sizes) - sizes)[code], per_chunk), before[ends] - before[ends - n_chunks]
+
+
+def woven(plain: np.ndarray, first: tuple[np.ndarray, np.ndarray], second: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, counts) of all texts from those of the ``plain`` ones and of the others."""
+    counts, starts = np.zeros(len(plain), np.int64), np.zeros(len(plain), np.int64)
+    counts[plain], counts[~plain] = first[1], second[1]
+    starts[plain], starts[~plain] = np.cumsum(first[1]) - first[1], len(first[0]) + np.cumsum(second[1]) - second[1]
+    return gather(np.concatenate((first[0], second[0])), starts, counts), counts
+
+
 class ChunkEncoder:
     """Encodes batches of texts with the tokenizer in ``model`` (the bytes of its file)."""
 
@@ -55,9 +101,7 @@ class ChunkEncoder:
         self.token_bytes = self._token_bytes()
         self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
         self.dtype = np.dtype("<u2" if len(self.sizes) <= 1 << 16 else "<u4")
-        self.cache = cache
-        self.newer: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.memory = Memory(self._encode_new, self.dtype, cache)
 
     def _token_bytes(self) -> list[bytes]:
         letters = _byte_letters()
@@ -84,38 +128,6 @@ class ChunkEncoder:
             out[chunk] = np.array(coded.ids, self.dtype).tobytes()
         return out
 
-    def _coded(self, chunks: list[str]) -> list[bytes]:
-        """The packed ids of distinct chunks."""
-        newer, older = self.newer, self.older
-        out, missing = [], []
-        for k, chunk in enumerate(chunks):
-            packed = newer.get(chunk)
-            if packed is None:
-                packed = older.get(chunk)
-                if packed is None:
-                    missing.append(k)
-                else:
-                    newer[chunk] = packed
-            out.append(packed)
-        if missing:
-            fresh = self._encode_new([chunks[k] for k in missing])
-            for k in missing:
-                out[k] = fresh[chunks[k]]
-            newer.update(fresh if max(map(len, fresh)) <= LONGEST_KEPT else {c: b for c, b in fresh.items() if len(c) <= LONGEST_KEPT})
-        if len(newer) > self.cache:
-            self.newer, self.older = {}, newer
-        return out
-
-    def _ids(self, chunks: list[str], code: np.ndarray, n_chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the chunks numbered ``code``, and how many each text has."""
-        coded = self._coded(chunks)
-        flat = np.frombuffer(b"".join(coded), self.dtype)
-        sizes = np.array([len(b) for b in coded], np.int64) // self.dtype.itemsize
-        per_chunk = sizes[code]
-        before = np.concatenate(([0], np.cumsum(per_chunk)))
-        ends = np.cumsum(n_chunks)
-        return gather(flat, (np.cumsum(sizes) - sizes)[code], per_chunk), before[ends] - before[ends - n_chunks]
-
     def _by_words(self, texts: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids and counts of the texts that Arrow can cut, and which those are."""
         lines = pc.split_pattern(texts, "\n")
@@ -139,7 +151,7 @@ class ChunkEncoder:
         number = np.cumsum(used) - 1
         spelled = coded.dictionary.to_pylist()
         chunks = [_BEFORE[k % kinds] + spelled[k // kinds] for k in np.flatnonzero(used).tolist()]
-        return *self._ids(chunks, number[key], n_words[plain]), plain
+        return *self.memory.ids(chunks, number[key], n_words[plain]), plain
 
     def encode(self, texts: pa.Array, lead: str = "") -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (without nulls), one text after the other, and how many each
@@ -149,21 +161,17 @@ class ChunkEncoder:
             return ids, n
         chunks = [_CHUNK.findall(lead + t) for t in texts.filter(pa.array(~plain)).to_pylist()]
         numbered = pa.array([c for cs in chunks for c in cs], pa.string()).dictionary_encode()
-        others, m = self._ids(numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), np.array([len(c) for c in chunks], np.int64))
-        counts = np.zeros(len(texts), np.int64)
-        counts[plain], counts[~plain] = n, m
-        starts = np.zeros(len(texts), np.int64)
-        starts[plain], starts[~plain] = np.cumsum(n) - n, len(ids) + np.cumsum(m) - m
-        return gather(np.concatenate((ids, others)), starts, counts), counts
+        others = self.memory.ids(numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), np.array([len(c) for c in chunks], np.int64))
+        return woven(plain, (ids, n), others)
 
 
 _encoders: dict[tuple[int, bool], ChunkEncoder] = {}
 
 
-def encoder_of(model: bytes, plain_specials: bool = False) -> ChunkEncoder:
+def encoder_of(model: bytes, plain_specials: bool = False, cache: int = CACHE) -> ChunkEncoder:
     """One encoder per Python worker and vocabulary (a worker outlives its tasks)."""
     key = (hash(model), plain_specials)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = ChunkEncoder(model, plain_specials)
+        _encoders[key] = ChunkEncoder(model, plain_specials, cache)
     return _encoders[key]

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,10 +166,12 @@ def bigram_rows(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray
     number a text."""
     lists = [words_of(t) for t in texts]
     lengths = np.array([len(x) for x in lists], np.int64)
-    words = np.array([w for x in lists for w in x], dtype=object)
-    if not len(words):
+    words = [w for x in lists for w in x]
+    if not words:
         return (np.zeros(0, np.int64),) * 4
-    ids, kinds = pd.factorize(words)
+    # Numbered by Arrow: pandas ends a string at a null character.
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    ids, kinds = coded.indices.to_numpy().astype(np.int64), np.array(coded.dictionary.to_pylist(), dtype=object)
     hashes = np.append(pd.util.hash_array(kinds, categorize=False).view(np.int64), START)
     base = len(hashes)
     before = np.concatenate([[base - 1], ids[:-1]])

@@ -60,8 +60,7 @@ RULES: tuple[Rule, ...] = (
     Rule("exclamations", lambda t, m: _share(F.regexp_count(t, F.lit("!")), m["n_words"], 0.5)),
     Rule("capitals", lambda t, m: _share(F.regexp_count(t, F.lit(r"\p{Lu}")), m["word_chars"], 0.6)),
     Rule("digits", lambda t, m: _share(F.regexp_count(t, F.lit("[0-9]")), m["word_chars"], 0.4)),
-    Rule("stutter", lambda t, m: _share(F.regexp_count(t, F.lit(
-        r"(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D])")), m["n_words"], 0.3)),
+    Rule("stutter", lambda t, m: _share(m["n_stutter"], m["n_words"], 0.3)),
 )
 
 
@@ -71,8 +70,14 @@ def _paired(x: Column, n: int) -> Column:
     return F.zip_with(F.slice(x, 1, rest), F.slice(x, n + 1, rest), lambda a, b: F.xxhash64(a, b))
 
 
+def _equal_neighbours(x: Column) -> Column:
+    """How many elements equal the one after them."""
+    rest = F.greatest(F.size(x) - 1, F.lit(0))
+    return F.size(F.filter(F.zip_with(F.slice(x, 1, rest), F.slice(x, 2, rest), lambda a, b: a == b), lambda same: same)).cast("long")
+
+
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Append the base measures (long) to every row.
+    """Append the base measures and n_stutter, words equal to the next (long), to every row.
 
     A repeated word is one inside an 8-word window that occurs twice or more in the
     text.  Windows are compared by a 64-bit hash of their words; texts without two
@@ -81,9 +86,11 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     own = {k: internal(docs, f"_{k}") for k in ("t", "a", "c", "w", "h2", "h4", "h", "s", "p", "l")}
     t, a, c, w, h2, h4, h, s, p, lines = (F.col(v) for v in own.values())
-    keep = [c for c in docs.columns if c.lower() not in MEASURES]
+    keep = [c for c in docs.columns if c.lower() not in (*MEASURES, "n_stutter")]
     cols = [F.col(f"`{c}`") for c in keep]
     n = F.size(w)
+    stutter = internal(docs, "_e")
+    e = F.col(stutter)
 
     out = docs.select(*cols, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias(own["t"]))
     words = F.array_remove(F.split(t, SPACE), "")
@@ -92,17 +99,17 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
                      F.transform(a, lambda x: F.xxhash64(x)).alias(own["w"]))
     # Windows of 8 from pairs of 4 from pairs of 2 from pairs of words.  (slice() inside
     # a lambda would copy the whole array for every window.)
-    out = out.select(*cols, t, c, w, _paired(w, 1).alias(own["h2"]))
-    out = out.select(*cols, t, c, w, _paired(h2, 2).alias(own["h4"]))
-    out = out.select(*cols, t, c, w, F.when(n > WINDOW, _paired(h4, 4))
+    out = out.select(*cols, t, c, w, _equal_neighbours(w).alias(stutter), _paired(w, 1).alias(own["h2"]))
+    out = out.select(*cols, t, c, w, e, _paired(h2, 2).alias(own["h4"]))
+    out = out.select(*cols, t, c, w, e, F.when(n > WINDOW, _paired(h4, 4))
                      .otherwise(F.array().cast("array<bigint>")).alias(own["h"]))
     keyed = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    out = out.select(*cols, t, c, w, F.when(F.size(F.array_distinct(h)) < F.size(h), keyed)
+    out = out.select(*cols, t, c, w, e, F.when(F.size(F.array_distinct(h)) < F.size(h), keyed)
                      .otherwise(F.array().cast("array<struct<x:bigint,i:int>>")).alias(own["s"]))
     twice = F.filter(s, lambda e, j: (F.try_element_at(s, j + 2)["x"] == e["x"]) |
                      F.when(j > 0, F.get(s, j - 1)["x"] == e["x"]).otherwise(F.lit(False)))
     with_word = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = out.select(*cols, t, c, w, F.sort_array(F.transform(twice, lambda e: e["i"])).alias(own["p"]),
+    out = out.select(*cols, t, c, w, e, F.sort_array(F.transform(twice, lambda x: x["i"])).alias(own["p"]),
                      with_word.alias(own["l"]))
     covered = F.aggregate(
         F.transform(p, lambda x, j: F.coalesce(F.least(F.lit(WINDOW), F.try_element_at(p, j + 2) - x), F.lit(WINDOW))),
@@ -114,6 +121,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
+        e.alias("n_stutter"),
     )
 
 
@@ -124,7 +132,7 @@ def base_failed() -> Column:
 
 def _rejects(rule: Rule, text_col: str) -> Column:
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    return F.coalesce(rule.rejects(text, {k: F.col(k) for k in MEASURES}), F.lit(False))
+    return F.coalesce(rule.rejects(text, {k: F.col(k) for k in (*MEASURES, "n_stutter")}), F.lit(False))
 
 
 def plan_cascade(docs: DataFrame, rules: Sequence[Rule] = RULES, text_col: str = "text",

@@ -158,17 +158,15 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-# Exact distinct sites per trimmed line of five words or more; the first copy stays.
+# Exact distinct sites per trimmed line that is not blank; the first copy stays.
 ORACLES["op6_line_dedup"] = r"""
 WITH l AS (
   SELECT doc_id, text, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents),
-k AS (SELECT *, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS body FROM l),
-e AS (SELECT *, len(string_split_regex(body, '[\x20\x09-\x0D]+')) >= 5 AS counts FROM k),
-common AS (SELECT body FROM e WHERE counts GROUP BY body HAVING count(DISTINCT coalesce('=' || source, '')) >= 5),
+e AS (SELECT *, trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS body FROM l),
+common AS (SELECT body FROM e WHERE body <> '' GROUP BY body HAVING count(DISTINCT coalesce('=' || source, '')) >= 5),
 r AS (
-  SELECT e.*, counts AND body IN (SELECT body FROM common)
-         AND row_number() OVER (PARTITION BY counts, body ORDER BY doc_id, pos) > 1 AS gone
+  SELECT e.*, body IN (SELECT body FROM common) AND row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) > 1 AS gone
   FROM e)
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_removed,
        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text

@@ -25,6 +25,7 @@ of their own.  Task memory: an Arrow batch with its groups, and the remembered w
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
@@ -34,15 +35,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunk_encoder import encoder_of, gather
+from .chunk_encoder import Memory, encoder_of, gather, woven
 from .common import checkpointed
 
 VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
 VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
-REMEMBERED = 2_000_000
+REMEMBERED = 3_000_000
+CACHE = 250_000
 BROADCAST_PAIRS = 2_000_000
 LARGE = 256  # A x B tokens of a group, beyond which distinct pairs are multiplied
-SLICE_BYTES = 3 << 19
+SLICE_BYTES = 1 << 20
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<struct<pair long, links long>>"
 
 
@@ -62,14 +64,47 @@ def summed(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return key[first], np.add.reduceat(weight[order], first)
 
 
+def _fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a protocol-buffer message."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            out |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return out
+
+    while at < len(message):
+        tag = number()
+        if tag & 7 == 0:
+            yield tag >> 3, number()
+        else:
+            size = {1: 8, 5: 4}.get(tag & 7) or number()
+            yield tag >> 3, message[at:at + size]
+            at += size
+
+
 class Pieces:
-    """The piece vocabulary: encoding, and each piece's bytes."""
+    """The piece vocabulary: encoding, and each piece's bytes.
 
-    def __init__(self, model: bytes):
+    Where the model changes no character, keeps every space, puts one in front, merges
+    pieces (BPE) and has none with a space behind another character, nothing is ever merged
+    across the space before a word: the ids of a text are those of its words, laid end to
+    end.  Then distinct words are encoded and remembered; texts with other spacing, and all
+    texts of other models, are encoded whole."""
+
+    def __init__(self, model: bytes, cache: int = CACHE):
         import sentencepiece
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.token_bytes = [self._bytes(k) for k in range(self.processor.get_piece_size())]
         self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
+        self.by_words = self._words_stand_alone(model)
+        self.memory = Memory(self._encode_new, np.dtype(np.uint32), cache)
 
     def _bytes(self, k: int) -> bytes:
         piece = self.processor.id_to_piece(k)
@@ -77,10 +112,43 @@ class Pieces:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _words_stand_alone(self, model: bytes) -> bool:
+        # Fixed values of the published model format: trainer 2 (model type 3, BPE is 2),
+        # normaliser 3 (character map 2, space in front 3, extra spaces removed 4).
+        spec = {n: dict(_fields(v)) for n, v in _fields(model) if n in (2, 3)}
+        rules = spec.get(3, {})
+        plain = not rules.get(2) and rules.get(3, 1) == 1 and rules.get(4, 1) == 0
+        pieces = map(self.processor.id_to_piece, range(len(self.token_bytes)))
+        return plain and spec.get(2, {}).get(3, 1) == 2 and not any("▁" in p.lstrip("▁") for p in pieces)
+
+    def _encode_new(self, words: list[str]) -> dict[str, bytes]:
+        return {w: array("I", ids).tobytes() for w, ids in zip(words, self.processor.encode(words, num_threads=1))}
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = self.processor.encode(texts, num_threads=1)
         n = np.array([len(row) for row in ids], np.int64)
-        return np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum())), n
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (without nulls), and how many each has."""
+        if not self.by_words or not len(texts):
+            return self._whole(texts.to_pylist())
+        words = pc.split_pattern(texts, " ")
+        coded = words.flatten().dictionary_encode()
+        n_words = np.diff(words.offsets.to_numpy()).astype(np.int64)
+        code = coded.indices.to_numpy()
+        spelled = coded.dictionary.to_pylist()
+        plain = np.ones(len(texts), bool)
+        # Spaces next to each other or at an end, or the model's own sign for a space.
+        odd = pc.or_(pc.equal(coded.dictionary, ""), pc.match_substring(coded.dictionary, "▁")).to_numpy(zero_copy_only=False)
+        if odd.any():
+            plain[np.repeat(np.arange(len(texts)), n_words)[odd[code]]] = False
+            code = code[np.repeat(plain, n_words)]
+        used, code = np.unique(code, return_inverse=True)
+        ids, n = self.memory.ids([spelled[k] for k in used.tolist()], code, n_words[plain])
+        if plain.all():
+            return ids, n
+        return woven(plain, (ids, n), self._whole(texts.filter(pa.array(~plain)).to_pylist()))
 
 
 class Aligner:
@@ -168,7 +236,7 @@ class Aligner:
         joined = np.frombuffer(b"".join(raw), np.uint8)
         lengths = np.array([len(r) for r in raw], np.int64)
         a, n_a = self.a.encode(filled, " ")
-        b, n_b = self.b.encode(texts)
+        b, n_b = self.b.encode(filled)
         good = self._verified(joined, np.cumsum(lengths), a, n_a, 0) & self._verified(joined, np.cumsum(lengths), b, n_b, 1)
         if not good.all():
             a = gather(a, (np.cumsum(n_a) - n_a)[good], n_a[good])
@@ -243,7 +311,7 @@ def aligner_of(model_a: bytes, model_b: bytes) -> Aligner:
     key = (hash(model_a), hash(model_b))
     if key not in _aligners:
         _aligners.clear()
-        _aligners[key] = Aligner(encoder_of(model_a, plain_specials=True), Pieces(model_b))
+        _aligners[key] = Aligner(encoder_of(model_a, True, CACHE), Pieces(model_b))
     return _aligners[key]
 
 

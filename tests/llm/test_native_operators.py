@@ -65,6 +65,14 @@ def test_rules_empty_table(spark):
     assert quality_rules.apply_cascade(docs).count() == 0
 
 
+def test_tripled_words_stutter(spark):
+    words = " ".join(f"{w} {w} {w}" for w in ("five", "tripled", "words", "stand", "here"))
+    rest = " ".join(f"other{chr(97 + k)}" for k in range(15))
+    rows = [(1, f"{words} {rest}", "en", "a"), (2, f"{words} {rest} " + " ".join(f"more{chr(97 + k)}" for k in range(15)), "en", "a")]
+    out = {r.doc_id: (r.n_stutter, r.kept) for r in quality_rules.apply_cascade(make_docs(spark, rows)).collect()}
+    assert out == {1: (10, False), 2: (10, True)}
+
+
 def test_cascade_order_never_changes_the_verdict(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     plan = quality_rules.plan_cascade(docs)
@@ -76,13 +84,13 @@ def test_cascade_order_never_changes_the_verdict(spark):
     assert a == b
 
 
-def cut_lines(rows, min_sites, min_words=5):
+def cut_lines(rows, min_sites):
     """Brute force of the line dedup over (doc_id, text, source) rows."""
     places, sites = {}, {}
     for i, t, s in rows:
         for pos, line in enumerate(t.split("\n") if t is not None else []):
             body = line.strip(" \t\r\x0b\x0c")
-            if len(re.split(r"[\x20\x09-\x0D]+", body)) >= min_words:
+            if body:
                 sites.setdefault(body, set()).add(s)
                 places.setdefault(body, []).append((i is None, i or 0, pos))
     common = {b: min(places[b]) for b in sites if len(sites[b]) >= min_sites}
@@ -114,6 +122,19 @@ def test_line_dedup(spark, odd_rows, min_sites):
     assert got == cut_lines([(i, t, s) for i, t, _, s in rows], min_sites)
 
 
+def test_short_boilerplate_goes_and_long_documents_are_cut_in_linear_time(spark):
+    import time
+    rows = [(i, f"Menu\nAll rights reserved.\nown {i}\n\n\u7248\u6b0a\u6240\u6709", "en", f"s{i}") for i in range(8)]
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(make_docs(spark, rows)).collect()}
+    assert out[0] == rows[0][1] and all(out[i] == f"own {i}\n" for i in range(1, 8))
+    shared = "\n".join(f"line {k}" for k in range(40_000))
+    long = [(i, f"{shared}\nown {i}", "en", f"s{i}") for i in range(6)]
+    began = time.time()
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.dedup_lines(make_docs(spark, long)).collect()}
+    assert time.time() - began < 40
+    assert out[0] == (long[0][1], 0) and all(out[i] == (f"own {i}", 40_000) for i in range(1, 6))
+
+
 def test_line_dedup_empty_table(spark):
     assert line_dedup.dedup_lines(make_docs(spark, [(1, "a", "en", "s")]).where("doc_id > 1")).count() == 0
 

@@ -303,6 +303,24 @@ def test_pipeline_odd_and_empty_tables(spark, odd_rows, sf_copy):
     assert corpus_pipeline.run(spark, folder).count() >= 1
 
 
+def test_pipeline_keeps_the_columns_of_its_input(spark, sf_copy):
+    own = {"a.b": "concat('dot', doc_id)", "n_words": "doc_id * 3", "kept": "doc_id = 3", "N_Removed": "concat('r', doc_id)",
+           "failed_rule": "'mine'", "n_stutter": "7", "_own0": "doc_id + 1", "n_lines": "-1"}
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60)
+    docs = docs.selectExpr("*", *[f"{e} as `{c}`" for c, e in own.items()])
+    folder = sf_copy(documents=docs, benchmark=spark.read.parquet(f"{SF_SMALL}/benchmark.parquet"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows
+        for r in rows:
+            i = r["doc_id"]
+            assert (r["a.b"], r["n_words"], r["kept"], r["N_Removed"], r["failed_rule"], r["n_stutter"], r["_own0"], r["n_lines"]) == (
+                f"dot{i}", 3 * i, i == 3, f"r{i}", "mine", 7, i + 1, -1), name
+
+
 def test_pipeline_cuts_boilerplate_of_any_length(spark):
     rows = [(i, f"own line {i}\n\nAll rights reserved.\n版权所有不得转载\nOnly here {i % 4}", "en", f"s{i % 6}" if i else None) for i in range(12)]
     cut = dict(corpus_pipeline.STAGES)["line_dedup"](spark, make_docs(spark, rows), SF_SMALL)
