@@ -9,23 +9,36 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from charloom.llm import decontamination, line_dedup, quality_rules, sentence_pieces, simhash
 from charloom.llm.common import bounded_batches, shared_folder
 
 
+# The columns that the operators read; n_chars follows the text.
+READ = ("doc_id", "text", "source")
+
+
+def _aside(docs: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with every column that no operator reads under a name of its own, so that
+    no operator's result column takes its place; and the way back."""
+    names = [c if c in READ else f"_own{i}" for i, c in enumerate(docs.columns)]
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)])
+    return renamed, [F.col(n).alias(c) for c, n in zip(docs.columns, names)]
+
+
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: documents that a rule rejects go."""
-    judged = quality_rules.apply_cascade(docs)
-    return judged.where(F.col("kept")).select(*docs.columns)
+    renamed, back = _aside(docs)
+    return quality_rules.apply_cascade(renamed).where(F.col("kept")).select(*back)
 
 
 def stage_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: all but the first copy of cross-site boilerplate lines go, however short."""
-    cut = line_dedup.dedup_lines(docs, min_words=1)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    renamed, back = _aside(docs)
+    cut = line_dedup.dedup_lines(renamed)
+    return cut.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else b for c, b in zip(docs.columns, back)])
 
 
 def stage_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
