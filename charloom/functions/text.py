@@ -8,6 +8,7 @@ Arrow-batched and only receive the rows that can change.
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -26,9 +27,39 @@ PY_WHITESPACE_CLASS = (
 )
 
 # Every code point below U+0300 is NFC-stable and none of them composes with a
-# neighbour below U+0300 (tests/test_text.py checks all pairs), so only rows
-# with a code point at or above U+0300 are sent to Python.
-_MAY_CHANGE_UNDER_NFC = "[^\\x{00}-\\x{2ff}]"
+# neighbour below U+0300 (tests/test_text.py checks all pairs): a first, cheap test.
+_BEYOND_LATIN = "[^\\x{00}-\\x{2ff}]"
+# Neighbouring ranges of the quick-check class this near are joined, which only sends a
+# few more rows to Python: a pattern tests range after range.
+_JOIN_GAP = 64
+
+
+@lru_cache(maxsize=1)
+def nfc_quick_check() -> list[tuple[int, int]]:
+    """Ranges that cover every code point that NFC can change or that can change a
+    neighbour: with a combining class, replaced by NFC, or the second half of a canonical
+    pair (Hangul vowels and final consonants included).  Text without any is in NFC."""
+    found = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
+    for c in range(0x110000):
+        ch = chr(c)
+        if unicodedata.combining(ch):
+            found.add(c)
+        parts = unicodedata.decomposition(ch)
+        if parts and parts[0] != "<":
+            if unicodedata.normalize("NFC", ch) != ch:
+                found.add(c)
+            found.update(int(p, 16) for p in parts.split()[1:])
+    ranges: list[tuple[int, int]] = []
+    for c in sorted(found):
+        if ranges and c - ranges[-1][1] <= _JOIN_GAP:
+            ranges[-1] = (ranges[-1][0], c)
+        else:
+            ranges.append((c, c))
+    return ranges
+
+
+def _may_change_under_nfc() -> str:
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in nfc_quick_check()) + "]"
 
 
 @F.arrow_udf(StringType())
@@ -50,10 +81,11 @@ _decode_ignore_arrow = _decode_ignore_arrow.asNondeterministic()
 
 
 def nfc(col: Column | str) -> Column:
-    """Unicode NFC.  Rows without a code point >= U+0300 pass through untouched;
-    the UDF sees a null for them, so only the rows that can change cross to Python."""
+    """Unicode NFC.  Rows without a code point of ``nfc_quick_check`` pass through
+    untouched (most text in any script but those written with combining marks); the UDF
+    sees a null for them, so only the rows that can change cross to Python."""
     c = F.col(col) if isinstance(col, str) else col
-    needs = c.rlike(_MAY_CHANGE_UNDER_NFC)
+    needs = c.rlike(_BEYOND_LATIN) & c.rlike(_may_change_under_nfc())
     return F.coalesce(_nfc_arrow(F.when(needs, c)), c)
 
 

@@ -41,10 +41,13 @@ def check_aligned(inputs: DataFrame, gold: DataFrame) -> DataFrame:
 
 
 def compare(preds_by_model: Mapping[str, DataFrame], gold: DataFrame,
-            seconds: Mapping[str, float] | None = None) -> DataFrame:
+            seconds: Mapping[str, float] | None = None, inputs: DataFrame | None = None) -> DataFrame:
     """Accuracy of every model on one dev set (case-sensitive substring test,
     0 for an empty set) and the winner: the first model wins ties (M11); on an
-    exact tie the faster one is named when ``seconds`` are given."""
+    exact tie the faster one is named when ``seconds`` are given.  With ``inputs``, they
+    and the answers must align first (J5)."""
+    if inputs is not None:
+        require_aligned(inputs, gold)
     parts = []
     for order, (name, preds) in enumerate(preds_by_model.items()):
         j = gold.select("qid", "answer").join(preds.select("qid", "pred"), "qid", "left")

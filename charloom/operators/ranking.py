@@ -57,3 +57,23 @@ def top_n_exact(df: DataFrame, n: int, order_by: Sequence[Column | str],
     if n <= 0:
         return ordinal(df, order_by, partition_by, name).where(F.lit(False))
     return ordinal(df, order_by, partition_by, name).where(F.col(name) <= n)
+
+
+# Rows of a key table that one task may number.
+ONE_TASK_ROWS = 1_000_000
+
+
+def indexed(keys: DataFrame, key: str, name: str) -> tuple[DataFrame, int]:
+    """``keys`` (distinct values of one column) with their 0-based position in sorted order,
+    nulls first, and how many there are.  They are written once; few are numbered in one
+    task, many by ``ordinal``."""
+    from charloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(keys.sparkSession)
+    kept = keys.checkpoint(eager=True)
+    n = kept.count()
+    order = F.col(key).asc_nulls_first()
+    if n <= ONE_TASK_ROWS:
+        numbered = kept.withColumn(name, F.row_number().over(Window.orderBy(order)))
+    else:
+        numbered = ordinal(kept, [order], name=name)
+    return numbered.withColumn(name, (F.col(name) - 1).cast("long")), n

@@ -18,6 +18,9 @@ from charloom.operators import counts, predict as pred_ops, scoring
 from charloom.operators.scoring import BaseStats
 from charloom.operators.trim import trim
 
+# A guess table of more rows (about 130 bytes each) is not broadcast.
+BROADCAST_CONTEXTS = 500_000
+
 # The built-in padding characters, in order.
 BUILTIN_DEFAULT_CHARS = [" ", ".", ",", "。", "،", "।", "，", "・", "-"]
 
@@ -62,6 +65,8 @@ class CharModel:
     _stats: BaseStats | None = None
     _levels: DataFrame | None = None
     _prefix: dict = field(default_factory=dict)
+    _unseen: dict = field(default_factory=dict)
+    _tables: dict = field(default_factory=dict)
 
     # ------------------------------------------------------------------ fit
     @classmethod
@@ -121,15 +126,67 @@ class CharModel:
             self._prefix[key] = scoring.base_ranking_prefix(self.base_counts(), a, self.base_stats(), length)
         return self._prefix[key]
 
-    def prepare(self, k: int = 3) -> "CharModel":
+    def prepare(self, k: int = 3, guess_table: bool = False) -> "CharModel":
         """Build the scoring tables once (the reference does this when it loads a
-        model): base scalars, the persisted levels table and the ranking prefix."""
+        model): base scalars, the persisted levels table and the ranking prefix.
+        ``guess_table`` also scores every stored context now, which pays when many more
+        inputs than contexts, or many batches of inputs, are to be predicted."""
         self.base_stats()
         self.levels().count()
-        self.ranking_prefix(k)
+        self.unseen_guesses(k)
+        if guess_table:
+            self.guess_table(k)
         return self
 
     # ------------------------------------------------------------- predict
+    def suffix_links(self) -> DataFrame:
+        """``(context, link, lens)``: the next shorter stored context of every stored
+        context ('' if there is none) and the lengths of all its stored suffixes."""
+        own = self.levels().select(F.col("context").alias("sfx"))
+        found = pred_ops.stored_suffixes(own, self.levels())
+        shorter = F.slice("lens", 1, F.size("lens") - 1)
+        link = F.when(F.size("lens") > 1, F.right("sfx", F.array_max(shorter))).otherwise("")
+        return found.select(F.col("sfx").alias("context"), link.alias("link"), "lens")
+
+    def _scored(self, lv: DataFrame, k: int) -> DataFrame:
+        """``(sfx, guesses)`` from rows holding matched levels."""
+        p, stats = self.params, self.base_stats()
+        a = float(p.laplace_alpha)
+        return pred_ops.score_rows(
+            lv, F.lit(float(p.kn_discount)), F.lit(a), F.lit(float(stats.denominator(a))), k,
+            pred_ops.lit_ranking(self.ranking_prefix(k)),
+            pred_ops.lit_str_array(self.default_chars)).select("sfx", "guesses")
+
+    def unseen_guesses(self, k: int = 3) -> list[str]:
+        """The guesses for an input without any stored context."""
+        if k not in self._unseen:
+            levels = self.levels()
+            none = levels.sparkSession.range(1).select(F.lit("").alias("sfx"))
+            empty = F.array().cast("array<struct<L:int,total:bigint,n_types:bigint,ents:array<struct<ch:string,cnt:bigint,bc:bigint>>>>")
+            self._unseen[k] = self._scored(none.withColumn("lv", empty), k).first()["guesses"]
+        return self._unseen[k]
+
+    def guess_table(self, k: int = 3) -> DataFrame:
+        """``(context, ctx_len, guesses)`` of every stored context, scored once and kept."""
+        if k not in self._tables:
+            chains = self.suffix_links().select(F.col("context").alias("ctx"), "lens")
+            scored = self._scored(pred_ops.chain_levels(chains, self.levels()), k)
+            table = scored.select(F.col("sfx").alias("context"), F.length("sfx").alias("ctx_len"), "guesses")
+            table = table.persist(StorageLevel.MEMORY_AND_DISK)
+            self._tables[k] = (table, table.count())
+        return self._tables[k][0]
+
+    def _guesses_by_context(self, x: DataFrame, k: int) -> DataFrame:
+        """Adds ``_found`` to rows with ``sfx``: scores the longest contexts that occur."""
+        # Read by two branches and not persisted: a call leaves nothing behind in the
+        # executors, however many calls or micro-batches a session makes.
+        sfx = x.select("sfx").where(F.col("sfx").isNotNull()).distinct()
+        longest = pred_ops.longest_context(pred_ops.stored_suffixes(sfx, self.levels()))
+        chains = longest.groupBy("ctx").agg(F.first("lens").alias("lens"))  # equal for equal contexts
+        scored = self._scored(pred_ops.chain_levels(chains, self.levels()), k)
+        scored = scored.select(F.col("sfx").alias("ctx"), F.col("guesses").alias("_found"))
+        return x.join(longest.select("sfx", "ctx").join(scored, "ctx").drop("ctx"), "sfx", "left")
+
     def predict(self, inputs: DataFrame, k: int = 3, text_col: str = "text",
                 id_cols: tuple[str, ...] = ("qid",), normalize: bool = True) -> DataFrame:
         """P5: ``(id_cols..., pred, guesses)`` for every input row (blank rows included)."""
@@ -137,19 +194,16 @@ class CharModel:
         t = nfc(text_col) if normalize else F.col(text_col)
         x = inputs.select(*id_cols, F.col(text_col).isNull().alias("_null"), t.alias("_t"))
         x = x.withColumn("sfx", F.when(~F.col("_null"), scoring_suffix("_t", p.ngram_order))).drop("_t")
-        # Read by two branches and not persisted: a call leaves nothing behind in the
-        # executors, however many calls or micro-batches a session makes.
-        sfx = x.select("sfx").where(F.col("sfx").isNotNull()).distinct()
-        lv = pred_ops.matched_levels(sfx, self.levels())
-        stats = self.base_stats()
-        a = float(p.laplace_alpha)
-        scored = pred_ops.score_rows(
-            lv, F.lit(float(p.kn_discount)), F.lit(a), F.lit(float(stats.denominator(a))), k,
-            pred_ops.lit_ranking(self.ranking_prefix(k)),
-            pred_ops.lit_str_array(self.default_chars)).select("sfx", "guesses")
-        out = x.join(scored, "sfx", "left")
+        table, contexts = self._tables.get(k, (None, 0))
+        if table is None:
+            out = self._guesses_by_context(x, k)
+        elif contexts <= BROADCAST_CONTEXTS:
+            out = pred_ops.look_up_broadcast(x, table, max(p.ngram_order - 1, 0))
+        else:
+            out = pred_ops.look_up_shuffled(x, table)
         fallback = pred_ops.lit_str_array(pred_ops.fallback_guesses(self.default_chars, k))
-        guesses = F.when(F.col("_null"), fallback).otherwise(F.col("guesses"))
+        unseen = pred_ops.lit_str_array(self.unseen_guesses(k))
+        guesses = F.when(F.col("_null"), fallback).otherwise(F.coalesce("_found", unseen))
         out = out.select(*id_cols, guesses.alias("guesses"))
         return out.select(*id_cols, F.array_join("guesses", "").alias("pred"), "guesses")
 
@@ -181,10 +235,11 @@ class CharModel:
 
     def release(self) -> None:
         """Unpersist this model's cached tables (long-lived sessions)."""
-        for df in (self.context_chars, self._levels):
+        for df in (self.context_chars, self._levels, *(t for t, _ in self._tables.values())):
             if df is not None:
                 df.unpersist(blocking=False)
         self._levels = None
+        self._tables.clear()
 
     # -------------------------------------------------------------- stats
     def stats(self) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from charloom.functions.text import decode_ignore
+from charloom.functions.text import decode_ignore, nfc
 from charloom.operators import corpus as corpus_ops
 from charloom.operators import evaluate
 from charloom.operators.counts import unpack_line, unpack_position
@@ -22,7 +22,8 @@ from charloom.operators.trim import context_totals, trim
 from charloom.plans import oracle as O
 from charloom.plans.model import CharModel, ModelParams, count_corpus
 from charloom.session import allow_python_join_keys
-from charloom.sources import model_io
+from charloom.plans import pipelines
+from charloom.sources import files, model_io
 from charloom.sources.tables import corpus_lines
 
 # Fixed query parameters.
@@ -46,8 +47,8 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
 
 
-def _corpus(spark, sf, keep_blank=False) -> DataFrame:
-    return corpus_lines(_t(spark, sf, "documents"), keep_blank=keep_blank)
+def _corpus(spark, sf, keep_blank=False, normalize=True) -> DataFrame:
+    return corpus_lines(_t(spark, sf, "documents"), keep_blank=keep_blank, normalize=normalize)
 
 
 def _dev(spark, sf) -> DataFrame:
@@ -89,12 +90,14 @@ def q_kept_per_lang(spark, sf):
 
 
 def q_cap_first_n(spark, sf):
-    return corpus_ops.cap_first_n(_corpus(spark, sf), CAP_LINES).select("doc_id", "piece", "grp", "take_rank", "text")
+    # NFC is left to the lines that are kept, so that bounds on the document reach the scan.
+    out = corpus_ops.cap_first_n(_corpus(spark, sf, keep_blank=True, normalize=False), CAP_LINES)
+    return out.select("doc_id", "piece", "grp", "take_rank", nfc("text").alias("text"))
 
 
 def q_cap_round_robin(spark, sf):
-    out = corpus_ops.cap_round_robin(_corpus(spark, sf, keep_blank=True), CAP_LINES)
-    return out.select("doc_id", "piece", "grp", "rr", "take_rank", "text")
+    out = corpus_ops.cap_round_robin(_corpus(spark, sf, keep_blank=True, normalize=False), CAP_LINES)
+    return out.select("doc_id", "piece", "grp", "rr", "take_rank", nfc("text").alias("text"))
 
 
 def q_distinct_groups(spark, sf):
@@ -237,6 +240,16 @@ def q_predict_top3(spark, sf):
     return _model(spark, sf, SMALL).predict(_dev(spark, sf)).select("qid", "pred")
 
 
+def q_suffix_links(spark, sf):
+    links = _model(spark, sf, SMALL).suffix_links()
+    return links.select("context", "link", F.size("lens").cast("long").alias("n_stored"))
+
+
+def q_predict_prepared(spark, sf):
+    """Every stored context scored once; inputs look theirs up."""
+    return _model(spark, sf, SMALL).prepare(3, guess_table=True).predict(_dev(spark, sf)).select("qid", "pred")
+
+
 def q_predict_baseline_order6(spark, sf):
     return _model(spark, sf, BASELINE).predict(_dev(spark, sf)).select("qid", "pred")
 
@@ -300,7 +313,7 @@ def q_wide_ids_context_counts(spark, sf):
 
 
 def _capped(spark, sf, balanced: bool) -> DataFrame:
-    return corpus_ops.load_capped(_corpus(spark, sf, keep_blank=True), CAP_LINES, balanced)
+    return corpus_ops.load_capped(_corpus(spark, sf, keep_blank=True, normalize=False), CAP_LINES, balanced, normalize=True)
 
 
 def q_fit_first_n(spark, sf):
@@ -353,6 +366,76 @@ def q_grid_accuracy(spark, sf):
                             grid=tune.SMALL_GRID)
 
 
+def _written_lines(spark, sf, name: str) -> str:
+    """All lines of ``documents``, blank ones too, as a folder of text files per language."""
+    path = model_io.scratch_path(spark, name)
+    lines = _corpus(spark, sf, keep_blank=True, normalize=False)
+    files.write_prepared(lines.select("grp", F.col("line_id").alias("row_id"), "text"), path)
+    return path
+
+
+def _numbered_in_group(corpus: DataFrame) -> DataFrame:
+    from charloom.operators.ranking import ordinal
+    return ordinal(corpus, [F.col("line_id")], partition_by=["grp_idx"], name="place")
+
+
+def q_read_corpus(spark, sf):
+    """The written part files found by a glob, read as a corpus in one scan; the
+    language is part of a file's path."""
+    path = _written_lines(spark, sf, "read_corpus")
+    found = files.corpus_files(spark, patterns=[f"{path}/**/*.txt"])
+    corpus = files.read_corpus(spark, found)
+    by_lang = corpus.withColumn("grp", F.regexp_extract("grp", "grp=([^/]*)/", 1))
+    numbered = _numbered_in_group(by_lang.withColumn("grp_idx", F.col("grp")))
+    return numbered.select("grp", "place", "text")
+
+
+def q_read_prepared(spark, sf):
+    """A language folder of several part files is one group."""
+    corpus = files.read_prepared(spark, _written_lines(spark, sf, "read_prepared"))
+    return _numbered_in_group(corpus).select("grp", F.col("grp_idx").cast("long").alias("grp_idx"), "place", "text")
+
+
+def q_prepared_roundtrip(spark, sf):
+    """P1, S10 and back."""
+    path = model_io.scratch_path(spark, "prepared")
+    files.write_prepared(corpus_ops.prepare(_t(spark, sf, "documents"), PREP_LINES, PREP_MIN, PREP_MAX), path)
+    numbered = _numbered_in_group(files.read_prepared(spark, path))
+    return numbered.select("grp", F.col("place").alias("kept_rank"), "text")
+
+
+def q_write_read_grade(spark, sf):
+    """Dev set and predictions are written, read back, checked
+    against their manifests and each other, and graded."""
+    dev = _dev(spark, sf)
+    path = model_io.scratch_path(spark, "dev")
+    files.write_dev_set(dev, path)
+    inputs, answers = files.read_inputs(spark, f"{path}/dev_input"), files.read_answers(spark, f"{path}/dev_answer")
+    evaluate.require_aligned(inputs, answers)
+    files.write_predictions(_model(spark, sf, SMALL).predict(inputs), f"{path}/dev_pred")
+    preds = files.read_predictions(spark, f"{path}/dev_pred")
+    evaluate.require_aligned(inputs, preds)
+    return evaluate.grade(preds, answers)
+
+
+def q_train_test_files(spark, sf):
+    """From files to files: a balanced, capped corpus is read from language folders, a model
+    fitted and saved; then loaded, the written inputs predicted, the output graded."""
+    path = model_io.scratch_path(spark, "train_test")
+    pipelines.train(spark, f"{path}/model", prepared=_written_lines(spark, sf, "train"), params=SMALL,
+                    max_lines=CAP_LINES, balanced=True)
+    files.write_dev_set(_dev(spark, sf), path)
+    pipelines.test(spark, f"{path}/model", f"{path}/dev_input", f"{path}/dev_pred")
+    return evaluate.grade(files.read_predictions(spark, f"{path}/dev_pred"), files.read_answers(spark, f"{path}/dev_answer"))
+
+
+def q_grid_results_roundtrip(spark, sf):
+    """The ranked grid results, written and read back with their types."""
+    path = model_io.scratch_path(spark, "grid_results")
+    files.write_results(q_grid_accuracy(spark, sf), path)
+    return files.read_results(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
@@ -419,6 +502,10 @@ SELECT doc_id, piece, grp, rr, CAST(row_number() OVER (ORDER BY rr, grp_idx) AS
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY grp ORDER BY doc_id, piece) AS BIGINT) AS rr FROM lines)
 WHERE text <> '' QUALIFY take_rank <= {CAP_LINES}""")
     like = " OR ".join(f"source LIKE '{p.replace('*', '%')}'" for p in GROUP_PATTERNS)
+    whole = "CAST(row_number() OVER (PARTITION BY grp ORDER BY doc_id, piece) AS BIGINT) AS place"
+    q["read_corpus"] = _ws([O.lines_cte()], f"SELECT grp, {whole}, text FROM lines")
+    q["read_prepared"] = _ws([O.lines_cte()], f"SELECT grp, grp_idx, {whole}, text FROM lines")
+    q["prepared_roundtrip"] = _ws([prep], "SELECT grp, kept_rank, text FROM prep_kept")
     q["distinct_groups"] = f"""
 SELECT grp, CAST(row_number() OVER (ORDER BY grp) - 1 AS BIGINT) AS grp_idx
 FROM (SELECT DISTINCT source AS grp FROM documents WHERE {like})"""
@@ -474,6 +561,11 @@ SELECT x.sfx, CAST(x.L AS BIGINT) AS ctx_len, right(x.sfx, x.L) AS context, CAST
 FROM (SELECT DISTINCT right(text, {s.ngram_order - 1}) AS sfx, unnest(range(1, length(right(text, {s.ngram_order - 1})) + 1)) AS L FROM dev) x
 JOIN m_lv_ctx c ON c.context = right(x.sfx, x.L)""")
     q["predict_top3"] = _ws(_head(3, dev=True) + _model_sql(s, "m"), "SELECT qid, pred FROM m_pred")
+    q["predict_prepared"] = q["predict_top3"]
+    q["suffix_links"] = _ws(_head(3) + _model_sql(s, "m", with_predict=False), """
+SELECT c.context, coalesce(max_by(d.context, length(d.context)), '') AS link, CAST(1 + count(d.context) AS BIGINT) AS n_stored
+FROM m_lv_ctx c LEFT JOIN m_lv_ctx d ON suffix(c.context, d.context) AND length(d.context) < length(c.context)
+GROUP BY c.context""")
     q["predict_baseline_order6"] = _ws(_head(6, dev=True) + _model_sql(BASELINE, "m"), "SELECT qid, pred FROM m_pred")
     grade_rows = """
 gr AS (
@@ -514,6 +606,14 @@ SELECT CAST((SELECT count(DISTINCT context) FROM m_trim) AS BIGINT) AS contexts_
         head = [O.lines_cte(True, name="every"), O.capped_cte(CAP_LINES, balanced), O.seq_cte(2), O.counts_ctes()]
         q[f"fit_{name}"] = _ws(head + _cfg_ctes(s, "m"), CC.format(t="m_trim"))
     q["predict_balanced"] = _ws(head + [O.conv_inputs_cte("dev")] + _model_sql(s, "m"), "SELECT qid, pred FROM m_pred")
+    # Written and read back: a line break inside a text has become a space.
+    flat = """
+dev AS (SELECT qid, regexp_replace(text, '[\r\n]', ' ', 'g') AS text, regexp_replace(answer, '[\r\n]', ' ', 'g') AS answer FROM conv)"""
+    graded = q["grade"][q["grade"].rindex("SELECT CAST(count_if"):]
+    written = [O.conv_inputs_cte("conv"), flat] + _model_sql(s, "m") + [grade_rows]
+    q["write_read_grade"] = _ws(_head(3) + written, graded)
+    q["train_test_files"] = _ws(head + written, graded)
+    q["grid_results_roundtrip"] = q["grid_accuracy"]
     missing = """
 m_part AS (SELECT * FROM m_pred WHERE CAST(split_part(qid, ':', 1) AS BIGINT) % 3 <> 0),
 gr AS (
@@ -576,7 +676,8 @@ ex AS (
     union = "\n  UNION ALL ".join(selects)
     return O.with_(*ctes, select=f"""
 SELECT grid_idx, ngram_order, kn_discount, laplace_alpha, min_context_count, max_contexts,
-       ex_correct, ex_total, dev_correct, dev_total, CAST(dev_correct AS DOUBLE) / dev_total AS dev_acc,
+       ex_correct, ex_total, CAST(ex_correct AS DOUBLE) / ex_total AS ex_acc,
+       dev_correct, dev_total, CAST(dev_correct AS DOUBLE) / dev_total AS dev_acc,
        CAST(row_number() OVER (ORDER BY CAST(dev_correct AS DOUBLE) / dev_total DESC, grid_idx) AS BIGINT) AS rank
 FROM (
   {union})""")

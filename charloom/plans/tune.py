@@ -46,7 +46,7 @@ SMALL_GRID = {
 }
 
 RESULT_COLUMNS = ["grid_idx", "ngram_order", "kn_discount", "laplace_alpha", "min_context_count",
-                  "max_contexts", "ex_correct", "ex_total", "dev_correct", "dev_total", "dev_acc", "rank"]
+                  "max_contexts", "ex_correct", "ex_total", "ex_acc", "dev_correct", "dev_total", "dev_acc", "rank"]
 
 
 def grid_points(grid: Mapping[str, Sequence]) -> list[dict]:
@@ -60,23 +60,29 @@ def grid_points(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(grid_idx=i, **p) for i, p in enumerate(out)]
 
 
-def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataFrame,
+def grid_search(corpus: DataFrame, examples: DataFrame | Mapping[str, DataFrame], dev: DataFrame,
                 grid: Mapping[str, Sequence] = REFERENCE_GRID, max_chars_per_context: int = FIXED_MAX_CHARS,
                 pretrim: bool = True, fit_params: ModelParams = ModelParams(), k: int = 3) -> DataFrame:
-    """Evaluate every grid point on ``dev`` and on the first example set.
+    """Evaluate every grid point on ``dev`` and on the example set.
 
-    ``examples`` / ``dev``: ``(qid, text, answer)`` tables.  Returns one row per
-    grid point with ``rank`` by dev accuracy (ties in grid order).  Hit test is
-    the case-sensitive substring test of tune (M10)."""
+    ``examples`` / ``dev``: ``(qid, text, answer)`` tables (``examples`` also as a mapping
+    with one entry).  Returns one row per grid point with ``rank`` by dev accuracy (ties in
+    grid order).  Hit test is the case-sensitive substring test of tune (M10).
+
+    Inputs are counted first: equal (order, set, suffix, answer) are one row with a weight.
+    A suffix is scored once, into the vector of its guesses at every grid point of its
+    order; a weighted row makes of it a vector of hits, and these are summed element by
+    element.  So there is no row per input and grid point."""
     spark = corpus.sparkSession
-    orders = sorted(set(grid["ngram_order"]))
+    given = grid
+    grid = {name: list(dict.fromkeys(values)) for name, values in given.items()}
+    orders = sorted(grid["ngram_order"])
     raw = count_corpus(corpus, max(orders))
     K = max_chars_per_context
 
     # Models: one per (order, min count, cap); mid is their position.
     trims = list(itertools.product(grid["min_context_count"], grid["max_contexts"]))
     models = [(mid, n, m, c) for mid, (n, (m, c)) in enumerate(itertools.product(orders, trims))]
-    model_df = spark.createDataFrame(models, "mid int, ngram_order int, min_cc int, max_ctx int")
 
     # Per-order counts in one table (each order keeps its contexts of length <= n-1).
     order_col = F.explode(F.filter(F.array(*[F.lit(n) for n in orders]), lambda n: F.col("ctx_len") <= n - 1))
@@ -109,21 +115,23 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     prefix_len = k + (max(orders) - 1) * K
     discounts = [float(d) for d in grid["kn_discount"]]
     smoothings = []
-    for a in grid["laplace_alpha"]:
+    for i, a in enumerate(grid["laplace_alpha"]):
         rp = scoring.base_ranking_prefix(base, a, stats, prefix_len)
-        smoothings.append(F.struct(F.lit(float(a)).alias("A"), F.lit(float(stats.denominator(a))).alias("DEN"),
+        smoothings.append(F.struct(F.lit(i).alias("I"), F.lit(float(a)).alias("A"), F.lit(float(stats.denominator(a))).alias("DEN"),
                                    pred_ops.lit_ranking(rp).alias("R")))
 
-    # Inputs: every set x every model, scored once per distinct (model, suffix).
-    if len(examples) != 1:
-        raise ValueError("grid_search reports one example set; union the sets first (with distinct qids)")
-    (given,) = examples.values()
+    # Inputs, counted by (order, set, suffix, answer).
+    if isinstance(examples, Mapping):
+        if len(examples) != 1:
+            raise ValueError("grid_search reports one example set; union the sets first (with distinct qids)")
+        (examples,) = examples.values()
     row = (F.col("qid").cast("string").alias("qid"), "text", "answer")
-    sets = given.select(F.lit("ex").alias("set"), *row).unionByName(dev.select(F.lit("dev").alias("set"), *row))
+    sets = examples.select(F.lit("ex").alias("set"), *row).unionByName(dev.select(F.lit("dev").alias("set"), *row))
     # The null test reads the raw text: NFC keeps nulls null, and the UDF's
     # output then feeds projections only (never an aggregate expression).
     sets = sets.withColumn("_null", F.col("text").isNull()).withColumn("_t", nfc("text"))
-    x = _inputs_per_order(sets, orders)
+    x = _inputs_per_order(sets, orders).groupBy("ngram_order", "set", "sfx", "answer", "_null").agg(
+        F.count(F.lit(1)).alias("weight"))
     sfx = x.select("ngram_order", "sfx").where(F.col("sfx").isNotNull()).distinct()
     lv = pred_ops.matched_levels(sfx, levels, keys=["ngram_order"], extra=("ctx_total", "ctx_rank"))
     model_lit = F.array(*[F.struct(F.lit(mid).alias("mid"), F.lit(n).alias("n"), F.lit(m).alias("min_cc"),
@@ -148,34 +156,43 @@ def grid_search(corpus: DataFrame, examples: Mapping[str, DataFrame], dev: DataF
     folded = folded.select("*", F.explode(F.array(*smoothings)).alias("sm"))
     scored = pred_ops.finish_guesses(folded, F.col("sm.A"), F.col("sm.DEN"), k, F.col("sm.R"),
                                      pred_ops.lit_str_array(defaults))
-    scored = scored.select("ngram_order", "sfx", F.explode("mids").alias("mid"), "kn_discount",
-                           F.col("sm.A").alias("laplace_alpha"), F.array_join("guesses", "").alias("pred"))
+    # The place of a grid point in its order's vector: model, then discount, then alpha.
+    n_d, n_a, n_m = len(discounts), len(smoothings), len(trims)
+    at = [(n, m, c, d, a) for n in orders for (m, c) in trims for d in discounts for a in map(float, grid["laplace_alpha"])]
+    per_order = n_m * n_d * n_a
+    entry = F.struct(F.transform("mids", lambda m: m % n_m).alias("models"),
+                     (F.array_position(F.array(*[F.lit(d) for d in discounts]), F.col("kn_discount")) - 1).alias("d"),
+                     F.col("sm.I").alias("a"), F.array_join("guesses", "").alias("pred"))
+    # Grouped as the levels already are: no further shuffle.
+    vectors = scored.groupBy("ngram_order", "sfx").agg(F.collect_list(entry).alias("e"))
+    placed = F.flatten(F.transform("e", lambda e: F.transform(e["models"], lambda m: F.struct(
+        (m * (n_d * n_a) + e["d"] * n_a + e["a"]).alias("place"), e["pred"].alias("pred")))))
+    vectors = vectors.select("ngram_order", "sfx", F.transform(F.array_sort(placed), lambda p: p["pred"]).alias("preds"))
     fallback = "".join(pred_ops.fallback_guesses(defaults, k))
-    # Every input meets every grid point of its order (bounded: inputs x grid);
-    # inputs with a null text have no suffix and get the fallback.
-    point_rows = [(mid, n, float(d), float(a)) for mid, n, _, _ in models
-                  for d, a in itertools.product(grid["kn_discount"], grid["laplace_alpha"])]
-    all_points = spark.createDataFrame(point_rows, "mid int, ngram_order int, kn_discount double, laplace_alpha double")
-    j = x.join(F.broadcast(all_points), "ngram_order").join(
-        scored, ["ngram_order", "sfx", "mid", "kn_discount", "laplace_alpha"], "left")
-    pred = F.when(F.col("_null"), F.lit(fallback)).otherwise(F.col("pred"))
-    hit = F.contains(F.coalesce(pred, F.lit("")), F.col("answer"))
-    acc = j.groupBy("mid", "kn_discount", "laplace_alpha").agg(
-        F.count_if((F.col("set") == "ex") & hit).cast("long").alias("ex_correct"),
-        F.count_if(F.col("set") == "ex").cast("long").alias("ex_total"),
-        F.count_if((F.col("set") == "dev") & hit).cast("long").alias("dev_correct"),
-        F.count_if(F.col("set") == "dev").cast("long").alias("dev_total"))
+    j = x.join(vectors, ["ngram_order", "sfx"], "left")
+    preds = F.when(F.col("_null"), F.array_repeat(F.lit(fallback), per_order)).otherwise(F.col("preds"))
+    hits = F.transform(preds, lambda p: F.when(F.contains(p, F.col("answer")), F.col("weight")).otherwise(0))
+    j = j.select("ngram_order", "set", "weight", hits.alias("hits"))
+    sums = j.groupBy("ngram_order", "set").agg(
+        F.sum("weight").alias("total"),
+        F.array(*[F.coalesce(F.sum(F.get("hits", F.lit(i))), F.lit(0)) for i in range(per_order)]).alias("correct"))
+    sums = sums.select("ngram_order", "set", "total", F.posexplode("correct").alias("place", "correct"))
+    acc = sums.groupBy("ngram_order", "place").agg(*[
+        F.coalesce(F.max(F.when(F.col("set") == name, F.col(c))), F.lit(0)).cast("long").alias(f"{name}_{c}")
+        for name in ("ex", "dev") for c in ("correct", "total")])
+    place_rows = [(i % per_order, *p) for i, p in enumerate(at)]
+    places = spark.createDataFrame(place_rows, "place int, ngram_order int, min_context_count int, max_contexts int, "
+                                               "kn_discount double, laplace_alpha double")
 
     points = spark.createDataFrame(
         [(p["grid_idx"], p["ngram_order"], float(p["kn_discount"]), float(p["laplace_alpha"]),
-          p["min_context_count"], p["max_contexts"]) for p in grid_points(grid)],
+          p["min_context_count"], p["max_contexts"]) for p in grid_points(given)],
         "grid_idx long, ngram_order int, kn_discount double, laplace_alpha double, "
         "min_context_count int, max_contexts int")
-    mids = model_df.select("mid", "ngram_order", F.col("min_cc").alias("min_context_count"),
-                           F.col("max_ctx").alias("max_contexts"))
-    res = F.broadcast(points).join(mids, ["ngram_order", "min_context_count", "max_contexts"]).join(
-        acc, ["mid", "kn_discount", "laplace_alpha"], "left")
-    res = res.withColumn("dev_acc", F.col("dev_correct") / F.col("dev_total"))
+    res = F.broadcast(points).join(places, ["ngram_order", "min_context_count", "max_contexts", "kn_discount", "laplace_alpha"]).join(
+        acc, ["ngram_order", "place"], "left")
+    for name in ("ex", "dev"):
+        res = res.withColumn(f"{name}_acc", F.try_divide(F.col(f"{name}_correct").cast("double"), F.col(f"{name}_total")))
     # One row per grid point, so a single ordered window is small.
     res = res.withColumn("rank", F.row_number().over(
         Window.orderBy(F.col("dev_acc").desc(), F.col("grid_idx").asc())).cast("long"))

@@ -34,9 +34,9 @@ def save(model: CharModel, path: str, mode: str = "overwrite") -> None:
         "ngram_order int, laplace_alpha double, max_chars_per_context int, min_context_count int, "
         "max_contexts int, kn_discount double, total_bigram_types long, default_chars array<string>")
     params.coalesce(1).write.mode(mode).parquet(os.path.join(path, "params"))
-    model.context_chars.write.mode(mode).parquet(os.path.join(path, "context_chars"))
-    model.unigram.write.mode(mode).parquet(os.path.join(path, "unigram"))
-    model.continuation.write.mode(mode).parquet(os.path.join(path, "continuation"))
+    model.context_chars.write.mode(mode).option("compression", "zstd").parquet(os.path.join(path, "context_chars"))
+    model.unigram.write.mode(mode).option("compression", "zstd").parquet(os.path.join(path, "unigram"))
+    model.continuation.write.mode(mode).option("compression", "zstd").parquet(os.path.join(path, "continuation"))
 
 
 def load(spark: SparkSession, path: str) -> CharModel:

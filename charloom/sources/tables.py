@@ -11,24 +11,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from charloom.functions.text import drop_last_char, last_char, nfc
 from charloom.operators.counts import line_key
+from charloom.operators.ranking import indexed
+from charloom.operators.selection import small
 from charloom.session import spread
 
 
-def group_index(df: DataFrame, group_col: str = "grp", groups: Sequence[str] | None = None) -> DataFrame:
-    """``(grp, grp_idx)``: position of each group in an explicit list, else in sorted
-    order (the order a sorted file glob gives).  One row per group."""
-    spark = df.sparkSession
+def group_index(df: DataFrame, group_col: str = "grp", groups: Sequence[str] | None = None) -> tuple[DataFrame, int]:
+    """``(grp, grp_idx)``, the position of each group in an explicit list, else in sorted
+    order (the order a sorted file glob gives), and the number of groups.  Without a list
+    the group column is read once, on the call."""
     if groups is not None:
         rows = [(g, i) for i, g in enumerate(groups)]
-        return spark.createDataFrame(rows, "grp string, grp_idx int")
-    distinct = df.select(F.col(group_col).alias("grp")).distinct()
-    # One row per group: a single-partition window over it is small by construction.
-    return distinct.withColumn("grp_idx", (F.row_number().over(Window.orderBy(F.col("grp").asc_nulls_first())) - 1).cast("int"))
+        return df.sparkSession.createDataFrame(rows, "grp string, grp_idx int"), len(rows)
+    distinct, n = indexed(df.select(F.col(group_col).alias("grp")).distinct(), "grp", "grp_idx")
+    return distinct.withColumn("grp_idx", F.col("grp_idx").cast("int")), n
 
 
 def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
@@ -46,6 +47,7 @@ def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
                        F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     if groups is not None:
         base = base.where(F.col("grp").isin(list(groups)))
+    keys = base.select("grp")
     base = spread(base)
     pieces = F.split("_text", "\n") if split_lines else F.array("_text")
     lines = base.select("_doc", "grp", F.posexplode(pieces).alias("_piece", "text"))
@@ -58,9 +60,10 @@ def corpus_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     )
     if not keep_blank:
         lines = lines.where(F.col("text") != "")
-    # Groups may be as many as URLs or paths: Spark sizes this side itself.
-    gi = group_index(base.select("grp"), "grp", groups).withColumnRenamed("grp", "_grp")
-    out = lines.join(gi, F.col("grp").eqNullSafe(F.col("_grp")), "inner")
+    # Groups may be as many as URLs or paths: they are counted, and few are broadcast, so
+    # that the text stays where it is.
+    gi, n_groups = group_index(keys, "grp", groups)
+    out = lines.join(small(gi.withColumnRenamed("grp", "_grp"), n_groups), F.col("grp").eqNullSafe(F.col("_grp")), "inner")
     return out.select("line_id", "grp", "grp_idx", "doc_id", "piece", "text")
 
 

@@ -40,7 +40,8 @@ def main():
     tree(trim(raw.pairs, 5, 300_000, 48), "Trim (P4: A5 A6 L6 L7)")
     model = CharModel.from_counts(raw, Q.BASELINE).prepare(3)
     dev = Q._dev(spark, sf)
-    tree(model.predict(dev), "Predict (P5)")
+    tree(model.predict(dev), "Predict (P5), no guess table")
+    tree(CharModel.from_counts(raw, Q.BASELINE).prepare(3, guess_table=True).predict(dev), "Predict (P5), guess table")
     from charloom.operators import evaluate
     tree(evaluate.grade(model.predict(dev), dev), "Grade (P6)")
 

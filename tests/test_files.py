@@ -122,6 +122,10 @@ def test_write_prepared_and_results(spark):
     files.write_results(res, os.path.join(d, "res"))
     back = spark.read.option("header", True).csv(os.path.join(d, "res")).collect()
     assert [r.grid_idx for r in back] == ["1", "0"]
+    typed = files.read_results(spark, os.path.join(d, "res"), "grid_idx long, dev_acc double, rank long")
+    assert sorted(tuple(r) for r in typed.collect()) == [(0, 0.5, 2), (1, 0.9, 1)]
+    with pytest.raises(Exception):
+        files.read_results(spark, os.path.join(d, "res"), "rank long, dev_acc double, grid_idx long").collect()
 
 
 def test_grade_from_files(spark):
@@ -136,3 +140,93 @@ def test_grade_from_files(spark):
     # answer has no prediction and counts as a miss
     exp = ["b" in "abc", "e" in " e ", "z" in "xyz", "i" in "İab".lower()[:3], "q" in "qqq", False]
     assert (row.correct, row.total) == (sum(exp), 6)
+
+
+def test_a_manifest_guards_the_parts(spark):
+    import glob
+    import shutil
+    d = tempfile.mkdtemp(prefix="charloom-manifest-")
+    out = os.path.join(d, "pred")
+    preds = spark.range(40).select(F.col("id").alias("qid"), F.concat(F.lit("p"), F.col("id").cast("string")).alias("pred"))
+    files.write_predictions(preds, out, partitions=4)
+    manifest = spark.read.parquet(os.path.join(out, files.MANIFEST)).collect()
+    assert sum(r.n_rows for r in manifest) == 40
+    assert [r.pred for r in files.read_predictions(spark, out).orderBy("qid").collect()] == [f"p{k}" for k in range(40)]
+    part = sorted(glob.glob(os.path.join(out, "part-*.txt")))[1]
+    kept = os.path.join(d, "kept")
+    shutil.copy(part, kept)
+    for check in glob.glob(os.path.join(out, ".part-*.crc")):
+        os.remove(check)  # the local file system's own guard
+    with open(part, "a") as f:
+        f.write("one more\n")
+    with pytest.raises(ValueError, match="manifest"):
+        files.read_predictions(spark, out)
+    shutil.copy(kept, part)
+    shutil.copy(part, part.replace("part-", "part-9"))
+    with pytest.raises(ValueError, match="manifest"):
+        files.read_predictions(spark, out)
+
+
+def test_empty_folders_and_files(spark):
+    d = tempfile.mkdtemp(prefix="charloom-empty-")
+    none = spark.createDataFrame([], "qid long, pred string")
+    files.write_predictions(none, os.path.join(d, "pred"))
+    assert files.read_predictions(spark, os.path.join(d, "pred")).collect() == []
+    empty = _write(d, "empty.txt", b"")
+    assert files.read_corpus(spark, [empty]).collect() == []
+    assert files.read_corpus(spark, []).collect() == []
+    assert files.read_inputs(spark, empty).collect() == []
+
+
+def test_prepared_folders_are_groups(spark):
+    d = tempfile.mkdtemp(prefix="charloom-prepared-")
+    rows = [(g, k, f"{g}/{k} line") for g in ("en", "a b=c", "01") for k in range(30)] + [(None, k, f"none {k}") for k in range(3)]
+    df = spark.createDataFrame(rows, "grp string, row_id long, text string").repartition(3)
+    files.write_prepared(df, os.path.join(d, "prep"))
+    got = files.read_prepared(spark, os.path.join(d, "prep"))
+    assert [(r.grp, r.grp_idx, r.text) for r in got.orderBy("line_id").collect()] == [
+        (g, i, t) for i, g in enumerate([None, "01", "a b=c", "en"]) for h, _, t in rows if h == g]
+    with pytest.raises(FileNotFoundError):
+        files.read_prepared(spark, os.path.join(d, "other"))
+
+
+def test_a_corpus_is_one_scan_of_many_blocks(spark):
+    d = tempfile.mkdtemp(prefix="charloom-blocks-")
+    names = [_write(d, f"f{k}.txt", "".join(f"{k}:{i} " + "x" * (i % 50) + "\n" for i in range(400)).encode()) for k in range(3)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        corpus = files.read_corpus(spark, [names[2], names[0], names[1], names[0]])
+        plan = corpus._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [value") == 1
+        got = [r.text for r in corpus.orderBy("line_id").collect()]
+        numbered = files.read_inputs(spark, names[1]).orderBy("qid").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [t for p in (names[2], names[0], names[1], names[0]) for t in _py_lines(p)]
+    assert [(r.qid, r.text) for r in numbered] == list(enumerate(_py_lines(names[1])))
+
+
+def test_train_and_test_from_files(spark):
+    from charloom.plans import pipelines
+    d = tempfile.mkdtemp(prefix="charloom-pipe-")
+    a = _write(d, "a.txt", "the cat sat on the mat\n\nthe hat\n".encode())
+    b = _write(d, "b.txt", "that is that\nthe end\n".encode())
+    inp = _write(d, "input.txt", "the \n\nth\nzz".encode())
+    params = ModelParams(ngram_order=3, min_context_count=1)
+    pipelines.train(spark, os.path.join(d, "model"), [a, b], params=params, max_lines=3, balanced=True)
+    tiny = TinyModel(3, 1.0, 64, 1).fit(["the cat sat on the mat", "that is that", "the end"])
+    for table in (True, False):
+        out = os.path.join(d, f"pred-{table}")
+        pipelines.test(spark, os.path.join(d, "model"), inp, out, guess_table=table)
+        assert _read_parts(spark, out) == [tiny.predict(t) for t in ("the ", "", "th", "zz")]
+
+
+def test_compare_checks_sizes_first(spark):
+    from charloom.operators import evaluate
+    inputs = spark.createDataFrame([(1, "a"), (2, "b")], "qid long, text string")
+    gold = spark.createDataFrame([(1, "x")], "qid long, answer string")
+    preds = spark.createDataFrame([(1, "x")], "qid long, pred string")
+    assert evaluate.compare({"m": preds}, gold).first().correct == 1
+    with pytest.raises(ValueError, match="Mismatched"):
+        evaluate.compare({"m": preds}, gold, inputs=inputs)

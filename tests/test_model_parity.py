@@ -34,6 +34,41 @@ def test_predictions_match_bruteforce(spark, small_corpus, small_lines, small_de
     assert stored == expected
 
 
+@pytest.mark.parametrize("params", CONFIGS, ids=lambda p: f"n{p.ngram_order}-K{p.max_chars_per_context}-cap{p.max_contexts}")
+def test_three_ways_to_look_a_context_up(spark, small_corpus, small_lines, small_dev, params, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from charloom.plans import model as plan
+    inputs = small_dev.select("qid", F.when(F.col("qid") % 7 == 0, None).when(F.col("qid") % 7 == 1, F.lit("")).otherwise(F.col("text")).alias("text"))
+    model = CharModel.fit(small_corpus, params)
+    tiny = _tiny(params, small_lines)
+    exp = {r.qid: tiny.predict(r.text) for r in inputs.collect()}
+    assert {r.qid: r.pred for r in model.predict(inputs).collect()} == exp
+    model.prepare(3, guess_table=True)
+    assert {r.context for r in model.guess_table(3).collect()} == set(tiny.ctx)
+    assert {r.qid: r.pred for r in model.predict(inputs).collect()} == exp
+    monkeypatch.setattr(plan, "BROADCAST_CONTEXTS", -1)
+    assert {r.qid: r.pred for r in model.predict(inputs).collect()} == exp
+
+
+def test_suffix_links(spark, small_corpus):
+    model = CharModel.fit(small_corpus, ModelParams(ngram_order=5, max_chars_per_context=4, min_context_count=2, max_contexts=150))
+    rows = {r.context: r for r in model.suffix_links().collect()}
+    stored = {r.context for r in model.context_chars.select("context").distinct().collect()}
+    assert set(rows) == stored
+    for c, r in rows.items():
+        lens = [n for n in range(1, len(c) + 1) if c[-n:] in stored]
+        assert list(r.lens) == lens and r.link == (c[-lens[-2]:] if len(lens) > 1 else "")
+
+
+def test_no_counts_move_with_the_inputs(spark, small_corpus, small_dev):
+    """The levels meet distinct stored contexts only: below the join with ``ents`` there is an
+    aggregation by context, and inputs meet guesses."""
+    model = CharModel.fit(small_corpus, ModelParams(ngram_order=3, max_chars_per_context=4, max_contexts=100)).prepare(3, guess_table=True)
+    plan = model.predict(small_dev)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ents" not in plan.split("InMemoryRelation")[0] and "Aggregate" not in plan.split("InMemoryRelation")[0]
+
+
 def test_prune_and_retrim_match_bruteforce(spark, small_corpus, small_lines, small_dev):
     params = ModelParams(ngram_order=4, max_chars_per_context=6, min_context_count=2, max_contexts=400)
     model = CharModel.fit(small_corpus, params)

@@ -18,6 +18,41 @@ def test_below_u0300_is_nfc_stable_in_pairs():
             assert unicodedata.normalize("NFC", s) == s
 
 
+def _covered():
+    return {c for a, b in T.nfc_quick_check() for c in range(a, b + 1)}
+
+
+def test_nfc_quick_check_covers_every_code_point_that_can_change():
+    covered = _covered()
+    pairs = set()
+    for c in range(0x110000):
+        ch = chr(c)
+        if unicodedata.normalize("NFC", ch) != ch or unicodedata.combining(ch):
+            assert c in covered
+        parts = unicodedata.normalize("NFD", ch)
+        if len(parts) > 1:
+            pairs.add((unicodedata.normalize("NFC", parts[:-1]), parts[-1]))
+    # Every pair that composes has its second half in the class.
+    assert all(ord(b) in covered for a, b in pairs if unicodedata.normalize("NFC", a + b) != a + b)
+    assert len(pairs) > 10_000
+
+
+def test_nfc_quick_check_leaves_common_scripts_alone():
+    covered = _covered()
+    for text in ("Привет мир", "漢字かな交じりカタカナ", "한국어 문장", "Ελλην", "ქართული", "“quoted” – 10 €"):
+        assert not covered & set(map(ord, text))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_nfc_of_mixed_text(spark, seed):
+    import random
+    draw = random.Random(seed)
+    pool = [chr(c) for a, b in T.nfc_quick_check() for c in range(a, min(b, a + 3) + 1)] + list("aeiouAEо漢각각Αאक")
+    texts = ["".join(draw.choice(pool) for _ in range(draw.randint(0, 6))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", T.nfc("t").alias("o"))
+    assert [r.o for r in df.orderBy("i").collect()] == [unicodedata.normalize("NFC", t) for t in texts]
+
+
 def _one(spark, col, value, schema="t string"):
     return spark.createDataFrame([(value,)], schema).select(col.alias("o")).first()["o"]
 
