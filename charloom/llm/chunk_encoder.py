@@ -26,11 +26,8 @@ LONGEST_KEPT = 64
 # The Unicode white space characters, as the pre-tokenizer's patterns see them.
 WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-# Chunks that may follow one another in one call: white space in front, none at the end.
-_JOINED = re.compile(f"[{WHITE}].*[^{WHITE}]", re.S)
-# A word between single spaces and line feeds that is none: empty, or white at an end.
-_RE2_WHITE = re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", WHITE)
-_NO_WORD = f"^$|^[{_RE2_WHITE}]|[{_RE2_WHITE}]$"
+_WHITE = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c))
+# What stands before a word that Arrow cut out: nothing, a space, a line feed.
 _BEFORE = ("", " ", "\n")
 
 
@@ -51,21 +48,21 @@ class Memory:
 
     def _coded(self, chunks: list[str]) -> list[bytes]:
         newer, older = self.newer, self.older
-        out, missing = [], []
-        for k, chunk in enumerate(chunks):
-            packed = newer.get(chunk)
+        out = list(map(newer.get, chunks))
+        missing = []
+        for k in [k for k, packed in enumerate(out) if packed is None]:
+            chunk = chunks[k]
+            packed = older.get(chunk)
             if packed is None:
-                packed = older.get(chunk)
-                if packed is None:
-                    missing.append(k)
-                else:
-                    newer[chunk] = packed
-            out.append(packed)
+                missing.append(k)
+            else:
+                newer[chunk] = out[k] = packed
         if missing:
             fresh = self.encode_new([chunks[k] for k in missing])
-            for k in missing:
-                out[k] = fresh[chunks[k]]
-            newer.update({c: b for c, b in fresh.items() if len(c) <= LONGEST_KEPT})
+            for k, packed in zip(missing, fresh):
+                out[k] = packed
+                if len(chunks[k]) <= LONGEST_KEPT:
+                    newer[chunks[k]] = packed
         if len(newer) > self.cache:
             self.newer, self.older = {}, newer
         return out
@@ -74,7 +71,7 @@ class Memory:
         """The ids of the distinct ``chunks`` numbered ``code``, and how many each text has."""
         coded = self._coded(chunks)
         flat = np.frombuffer(b"".join(coded), self.dtype)
-        sizes = np.array([len(b) for b in coded], np.int64) // self.dtype.itemsize
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize
         per_chunk = sizes[code]
         before = np.concatenate(([0], np.cumsum(per_chunk)))
         ends = np.cumsum(n_chunks)
@@ -101,7 +98,9 @@ class ChunkEncoder:
         self.token_bytes = self._token_bytes()
         self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
         self.dtype = np.dtype("<u2" if len(self.sizes) <= 1 << 16 else "<u4")
-        self.memory = Memory(self._encode_new, self.dtype, cache)
+        # Words that follow a space are remembered without it, apart from other chunks.
+        self.memory = Memory(self._encode_words, self.dtype, cache)
+        self.others = Memory(self._encode_new, self.dtype, cache // 4)
 
     def _token_bytes(self) -> list[bytes]:
         letters = _byte_letters()
@@ -112,46 +111,68 @@ class ChunkEncoder:
             out[k] = piece.encode() if k in added else bytes(letters[c] for c in piece)
         return out
 
-    def _encode_new(self, chunks: list[str]) -> dict[str, bytes]:
-        joined = [c for c in chunks if _JOINED.fullmatch(c)]
-        single = [c for c in chunks if not _JOINED.fullmatch(c)] if len(joined) < len(chunks) else []
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, self.dtype)
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        return self._encode_joined([" " + w for w in words])
+
+    def _encode_joined(self, chunks: list[str]) -> list[bytes]:
+        """Chunks with white space in front and none at the end, encoded end to end."""
+        joined = "".join(chunks)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.dtype)
         ends = np.cumsum(self.sizes[ids])
-        wanted = np.cumsum([len(c.encode()) for c in joined], dtype=np.int64)
+        sizes = map(len, chunks) if joined.isascii() else [len(c.encode()) for c in chunks]
+        wanted = np.cumsum(np.fromiter(sizes, np.int64, len(chunks)))
         cuts = np.searchsorted(ends, wanted, "right")
         if len(wanted) and not np.array_equal(ends[cuts - 1], wanted):
             raise ValueError("the tokenizer's tokens do not end where white space begins")
-        raw, size = ids.tobytes(), self.dtype.itemsize
-        cuts = [0, *(cuts * size).tolist()]
-        out = {c: raw[i:j] for c, i, j in zip(joined, cuts, cuts[1:])}
-        for chunk, coded in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False)):
-            out[chunk] = np.array(coded.ids, self.dtype).tobytes()
-        return out
+        raw = ids.tobytes()
+        cuts = [0, *(cuts * self.dtype.itemsize).tolist()]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def _encode_new(self, chunks: list[str]) -> list[bytes]:
+        apart = [not (c[0] in _WHITE and c[-1] not in _WHITE) for c in chunks]
+        joined = iter(self._encode_joined([c for c, x in zip(chunks, apart) if not x]))
+        single = iter(self.tokenizer.encode_batch_fast([c for c, x in zip(chunks, apart) if x], add_special_tokens=False))
+        return [np.array(next(single).ids, self.dtype).tobytes() if x else next(joined) for x in apart]
 
     def _by_words(self, texts: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids and counts of the texts that Arrow can cut, and which those are."""
         lines = pc.split_pattern(texts, "\n")
         words = pc.split_pattern(lines.flatten(), " ")
         coded = words.flatten().dictionary_encode()
-        word = coded.indices.to_numpy()
-        kinds = len(_BEFORE)
+        code = coded.indices.to_numpy().astype(np.int64)
         line_starts = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
         text_starts = line_starts[lines.offsets.to_numpy() - lines.offsets[0].as_py()]
-        key = word.astype(np.int64) * kinds + 1
-        key[line_starts[:-1]] += 1
-        key[text_starts[:-1]] += _BEFORE.index(lead) - 2
         n_words = np.diff(text_starts)
-        odd = pc.match_substring_regex(coded.dictionary, _NO_WORD).to_numpy(zero_copy_only=False)
+        # Words are cut at single spaces and line feeds: an empty one, or one with white
+        # space at an end, stands for other spacing.
+        odd = pc.or_(pc.equal(coded.dictionary, ""), pc.not_equal(pc.utf8_trim_whitespace(coded.dictionary), coded.dictionary))
+        odd = odd.to_numpy(zero_copy_only=False)
         plain = np.ones(len(texts), bool)
         if odd.any():
-            plain[np.repeat(np.arange(len(texts)), n_words)[odd[word]]] = False
-            key = key[np.repeat(plain, n_words)]
-        used = np.zeros(kinds * len(odd), bool)
-        used[key] = True
-        number = np.cumsum(used) - 1
-        spelled = coded.dictionary.to_pylist()
-        chunks = [_BEFORE[k % kinds] + spelled[k // kinds] for k in np.flatnonzero(used).tolist()]
-        return *self.memory.ids(chunks, number[key], n_words[plain]), plain
+            plain[np.repeat(np.arange(len(texts)), n_words)[odd[code]]] = False
+        # Words that follow no space are chunks of their own: few, one a line.
+        first = line_starts[:-1] if not lead else np.setdiff1d(line_starts[:-1], text_starts[:-1])
+        kept = np.repeat(plain, n_words)
+        first = first[kept[first]]
+        kind = np.where(np.isin(first, text_starts[:-1]), 0, 2)
+        key, at = np.unique(code[first] * len(_BEFORE) + kind, return_inverse=True)
+        spelled = coded.dictionary
+        heads = [_BEFORE[k % len(_BEFORE)] + w for k, w in zip(key.tolist(), spelled.take(pa.array(key // len(_BEFORE))).to_pylist())]
+        head_ids = self.others.ids(heads, np.arange(len(heads)), np.ones(len(heads), np.int64))
+        code[first] = len(spelled) + at
+        code = code[kept]
+        used = np.zeros(len(spelled) + len(heads), bool)
+        used[code] = True
+        mine = np.flatnonzero(used[:len(spelled)])
+        sizes, starts = np.zeros(len(used), np.int64), np.zeros(len(used), np.int64)
+        flat, n = self.memory.ids(spelled.take(pa.array(mine)).to_pylist(), np.arange(len(mine)), np.ones(len(mine), np.int64))
+        sizes[mine], starts[mine] = n, np.cumsum(n) - n
+        sizes[len(spelled):], starts[len(spelled):] = head_ids[1], len(flat) + np.cumsum(head_ids[1]) - head_ids[1]
+        per_word = sizes[code]
+        before = np.concatenate(([0], np.cumsum(per_word)))
+        ends = np.cumsum(n_words[plain])
+        ids = gather(np.concatenate((flat, head_ids[0])), starts[code], per_word)
+        return ids, before[ends] - before[ends - n_words[plain]], plain
 
     def encode(self, texts: pa.Array, lead: str = "") -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (without nulls), one text after the other, and how many each
@@ -161,7 +182,7 @@ class ChunkEncoder:
             return ids, n
         chunks = [_CHUNK.findall(lead + t) for t in texts.filter(pa.array(~plain)).to_pylist()]
         numbered = pa.array([c for cs in chunks for c in cs], pa.string()).dictionary_encode()
-        others = self.memory.ids(numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), np.array([len(c) for c in chunks], np.int64))
+        others = self.others.ids(numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), np.array([len(c) for c in chunks], np.int64))
         return woven(plain, (ids, n), others)
 
 

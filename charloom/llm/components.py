@@ -3,9 +3,10 @@
 Each step re-points every edge at the smallest node either end has seen; after a
 logarithmic number of rounds every component is a star around its smallest node.
 Edges never reach the driver: only a count and a checksum do, to see whether a round
-changed anything.  The minimum per node is a partially aggregated group-by and the
-edges meet it in an equality join, so a node with very many links is split by the
-adaptive skew join instead of being gathered.  Every round is checkpointed.
+changed anything.  The minimum per node is a partially aggregated group-by, checkpointed
+before the edges meet it in an equality join: with plain scans on both sides the adaptive
+skew join can split a node with very many links (it could not with the aggregation between
+the shuffle and the join).  Every round is checkpointed.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from .common import checkpointed
 
 def _with_minimum(pairs: DataFrame) -> DataFrame:
     """(u, v) with m, the smallest v of the same u."""
-    low = pairs.groupBy("u").agg(F.min("v").alias("m"))
+    low = checkpointed(pairs.groupBy("u").agg(F.min("v").alias("m")))
     return pairs.join(low, "u")
 
 

@@ -1,11 +1,16 @@
 """Operator 10, secret scans: fixed patterns plus a battery of randomness tests.
 
 Three patterns give the base spans.  Every other run of 20 or more base-64 letters is a
-candidate: its encoding is inferred (hex, base 32, base 36, base 64, or without a digit
-the 26 letters of one case or the 52 of both), and three tests of
+candidate: its encoding is inferred (decimal, hex, base 32, base 36, base 64, or without a
+digit the 26 letters of one case or the 52 of both), and three tests of
 "these symbols are uniform and independent" are taken together by Fisher's method:
 chi-squared uniformity over the encoding's alphabet, runs above and below the middle of
-the alphabet, and lag-1 serial correlation.  A word-like run fails at once, a generated
+the alphabet, and lag-1 serial correlation.  ``-``, ``_``, ``+`` and ``/`` are symbols of
+base 64 in a run with letters of both cases, and separators in one that is hex or decimal
+without them (as a UUID is).  Any other run with these has no encoding and is not judged:
+words of one case joined by hyphens cannot be told from keys at their usual length (of 180
+planted ones 98 passed as random when they were judged over their letters and these four).
+Nor is one of fewer than ``MIN_SYMBOLS`` letters and digits.  A word-like run fails at once, a generated
 key does not.  Dismissals are controlled length-aware: within each encoding and length
 class (powers of two) the Benjamini-Hochberg step-up at level ``q`` decides which
 candidates are not random; the rest become spans of kind ``random``.
@@ -36,11 +41,13 @@ ACCESS = r"(AKIA[A-Z0-9]{16,})"  # 20 characters or more
 HEX = r"([0-9a-f]{24,})"
 ASSIGN_SEEN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]"""
 MIN_VALUE = 6
+MIN_SYMBOLS = 10
 RUN = r"([A-Za-z0-9+/_-]{20,}+)"
 KINDS = ("assign", "access", "hex", "random")
 
 # The alphabets of the encodings, in index order.
 ALPHABETS = {
+    "decimal": "0123456789",
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
@@ -121,30 +128,39 @@ def randomness_p(x: Column, k: Column) -> Column:
 
 
 def _judged(run: Column) -> Column:
-    """(encoding, size class, bin) of a candidate; encoding null where none fits."""
-    upper, lower = run.rlike("[A-Z]"), run.rlike("[a-z]")
-    encoding = (
-        F.when(~upper & ~lower, F.lit(None).cast("string"))
-        # A key of any encoding that happens to have no digit is uniform over its letters.
-        .when(run.rlike("^([a-z]+|[A-Z]+)$"), F.lit("letters26"))
-        .when(run.rlike("^[A-Za-z]+$"), F.lit("letters52"))
-        .when(run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit("hex"))
-        .when(run.rlike("^[A-Z2-7]+$"), F.lit("base32"))
-        .when(run.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), F.lit("base36"))
-        .when(upper & lower, F.lit("base64"))
-    )
-
-    def for_encoding(enc: Column) -> Column:
+    """(encoding, size class, bin) of a candidate; encoding null where it has too few symbols."""
+    both_cases = run.rlike("[A-Z]") & run.rlike("[a-z]")
+    bare = F.regexp_replace(run, "[-_+/]", "")
+    core = (F.when(both_cases, F.translate(run, "-_", "+/"))
+            .when(F.length(bare) < MIN_SYMBOLS, F.lit(""))
+            .when(bare.rlike("^([0-9a-f]+|[0-9A-F]+)$") & bare.rlike("[0-9]"), bare).otherwise(run))
+
+    def for_core(core: Column) -> Column:
+        encoding = (
+            F.when(core == "", F.lit(None).cast("string"))
+            .when(core.rlike("^[0-9]+$"), F.lit("decimal"))
+            # A key of any encoding that happens to have no digit is uniform over its letters.
+            .when(core.rlike("^([a-z]+|[A-Z]+)$"), F.lit("letters26"))
+            .when(core.rlike("^[A-Za-z]+$"), F.lit("letters52"))
+            .when(core.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit("hex"))
+            .when(core.rlike("^[A-Z2-7]+$"), F.lit("base32"))
+            .when(core.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), F.lit("base36"))
+            .when(core.rlike("[A-Z]") & core.rlike("[a-z]"), F.lit("base64"))
+        )
+        return let(encoding, lambda enc: for_encoding(core, enc))
+
+    def for_encoding(core: Column, enc: Column) -> Column:
         letters = F.element_at(F.create_map(*[F.lit(v) for kv in ALPHABETS.items() for v in kv]), enc)
-        norm = F.when(enc.isin("hex", "base36", "letters26"), F.lower(run)).otherwise(F.translate(run, "-_", "+/"))
+        norm = F.when(enc.isin("hex", "base36", "letters26"), F.lower(core)).otherwise(core)
         chars = F.filter(F.split(norm, ""), lambda c: c != "")
-        p = let(letters, lambda a: let(F.transform(chars, lambda c: F.call_function("instr", a, c).cast("double") - 1),
-                                      lambda x: randomness_p(x, F.length(a).cast("double"))))
+        p = F.when(enc.isNotNull(), let(letters, lambda a: let(
+            F.transform(chars, lambda c: F.call_function("instr", a, c).cast("double") - 1),
+            lambda x: randomness_p(x, F.length(a).cast("double")))))
         decade = F.least(F.floor(-10 * F.log10(F.greatest(p, F.lit(1e-300)))), F.lit(MAX_BIN)).cast("int")
-        return F.struct(enc.alias("enc"), F.floor(F.log2(F.length(run).cast("double"))).cast("int").alias("cls"),
+        return F.struct(enc.alias("enc"), F.floor(F.log2(F.length(core).cast("double"))).cast("int").alias("cls"),
                         F.when(enc.isNotNull(), decade).alias("bin"))
 
-    return let(encoding, for_encoding)
+    return let(core, for_core)
 
 
 def _of_kind(spans: Column | str, k: int) -> Column:

@@ -130,13 +130,19 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     return dealt.select("members").mapInPandas(verify, "a long, b long")
 
 
+def _row_hash(id_col: str, text_col: str) -> Column:
+    """Two hashes of id and text: 64 bits would meet by chance at some 10^10 rows."""
+    own = (F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    return F.struct(F.xxhash64(F.lit(1), *own).alias("a"), F.xxhash64(F.lit(2), *own).alias("b"))
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): rows has id, fp and th (a hash of id and text) of every row of
-    ``docs``; classes has fp, root and component_id of every distinct fingerprint."""
+    """(rows, classes): rows has id, fp and th (128 bits that tell id and text) of every row
+    of ``docs``; classes has fp, root and component_id of every distinct fingerprint."""
     rows = checkpointed(docs.select(
         F.col(f"`{id_col}`").alias("id"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp"),
-        F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("th")))
+        _row_hash(id_col, text_col).alias("th")))
     smallest = checkpointed(rows.groupBy("fp").agg(F.min("id").alias("id")))
     roots = connected_components(links(smallest.select("fp"), max_bits))
     member = smallest.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
@@ -162,10 +168,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     named = rows.join(classes, "fp", "left")
     # One narrow row per component; a null id sorts after every id.
     first = named.groupBy("root").agg(
-        F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("th"))).alias("first"))
-    key = internal(docs, "_th")
-    winners = first.select(F.col("first.th").alias(key)).distinct()
-    mine = F.xxhash64(F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+        F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("th").alias("th"))).alias("first"))
+    key = [internal(docs, "_th1"), internal(docs, "_th2")]
+    winners = first.select(F.col("first.th.a").alias(key[0]), F.col("first.th.b").alias(key[1])).distinct()
+    mine = _row_hash(id_col, text_col)
     own = [F.col(f"`{c}`") for c in docs.columns]
-    return (docs.select(*own, mine.alias(key)).join(winners, key, "left_semi")
-            .dropDuplicates([key]).select(*own))
+    return (docs.select(*own, mine["a"].alias(key[0]), mine["b"].alias(key[1])).join(winners, key, "left_semi")
+            .dropDuplicates(key).select(*own))

@@ -8,7 +8,8 @@ Anchors: a token that begins with a space usually begins a word for both vocabul
 The ends of the tokens before such tokens are compared, and those that both share split
 the batch into windows, mostly one word each.  A window's groups depend on its ids alone,
 so they are worked out once and remembered by the window's two id tuples (in their packed
-form); the memory is emptied when the remembered windows hold ``REMEMBERED`` tokens.
+form); when the remembered windows hold ``REMEMBERED`` tokens, those met only once since
+the last time are forgotten.
 
 ``align`` gives a row per row of the input.  Links are never written one by one: a row
 holds each linked id pair once, with its number of links.  ``score_links`` counts, for
@@ -44,16 +45,17 @@ REMEMBERED = 3_000_000
 CACHE = 250_000
 BROADCAST_PAIRS = 2_000_000
 LARGE = 256  # A x B tokens of a group, beyond which distinct pairs are multiplied
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 3 << 19
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<struct<pair long, links long>>"
 
 
-def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Values of ``a`` that ``b`` has too; both in order, without repeats."""
+def common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``a`` and in ``b`` of the values that both have; both in order, without
+    repeats."""
     at = np.searchsorted(b, a)
     inside = at < len(b)
     inside[inside] = b[at[inside]] == a[inside]
-    return a[inside]
+    return np.flatnonzero(inside), at[inside]
 
 
 def summed(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,8 +123,8 @@ class Pieces:
         pieces = map(self.processor.id_to_piece, range(len(self.token_bytes)))
         return plain and spec.get(2, {}).get(3, 1) == 2 and not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def _encode_new(self, words: list[str]) -> dict[str, bytes]:
-        return {w: array("I", ids).tobytes() for w, ids in zip(words, self.processor.encode(words, num_threads=1))}
+    def _encode_new(self, words: list[str]) -> list[bytes]:
+        return [array("I", ids).tobytes() for ids in self.processor.encode(words, num_threads=1)]
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = self.processor.encode(texts, num_threads=1)
@@ -137,15 +139,15 @@ class Pieces:
         coded = words.flatten().dictionary_encode()
         n_words = np.diff(words.offsets.to_numpy()).astype(np.int64)
         code = coded.indices.to_numpy()
-        spelled = coded.dictionary.to_pylist()
         plain = np.ones(len(texts), bool)
         # Spaces next to each other or at an end, or the model's own sign for a space.
         odd = pc.or_(pc.equal(coded.dictionary, ""), pc.match_substring(coded.dictionary, "▁")).to_numpy(zero_copy_only=False)
         if odd.any():
             plain[np.repeat(np.arange(len(texts)), n_words)[odd[code]]] = False
             code = code[np.repeat(plain, n_words)]
-        used, code = np.unique(code, return_inverse=True)
-        ids, n = self.memory.ids([spelled[k] for k in used.tolist()], code, n_words[plain])
+        used = np.zeros(len(odd), bool)
+        used[code] = True
+        ids, n = self.memory.ids(coded.dictionary.filter(pa.array(used)).to_pylist(), (np.cumsum(used) - 1)[code], n_words[plain])
         if plain.all():
             return ids, n
         return woven(plain, (ids, n), self._whole(texts.filter(pa.array(~plain)).to_pylist()))
@@ -169,6 +171,22 @@ class Aligner:
         self.totals = np.zeros((0, 3), np.int64)  # groups, links, distinct pairs of a window
         self.pairs = self.links = np.zeros(0, np.int64)  # of all windows, one after the other
         self.weight = 0
+        self.met = np.zeros(0, np.int64)  # times a window was met since the last clearing
+
+    def _clear_out(self) -> None:
+        """Keeps the windows met more than once since the last time, if these leave room."""
+        kept = np.flatnonzero(self.met > 1)
+        keys, text = list(self.number), self.text
+        weight = sum(len(keys[k]) for k in kept.tolist()) // 4
+        if weight > REMEMBERED * 2 // 3:
+            self.forget()
+            return
+        n = self.totals[:, 2]
+        starts = (np.cumsum(n) - n)[kept]
+        self.pairs, self.links = gather(self.pairs, starts, n[kept]), gather(self.links, starts, n[kept])
+        self.number = {keys[k]: i for i, k in enumerate(kept.tolist())}
+        self.text = [text[k] for k in kept.tolist()]
+        self.totals, self.weight, self.met = self.totals[kept], weight, np.zeros(len(kept), np.int64)
 
     def _learn(self, keys: list[bytes]) -> None:
         """Groups, links and text of new windows."""
@@ -178,10 +196,9 @@ class Aligner:
         n_a = packed[starts]
         a, b = gather(packed, starts + 1, n_a), gather(packed, starts + 1 + n_a, sizes - 1 - n_a)
         ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
-        shared = common(ends_a, ends_b)
-        cut_a, cut_b = (np.concatenate(([0], np.searchsorted(ends, shared, "right"))) for ends in (ends_a, ends_b))
+        cut_a, cut_b = (np.concatenate(([0], at + 1)) for at in common(ends_a, ends_b))
         in_a, in_b = np.diff(cut_a), np.diff(cut_b)
-        last = np.searchsorted(shared, ends_a[np.cumsum(n_a) - 1], "right")
+        last = np.searchsorted(cut_a[1:], np.cumsum(n_a), "right")
         n_groups = np.diff(np.concatenate(([0], last)))
         window = np.repeat(np.arange(len(keys)), n_groups)
         # Every A token of a group with every B token; of a large group, each distinct pair once.
@@ -227,14 +244,12 @@ class Aligner:
 
     def batch(self, column: pa.Array) -> dict[str, pa.Array]:
         if self.weight > REMEMBERED:
-            self.forget()
+            self._clear_out()
         n = len(column)
         rows = np.flatnonzero(pc.greater(pc.binary_length(column), 0).fill_null(False).to_numpy(zero_copy_only=False))
         filled = column.take(pa.array(rows))
-        texts = filled.to_pylist()
-        raw = [b" " + t.encode() for t in texts]
-        joined = np.frombuffer(b"".join(raw), np.uint8)
-        lengths = np.array([len(r) for r in raw], np.int64)
+        joined = np.frombuffer("".join([" " + t for t in filled.to_pylist()]).encode(), np.uint8)
+        lengths = pc.binary_length(filled).to_numpy().astype(np.int64) + 1
         a, n_a = self.a.encode(filled, " ")
         b, n_b = self.b.encode(filled)
         good = self._verified(joined, np.cumsum(lengths), a, n_a, 0) & self._verified(joined, np.cumsum(lengths), b, n_b, 1)
@@ -274,8 +289,11 @@ class Aligner:
         ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
         marked_a, marked_b = self.space_a[a], self.space_b[b]
         marked_a[np.cumsum(n_a)[:-1]] = marked_b[np.cumsum(n_b)[:-1]] = True  # a text begins
-        shared = np.append(common(ends_a[:-1][marked_a[1:]], ends_b[:-1][marked_b[1:]]), text_ends[-1])
-        cut_a, cut_b = (np.concatenate(([0], np.searchsorted(ends, shared, "right"))) for ends in (ends_a, ends_b))
+        before_a, before_b = np.flatnonzero(marked_a[1:]), np.flatnonzero(marked_b[1:])
+        at_a, at_b = common(ends_a[before_a], ends_b[before_b])
+        cut_a = np.concatenate(([0], before_a[at_a] + 1, [len(a)]))
+        cut_b = np.concatenate(([0], before_b[at_b] + 1, [len(b)]))
+        shared = ends_a[cut_a[1:] - 1]
         # A window's key: how many A ids it has, its A ids, its B ids.
         n, in_a, in_b = len(shared), np.diff(cut_a), np.diff(cut_b)
         starts = np.column_stack((np.arange(n), n + cut_a[:-1], n + len(a) + cut_b[:-1])).ravel()
@@ -288,7 +306,11 @@ class Aligner:
         if len(known) > before:
             self._learn(list(islice(known, before, None)))
         per_text = np.diff(np.concatenate(([0], np.searchsorted(shared, text_ends, "right"))))
-        return number[keys.indices.to_numpy()], per_text
+        code = number[keys.indices.to_numpy()]
+        times = np.bincount(code, minlength=len(known))
+        times[:len(self.met)] += self.met
+        self.met = times
+        return code, per_text
 
     def _pairs_of(self, row: np.ndarray, code: np.ndarray, n_pairs: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each row's distinct pairs with their links; ``at`` says where a row's begin."""

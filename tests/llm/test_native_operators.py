@@ -210,6 +210,23 @@ def test_random_letters_without_a_digit_are_found(spark):
     assert sum("random" in out[i] for i in range(200, 400)) <= 6
 
 
+def test_digits_and_keys_in_groups_are_found(spark):
+    import uuid
+    rnd = random.Random(8)
+    kinds = [lambda: "".join(rnd.choice(string.digits) for _ in range(22)),
+             lambda: str(uuid.UUID(int=rnd.getrandbits(128), version=4)),
+             lambda: ":".join("".join(rnd.choice("0123456789ABCDEF") for _ in range(22)) for _ in range(2)),
+             lambda: "-".join("".join(rnd.choice(string.digits) for _ in range(4)) for _ in range(6))]
+    rows = [(i, f"go {kinds[i % 4]()} end", "en", "s") for i in range(400)]
+    plain = ["-" * 40, "=" * 30, "_a" + "-" * 30, "1" * 22, "12345678901234567890123", "0000-0000-0000-0000-0000-0000",
+             "the-quick-brown-fox-jumps-over-the-lazy-dog-again-and-again", "snake_case_names_are_read_as_words_in_code"]
+    rows += [(400 + i, f"see {t} here", "en", "s") for i, t in enumerate(plain)]
+    out = {r.doc_id: r.spans for r in secret_scan.digest(secret_scan.scan(make_docs(spark, rows))).collect()}
+    for k in range(4):
+        assert sum("random:3:" in out[i] for i in range(k, 400, 4)) >= 95, k
+    assert sum("random" in out[i] for i in range(400, 400 + len(plain))) <= 1
+
+
 def test_secret_scan_odd_and_empty(spark, odd_rows):
     docs = make_docs(spark, odd_rows, clashing=True)
     out = secret_scan.digest(secret_scan.scan(docs)).collect()
