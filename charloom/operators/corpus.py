@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from charloom.functions.text import clean_line, drop_last_char, in_length_band, last_char, nfc
 from charloom.operators.counts import STEP
@@ -112,14 +113,25 @@ def prepare(rows: DataFrame, lines_per_group: int, min_chars: int = 10, max_char
             group_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Clean every row (F2), keep lengths in [min_chars, max_chars] (F3), and the
     first ``lines_per_group`` kept rows of each group in id order (L3).  A missing
-    text reads as ''."""
-    cleaned = rows.select(F.col(group_col).alias("grp"), F.col(id_col).alias("row_id"),
-                          clean_line(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    kept = cleaned.where(in_length_band("text", min_chars, max_chars))
+    text reads as ''.  With whole-number ids the kept ids of each group are counted first,
+    and only rows up to the id that the limit falls on are cleaned again and ranked."""
+    own = rows.select(F.col(group_col).alias("grp"), F.col(id_col).alias("row_id"), F.col(text_col).alias("text"))
+
+    def kept(df: DataFrame) -> DataFrame:
+        return df.withColumn("text", clean_line(F.coalesce("text", F.lit("")))).where(in_length_band("text", min_chars, max_chars))
+
+    if isinstance(own.schema["row_id"].dataType, IntegralType) and lines_per_group > 0:
+        ensure_checkpoint_dir(own.sparkSession)
+        # A null id comes first in the order; below every number here.
+        number = F.coalesce(F.col("row_id").cast("decimal(30,0)"), F.lit(str(-1 << 64)).cast("decimal(30,0)"))
+        keys = kept(own).select("grp", "row_id").checkpoint(eager=True)
+        each = cuts(keys, number, lines_per_group, groups=["grp"], slack=max(lines_per_group, 1000))
+        near = own.alias("o").join(small(each, each.count()).alias("c"), same("o", "c", ["grp"])).where(number <= F.col("cut"))
+        own = near.select("o.*")
     w = Window.partitionBy("grp").orderBy("row_id")
     # row_number() <= N over a window is planned as a window group limit: each
     # task keeps N rows per group before the shuffle, so a hot group is cheap.
-    return kept.withColumn("kept_rank", F.row_number().over(w)).where(F.col("kept_rank") <= lines_per_group)
+    return kept(own).withColumn("kept_rank", F.row_number().over(w)).where(F.col("kept_rank") <= lines_per_group)
 
 
 def sample_key(seed: int | str, row_id: Column, salt: str = ":") -> Column:

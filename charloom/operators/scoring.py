@@ -69,7 +69,7 @@ def base_ranking_prefix(base: DataFrame, alpha: float, stats: BaseStats, length:
     can score), so collecting it is safe; it becomes a literal in the plan."""
     if length <= 0:
         return []
-    ranked = base_table(base, alpha, stats).join(base.select("ch", "bc"), "ch")
+    ranked = base.select("ch", "bc", "first_seen", base_score(F.col("bc"), alpha, stats.denominator(alpha)).alias("b"))
     rows = ranked.orderBy(F.col("b").desc(), F.col("first_seen").asc()).limit(length).collect()
     return [(r["ch"], int(r["bc"])) for r in rows]
 
