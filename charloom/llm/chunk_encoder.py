@@ -46,7 +46,7 @@ class Memory:
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _coded(self, chunks: list[str]) -> list[bytes]:
+    def packed(self, chunks: list[str]) -> list[bytes]:
         newer, older = self.newer, self.older
         out = list(map(newer.get, chunks))
         missing = []
@@ -69,7 +69,7 @@ class Memory:
 
     def ids(self, chunks: list[str], code: np.ndarray, n_chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the distinct ``chunks`` numbered ``code``, and how many each text has."""
-        coded = self._coded(chunks)
+        coded = self.packed(chunks)
         flat = np.frombuffer(b"".join(coded), self.dtype)
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // self.dtype.itemsize
         per_chunk = sizes[code]
@@ -99,7 +99,7 @@ class ChunkEncoder:
         self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
         self.dtype = np.dtype("<u2" if len(self.sizes) <= 1 << 16 else "<u4")
         # Words that follow a space are remembered without it, apart from other chunks.
-        self.memory = Memory(self._encode_words, self.dtype, cache)
+        self.memory = Memory(self.encode_words, self.dtype, cache)
         self.others = Memory(self._encode_new, self.dtype, cache // 4)
 
     def _token_bytes(self) -> list[bytes]:
@@ -111,7 +111,8 @@ class ChunkEncoder:
             out[k] = piece.encode() if k in added else bytes(letters[c] for c in piece)
         return out
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The packed ids of each word with a space in front."""
         return self._encode_joined([" " + w for w in words])
 
     def _encode_joined(self, chunks: list[str]) -> list[bytes]:

@@ -36,13 +36,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunk_encoder import Memory, encoder_of, gather, woven
+from .chunk_encoder import ChunkEncoder, Memory, encoder_of, gather, woven
 from .common import checkpointed
 
 VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
 VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
 REMEMBERED = 3_000_000
-CACHE = 250_000
+CACHE = 400_000
 BROADCAST_PAIRS = 2_000_000
 LARGE = 256  # A x B tokens of a group, beyond which distinct pairs are multiplied
 SLICE_BYTES = 3 << 19
@@ -97,16 +97,14 @@ class Pieces:
     Where the model changes no character, keeps every space, puts one in front, merges
     pieces (BPE) and has none with a space behind another character, nothing is ever merged
     across the space before a word: the ids of a text are those of its words, laid end to
-    end.  Then distinct words are encoded and remembered; texts with other spacing, and all
-    texts of other models, are encoded whole."""
+    end (``by_words``)."""
 
-    def __init__(self, model: bytes, cache: int = CACHE):
+    def __init__(self, model: bytes):
         import sentencepiece
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.token_bytes = [self._bytes(k) for k in range(self.processor.get_piece_size())]
         self.sizes = np.array([len(b) for b in self.token_bytes], np.int64)
         self.by_words = self._words_stand_alone(model)
-        self.memory = Memory(self._encode_new, np.dtype(np.uint32), cache)
 
     def _bytes(self, k: int) -> bytes:
         piece = self.processor.id_to_piece(k)
@@ -123,41 +121,21 @@ class Pieces:
         pieces = map(self.processor.id_to_piece, range(len(self.token_bytes)))
         return plain and spec.get(2, {}).get(3, 1) == 2 and not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def _encode_new(self, words: list[str]) -> list[bytes]:
-        return [array("I", ids).tobytes() for ids in self.processor.encode(words, num_threads=1)]
-
-    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and how many each has."""
         ids = self.processor.encode(texts, num_threads=1)
         n = np.array([len(row) for row in ids], np.int64)
-        return np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum())), n
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts (without nulls), and how many each has."""
-        if not self.by_words or not len(texts):
-            return self._whole(texts.to_pylist())
-        words = pc.split_pattern(texts, " ")
-        coded = words.flatten().dictionary_encode()
-        n_words = np.diff(words.offsets.to_numpy()).astype(np.int64)
-        code = coded.indices.to_numpy()
-        plain = np.ones(len(texts), bool)
-        # Spaces next to each other or at an end, or the model's own sign for a space.
-        odd = pc.or_(pc.equal(coded.dictionary, ""), pc.match_substring(coded.dictionary, "▁")).to_numpy(zero_copy_only=False)
-        if odd.any():
-            plain[np.repeat(np.arange(len(texts)), n_words)[odd[code]]] = False
-            code = code[np.repeat(plain, n_words)]
-        used = np.zeros(len(odd), bool)
-        used[code] = True
-        ids, n = self.memory.ids(coded.dictionary.filter(pa.array(used)).to_pylist(), (np.cumsum(used) - 1)[code], n_words[plain])
-        if plain.all():
-            return ids, n
-        return woven(plain, (ids, n), self._whole(texts.filter(pa.array(~plain)).to_pylist()))
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n
 
 
 class Aligner:
     """Aligns batches of texts; remembers windows by their packed id tuples."""
 
-    def __init__(self, encoder, pieces: Pieces):
+    def __init__(self, encoder: ChunkEncoder, pieces: Pieces, cache: int = CACHE):
         self.a, self.b = encoder, pieces
+        narrow = max(len(encoder.sizes), len(pieces.sizes)) <= 1 << 16
+        self.dtype = np.dtype(np.uint16 if narrow else np.uint32)
+        self.words = Memory(self._encode_words, self.dtype, cache)
         self.space_a = np.array([t.startswith(b" ") for t in encoder.token_bytes])
         self.space_b = np.array([t.startswith(b" ") for t in pieces.token_bytes])
         self.spelled = [(np.frombuffer(b"".join(v.token_bytes), np.uint8), np.cumsum(v.sizes) - v.sizes, v.sizes) for v in (encoder, pieces)]
@@ -250,8 +228,7 @@ class Aligner:
         filled = column.take(pa.array(rows))
         joined = np.frombuffer("".join([" " + t for t in filled.to_pylist()]).encode(), np.uint8)
         lengths = pc.binary_length(filled).to_numpy().astype(np.int64) + 1
-        a, n_a = self.a.encode(filled, " ")
-        b, n_b = self.b.encode(filled)
+        a, n_a, b, n_b = self._tokens(filled)
         good = self._verified(joined, np.cumsum(lengths), a, n_a, 0) & self._verified(joined, np.cumsum(lengths), b, n_b, 1)
         if not good.all():
             a = gather(a, (np.cumsum(n_a) - n_a)[good], n_a[good])
@@ -282,6 +259,51 @@ class Aligner:
                 "groups": pa.array(strings, pa.string()),
                 "pairs": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), entries)}
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Of each word, with a space in front: how many A ids, the A ids, the B ids."""
+        size, code = self.dtype.itemsize, self.dtype.char
+        ids_a = self.a.encode_words(words)
+        if self.a.dtype.itemsize != size:
+            ids_a = [np.frombuffer(i, self.a.dtype).astype(self.dtype).tobytes() for i in ids_a]
+        ids_b = self.b.processor.encode(words, num_threads=1)
+        return [array(code, [len(i) // size]).tobytes() + i + array(code, j).tobytes() for i, j in zip(ids_a, ids_b)]
+
+    def _tokens(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The A and B ids of all texts with a space in front, and how many each text has.
+        Where words stand alone for both vocabularies, distinct ones are encoded once and
+        remembered; other texts are encoded whole."""
+        if not self.b.by_words or not len(texts):
+            return *self.a.encode(texts, " "), *self.b.encode(texts.to_pylist())
+        words = pc.split_pattern(texts, " ")
+        coded = words.flatten().dictionary_encode()
+        spelled = coded.dictionary
+        n_words = np.diff(words.offsets.to_numpy()).astype(np.int64)
+        code = coded.indices.to_numpy()
+        # Other spacing, or the pieces' own sign for a space.
+        odd = pc.or_(pc.equal(spelled, ""), pc.not_equal(pc.utf8_trim_whitespace(spelled), spelled))
+        odd = pc.or_(odd, pc.match_substring(spelled, "▁")).to_numpy(zero_copy_only=False)
+        plain = np.ones(len(texts), bool)
+        if odd.any():
+            plain[np.repeat(np.arange(len(texts)), n_words)[odd[code]]] = False
+            code, n_words = code[np.repeat(plain, n_words)], n_words[plain]
+        used = np.zeros(len(odd), bool)
+        used[code] = True
+        code = (np.cumsum(used) - 1)[code]
+        packed = self.words.packed(spelled.filter(pa.array(used)).to_pylist())
+        flat = np.frombuffer(b"".join(packed), self.dtype).astype(np.int64)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes + 1
+        in_a = flat[starts - 1]
+        out = []
+        ends = np.cumsum(n_words)
+        for start, size in ((starts, in_a), (starts + in_a, sizes - 1 - in_a)):
+            before = np.concatenate(([0], np.cumsum(size[code])))
+            out.append((gather(flat, start[code], size[code]), before[ends] - before[ends - n_words]))
+        if not plain.all():
+            rest = texts.filter(pa.array(~plain))
+            out = [woven(plain, out[0], self.a.encode(rest, " ")), woven(plain, out[1], self.b.encode(rest.to_pylist()))]
+        return *out[0], *out[1]
+
     def _windows(self, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, text_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of each window, text after text, and how many windows each text has."""
         if not len(text_ends):
@@ -333,7 +355,7 @@ def aligner_of(model_a: bytes, model_b: bytes) -> Aligner:
     key = (hash(model_a), hash(model_b))
     if key not in _aligners:
         _aligners.clear()
-        _aligners[key] = Aligner(encoder_of(model_a, True, CACHE), Pieces(model_b))
+        _aligners[key] = Aligner(encoder_of(model_a, True, CACHE // 8), Pieces(model_b))
     return _aligners[key]
 
 

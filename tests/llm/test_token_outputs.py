@@ -178,11 +178,27 @@ def test_alignment_by_broadcast_and_by_shuffle(spark, odd_rows, tmp_path, broadc
     assert Counter(got) == Counter(digests([(i, t) for i, t, *_ in rows]))
 
 
+def test_words_encode_like_the_whole_text_for_both_vocabularies():
+    pieces = token_alignment.Pieces(open(token_alignment.VOCABULARY_B, "rb").read())
+    assert pieces.by_words
+    aligner = token_alignment.Aligner(ChunkEncoder(MODEL, True, cache=50), pieces, cache=50)
+    whole = Tokenizer.from_buffer(MODEL)
+    whole.encode_special_tokens = True
+    points = [c for c in range(0x3100)] + [0xFEFF, 0x1F600, 0x10FFFF]
+    texts = [t for t in STRANGE if t] + [f"a{chr(c)}b {chr(c)} c{chr(c)} {chr(c)}d" for c in points]
+    for part in (texts, texts[::-1][:500], texts[:3], []):
+        a, n_a, b, n_b = aligner._tokens(pa.array(part, pa.string()))
+        wanted = [whole.encode(" " + t, add_special_tokens=False).ids for t in part]
+        assert n_a.tolist() == [len(w) for w in wanted] and a.tolist() == [i for w in wanted for i in w]
+        wanted = [pieces.processor.encode(t) for t in part]
+        assert n_b.tolist() == [len(w) for w in wanted] and b.tolist() == [i for w in wanted for i in w]
+
+
 def test_alignment_forgets_and_stays_right():
     model_b = open(token_alignment.VOCABULARY_B, "rb").read()
     texts = [f"word{k % 7} and other{k}, words - here" for k in range(60)]
     hand = aligned_by_hand(texts)
-    aligner = token_alignment.Aligner(ChunkEncoder(MODEL, True, cache=20), token_alignment.Pieces(model_b))
+    aligner = token_alignment.Aligner(ChunkEncoder(MODEL, True, cache=20), token_alignment.Pieces(model_b), cache=20)
     for k in range(0, 60, 6):
         aligner.weight = 10**9 if k % 12 else aligner.weight
         out = aligner.batch(pa.array(texts[k:k + 6]))
