@@ -34,8 +34,10 @@ def input_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int
 def start(model: CharModel, input_dir: str, output_dir: str, checkpoint_location: str,
           k: int = 3, available_now: bool = True) -> StreamingQuery:
     """Start the stream; every output row is ``(file, qid, pred)`` where ``qid``
-    is the line's 0-based number inside its file."""
+    is the line's 0-based number inside its file.  The stored contexts are scored first:
+    the batches that follow only look theirs up."""
     spark = model.context_chars.sparkSession
+    model.prepare(k, guess_table=True)
 
     def score_batch(batch: DataFrame, batch_id: int) -> None:
         from pyspark.sql import Window

@@ -69,6 +69,21 @@ def test_no_counts_move_with_the_inputs(spark, small_corpus, small_dev):
     assert "ents" not in plan.split("InMemoryRelation")[0] and "Aggregate" not in plan.split("InMemoryRelation")[0]
 
 
+def test_both_sides_of_the_key_join_are_shuffled(spark, small_corpus, small_dev):
+    """So that AQE may split a hot context; the held levels do not move where counts do."""
+    from charloom.operators.predict import stored_suffixes
+    model = CharModel.fit(small_corpus, ModelParams(ngram_order=4, max_chars_per_context=4, max_contexts=100)).prepare(3)
+    sfx = spark.createDataFrame([(r.text[-3:],) for r in small_dev.select("text").collect()], "sfx string").distinct()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = stored_suffixes(sfx, model.levels())
+        plan = found._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("Exchange hashpartitioning(context") == 2
+
+
 def test_prune_and_retrim_match_bruteforce(spark, small_corpus, small_lines, small_dev):
     params = ModelParams(ngram_order=4, max_chars_per_context=6, min_context_count=2, max_contexts=400)
     model = CharModel.fit(small_corpus, params)
