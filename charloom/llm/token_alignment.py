@@ -41,11 +41,11 @@ from .common import checkpointed
 
 VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
 VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
-REMEMBERED = 3_000_000
+REMEMBERED = 2_500_000
 CACHE = 400_000
 BROADCAST_PAIRS = 2_000_000
 LARGE = 256  # A x B tokens of a group, beyond which distinct pairs are multiplied
-SLICE_BYTES = 3 << 19
+SLICE_BYTES = 1 << 20
 _ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<struct<pair long, links long>>"
 
 
