@@ -50,7 +50,8 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, log_bins: int = LO
         lines.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(log_bins)).alias("sketch"), F.min("at").alias("first"))
         .select("h", "first", F.hll_sketch_estimate("sketch").alias("sites")).where(F.col("sites") >= low))
     near = spread.where(F.col("sites") < high).select("h", "first")
-    exact = (lines.join(near.select("h"), "h", "left_semi").select("h", "site").distinct()
+    keys = near.select("h")
+    exact = (lines.join(F.broadcast(keys) if spread.count() <= BROADCAST_LINES else keys, "h", "left_semi").select("h", "site").distinct()
              .groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("h"))
     return spread.where(F.col("sites") >= high).select("h", "first").unionAll(near.join(exact, "h", "left_semi"))
 
