@@ -31,6 +31,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from charloom.operators import evaluate  # noqa: E402
+from charloom.operators.corpus import load_capped  # noqa: E402
 from charloom.plans import queries as Q  # noqa: E402
 from charloom.plans.model import CharModel, count_corpus  # noqa: E402
 from charloom.session import get_spark  # noqa: E402
