@@ -8,11 +8,16 @@ under the background model: the lower, the more it reads like the target.
 The vocabulary is every word of every document and the bigrams are all that occur; none
 is cut or merged, at any size of corpus.  A bigram that one side has not seen gets its
 context's left-over mass times the word's smoothed share, so each model sums to 1.
-The models are tables, not broadcasts: bigram counts (checkpointed), and per word its
-counts as a word and as a context.  Bigrams meet their context and their word, and the
-documents' own (document, bigram, n) rows meet the bigrams, by sort-merge joins; keys
-with ``HOT_SHARE`` of the rows or more (1 / HOT_SHARE at most) are spread over ``SALTS``
-tasks.  Losses are then summed per document.  Words are told apart by 64-bit hashes.
+The models are neither broadcast nor joined row by row.  Documents are dealt into slices
+of about ``SLICE_CHARS`` characters by a hash of id and text; the texts shuffle once.  A
+slice sends its distinct bigrams with their counts to ranges of the hash, where the counts
+of all slices add up, and gets back the totals of what it asked for, in the same order.
+The same way its words, as words and as contexts, get their totals, and then the slice
+has all it needs to score its own documents.  So no row per document and bigram is
+shuffled, a key with very many occurrences is one entry a slice, and no task holds more
+than a slice or a range.  Between slices and ranges go sorted arrays, as differences and
+by planes of bytes (``pack``).  Words and bigrams are told apart by 64-bit hashes.  Rows
+alike in id and text fall into one slice.
 
 Defined results: null and empty texts have 0 tokens and null losses and score.  Without
 target (or background) documents that model is uniform.  Documents whose id is null are
@@ -29,6 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +46,11 @@ HELD_TOKENS = 1 << 21
 UNKNOWN = 0
 # Fixed value: the hash that stands for the context of a first word.
 START = 0
-HOT_SHARE = 1e-4
+SLICE_CHARS = 1 << 24
+# Texts tokenized at a time within a slice.
+CHUNK = 1000
+# No longer read: no key is spread any more, at any number of rows.
 HOT_ROWS = 10_000
-SALTS = 64
 
 
 def words_of(text: str | None) -> list[str]:
@@ -161,86 +169,154 @@ def fit(docs: DataFrame, sided: DataFrame, word_share: float = 0.0, bigram_share
     return Models(vocab, code, seen, 1 - used, (word + 1) / (n + base))
 
 
-def bigram_rows(texts: list[str | None], groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(group, context, word, n) of all tokens, words as hashes; ``groups``: one small
-    number a text."""
-    lists = [words_of(t) for t in texts]
-    lengths = np.array([len(x) for x in lists], np.int64)
-    words = [w for x in lists for w in x]
-    if not words:
-        return (np.zeros(0, np.int64),) * 4
-    # Numbered by Arrow: pandas ends a string at a null character.
-    coded = pa.array(words, pa.string()).dictionary_encode()
-    ids, kinds = coded.indices.to_numpy().astype(np.int64), np.array(coded.dictionary.to_pylist(), dtype=object)
-    hashes = np.append(pd.util.hash_array(kinds, categorize=False).view(np.int64), START)
-    base = len(hashes)
-    before = np.concatenate([[base - 1], ids[:-1]])
-    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = base - 1
-    key, n = np.unique((np.repeat(groups, lengths) * base + before) * base + ids, return_counts=True)
-    return key // (base * base), hashes[key // base % base], hashes[key % base], n
-
-
-def pair_counts(sided: DataFrame) -> DataFrame:
-    """(c, w, n0, n1): background and target tokens of every bigram of ``sided`` (text, target)."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            side, c, w, n = bigram_rows(frame["text"].tolist(), frame["target"].to_numpy(np.int64))
-            yield pd.DataFrame({"c": c, "w": w, "n0": n * (1 - side), "n1": n * side})
-
-    parts = sided.select("text", "target").mapInPandas(count, "c long, w long, n0 long, n1 long")
-    return parts.groupBy("c", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-
-
-def document_rows(rows: DataFrame) -> DataFrame:
-    """(row, c, w, n): the bigrams of every document of ``rows`` (row, text)."""
-    def spell(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            at, c, w, n = bigram_rows(frame["text"].tolist(), np.arange(len(frame)))
-            yield pd.DataFrame({"row": frame["row"].to_numpy(np.int64)[at], "c": c, "w": w, "n": n})
-
-    return rows.select("row", "text").mapInPandas(spell, "row long, c long, w long, n long")
-
-
-def word_stats(pairs: DataFrame, discount: float) -> DataFrame:
-    """Per word k (and START): w0, w1, its tokens; c0, c1, the tokens after it; d0, d1, the
-    same of bigrams less the discount; rows, the bigrams that hold it."""
-    less = [F.greatest(F.col(f"n{i}") - F.lit(discount), F.lit(0.0)).alias(f"d{i}") for i in (0, 1)]
-    none, zero = F.lit(0).cast("long"), F.lit(0.0)
-    as_word = pairs.select(F.col("w").alias("k"), F.col("n0").alias("w0"), F.col("n1").alias("w1"), none.alias("c0"), none.alias("c1"),
-                           zero.alias("d0"), zero.alias("d1"))
-    as_context = pairs.select(F.col("c").alias("k"), none.alias("w0"), none.alias("w1"), F.col("n0").alias("c0"), F.col("n1").alias("c1"), *less)
-    return as_word.unionAll(as_context).groupBy("k").agg(
-        *[F.sum(x).alias(x) for x in ("w0", "w1", "c0", "c1", "d0", "d1")], F.count("*").alias("rows"))
-
-
-def _meet(rows: DataFrame, table: DataFrame, keys: list[str], hot: DataFrame, spread: str) -> DataFrame:
-    """``rows`` joined to ``table``, by a shuffle at every size.  Rows of a key of ``hot``
-    are spread by their column ``spread`` over copies of the table's row."""
-    # 1 / HOT_SHARE rows at most (twice that for words).
-    marks = F.broadcast(hot.select(*keys, F.lit(True).alias("hot")))
-    dealt = rows.join(marks, keys, "left").withColumn(
-        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))).drop("hot")
-    copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copied = table.join(marks, keys, "left").withColumn("salt", F.explode(copies)).drop("hot")
-    return dealt.join(copied.hint("merge"), [*keys, "salt"]).drop("salt")
-
-
-def bigram_losses(pairs: DataFrame, discount: float) -> DataFrame:
-    """(c, w, l0, l1): -log p of every bigram of ``pairs`` under both sides."""
-    stats = checkpointed(word_stats(pairs, discount))
-    all_ = stats.agg(F.sum("w0").alias("n0"), F.sum("w1").alias("n1"), F.sum("rows").alias("rows"),
-                     F.count(F.when(F.col("k") != START, 1)).alias("words")).first()
-    base = all_["words"] + 2  # the words, the unknown word and the start, as in Vocabulary
-    hot = stats.where(F.col("rows") >= max(HOT_SHARE * (all_["rows"] or 0), HOT_ROWS))
-    contexts = stats.select(F.col("k").alias("c"), *[
-        x for i in (0, 1) for x in (F.greatest(F.col(f"c{i}"), F.lit(1)).alias(f"c{i}"), F.col(f"d{i}"))])
-    words = stats.select(F.col("k").alias("w"), *[
-        ((F.col(f"w{i}") + 1) / F.lit(float((all_[f"n{i}"] or 0) + base))).alias(f"u{i}") for i in (0, 1)])
-    half = _meet(pairs, contexts, ["c"], hot.select(F.col("k").alias("c")), "w").select("c", "w", *[
-        x for i in (0, 1) for x in ((F.greatest(F.col(f"n{i}") - F.lit(discount), F.lit(0.0)) / F.col(f"c{i}")).alias(f"seen{i}"),
-                                    (1 - F.col(f"d{i}") / F.col(f"c{i}")).alias(f"rest{i}"))])
-    return _meet(half, words, ["w"], hot.select(F.col("k").alias("w")), "c").select(
-        "c", "w", *[(-F.log(F.col(f"seen{i}") + F.col(f"rest{i}") * F.col(f"u{i}"))).alias(f"l{i}") for i in (0, 1)])
+def pack(numbers: np.ndarray) -> bytes:
+    """Unsigned numbers by planes of bytes, without the planes that are zero, which the
+    compression of shuffles makes small."""
+    planes = np.ascontiguousarray(numbers, np.uint64).view(np.uint8).reshape(-1, 8).T
+    width = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    return bytes([width]) + planes[:width].tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    whole = np.zeros((planes.shape[1], 8), np.uint8)
+    whole[:, :width] = planes.T
+    return whole.view(np.uint64)[:, 0]
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, starts): an order that sorts ``keys``, and where each distinct key starts in it."""
+    order = np.argsort(keys).astype(np.int32 if len(keys) < 2 ** 31 else np.int64)
+    ranked = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.zeros(0, np.int64)
+
+
+def place_of(order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The number of the distinct key that each entry holds."""
+    out = np.empty_like(order)
+    out[order] = np.repeat(np.arange(len(starts), dtype=order.dtype), np.diff(starts, append=len(order)))
+    return out
+
+
+def token_hashes(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every token, number of tokens of every text)."""
+    hashes, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(texts), CHUNK):
+        lists = [words_of(t) for t in texts[at:at + CHUNK].to_pylist()]
+        lengths.append(np.array([len(x) for x in lists], np.int64))
+        # Numbered by Arrow: pandas ends a string at a null character.
+        coded = pa.array([w for x in lists for w in x], pa.string()).dictionary_encode()
+        kinds = np.array(coded.dictionary.to_pylist(), dtype=object)
+        hashes.append(pd.util.hash_array(kinds, categorize=False)[coded.indices.to_numpy()] if len(kinds) else hashes[0])
+    return np.concatenate(hashes), np.concatenate(lengths)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """splitmix64's finaliser, in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+class Slice:
+    """The bigrams of some documents: ``keys`` (sorted hashes) with ``n0`` and ``n1``, the
+    background and target tokens, ``context`` and ``word``; ``of`` is each token's bigram."""
+
+    def __init__(self, rows: pa.Table):
+        marked = pc.equal(rows["kind"], LABEL)
+        docs = rows.filter(pc.invert(marked))
+        wanted = pc.is_in(docs["id"], value_set=pc.drop_null(rows.filter(marked)["id"].combine_chunks()))
+        self.ids = docs["id"]
+        word, self.lengths = token_hashes(docs["text"])
+        del rows, docs
+        # Large arrays go as soon as they are used: two tasks share an executor's memory.
+        pa.default_memory_pool().release_unused()
+        before = np.concatenate([np.array([START], np.uint64), word[:-1]])[:len(word)]
+        before[(np.cumsum(self.lengths) - self.lengths)[self.lengths > 0]] = START
+        keys = _mixed(before + np.uint64(0x9E3779B97F4A7C15))
+        keys += word
+        order, starts = grouped(_mixed(keys))
+        at = order[starts]
+        self.keys, self.context, self.word = keys[at], before[at], word[at]
+        del keys, before, word
+        n = np.diff(starts, append=len(order))
+        side = np.repeat(np.asarray(wanted, bool), self.lengths)[order]
+        self.n1 = np.add.reduceat(side, starts, dtype=np.int64) if len(starts) else n
+        self.n0 = n - self.n1
+        self.of = place_of(order, starts)
+
+    def words(self) -> None:
+        """``kinds``, the sorted hashes of words and START; the places in it of the words
+        (``w_at``) and the contexts (``c_at``) of the bigrams."""
+        both = np.concatenate([self.word, self.context])
+        order, starts = grouped(both)
+        self.kinds = both[order[starts]]
+        self.w_at, self.c_at = np.split(place_of(order, starts), 2)
+        del self.word, self.context
+
+    def summed(self, at: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        return np.bincount(at, numbers, len(self.kinds)).astype(np.int64)
+
+
+def _requests(number: int, buckets: int, keys: np.ndarray, counts: list[np.ndarray]) -> pa.Table:
+    """One row a range of the hash, also of those that the slice has no key in."""
+    low = [b * 2 ** 64 // buckets for b in range(buckets)]
+    at = [*np.searchsorted(keys, np.array(low, np.uint64)), len(keys)]
+    rows = [(number, b, pack(np.diff(keys[i:j], prepend=np.uint64(low[b]))), [pack(n[i:j]) for n in counts])
+            for b, (i, j) in enumerate(zip(at, at[1:]))]
+    return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(REQUEST, zip(*rows))})
+
+
+def _totals(buckets: int, stage: int):
+    """The range's side: the counts of every key over all slices, sent back to each slice
+    in its own order; ``first``: the keys that this slice alone is told to answer for;
+    ``sums``: the range's distinct words, then the sums of its counts."""
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        low = np.uint64(bucket * 2 ** 64 // buckets)
+        asked = [low + np.cumsum(unpack(x), dtype=np.uint64) for x in rows["keys"].to_pylist()]
+        ends = np.cumsum([len(x) for x in asked])
+        keys = np.concatenate(asked)
+        order, starts = grouped(keys)
+        of, counts = place_of(order, starts), list(zip(*rows["counts"].to_pylist()))
+        first = np.zeros(len(keys), np.uint8)
+        first[order[starts]] = 1
+        sums, totals = [int((keys[order[starts]] != START).sum())], [[] for _ in asked]
+        for column in counts:
+            # Sums below 2 ** 53 are exact.
+            total = np.bincount(of, np.concatenate([unpack(x) for x in column]), len(starts)).astype(np.int64)
+            sums.append(int(total.sum()))
+            for out, part in zip(totals, np.split(of, ends[:-1])):
+                out.append(pack(total[part]))
+        out = [rows["slice"].to_pylist(), [bucket] * len(asked), [stage] * len(asked), totals,
+               [np.packbits(x).tobytes() for x in np.split(first, ends[:-1])], [sums] * len(asked)]
+        return pa.table({name: pa.array(x, kind) for (name, kind), x in zip(ANSWER, out)})
+
+    return add
+
+
+def _answers(rows: pa.Table, stage: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(totals, first, sums) of a slice's keys, in their order."""
+    rows = rows.filter(pc.equal(rows["stage"], stage)).sort_by("bucket")
+    columns = list(zip(*[[unpack(x) for x in r] for r in rows["totals"].to_pylist()]))
+    totals = [np.concatenate(c).astype(np.int64) for c in columns]
+    sizes = [data[0] and (len(data) - 1) // data[0] for data, *_ in rows["totals"].to_pylist()]
+    first = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(rows["first"].to_pylist(), sizes)])
+    return totals, first.astype(bool), np.array(rows["sums"].to_pylist(), np.int64).sum(axis=0)
+
+
+REQUEST = [("slice", pa.int64()), ("bucket", pa.int64()), ("keys", pa.binary()), ("counts", pa.list_(pa.binary()))]
+ANSWER = [("slice", pa.int64()), ("bucket", pa.int64()), ("stage", pa.int64()), ("totals", pa.list_(pa.binary())),
+          ("first", pa.binary()), ("sums", pa.list_(pa.int64()))]
+REQUEST_DDL = "slice long, bucket long, keys binary, counts array<binary>"
+ANSWER_DDL = "slice long, bucket long, stage long, totals array<binary>, first binary, sums array<long>"
+# Kinds of rows in a slice, and the two exchanges.
+DOC, LABEL = 0, 1
+PAIRS, WORDS = 0, 1
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
@@ -248,22 +324,52 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on all rows (target: label 1) and score every row.  Returns id, n_tokens,
     loss_target, loss_background, score (nats per token)."""
     ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    own = docs.select(ident.alias("id"), text.alias("text"), F.xxhash64(ident.isNull(), ident, text).alias("row"))
-    wanted = labels.where(F.col(f"`{label_col}`") == 1).select(F.col(f"`{id_col}`").alias("id"), F.lit(True).alias("target")).distinct()
-    # Labels grow with the documents: both sides shuffle, at every size, and the texts once.
-    sided = own.join(wanted.hint("merge"), "id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    pairs = checkpointed(pair_counts(sided))
-    tokens = pairs.agg(F.sum(F.col("n0") + F.col("n1"))).first()[0] or 0
-    hot = pairs.where(F.col("n0") + F.col("n1") >= max(HOT_SHARE * tokens, HOT_ROWS)).select("c", "w")
-    met = _meet(document_rows(own), bigram_losses(pairs, discount), ["c", "w"], hot, "row")
-    # Repeated rows add up alike above and below.
-    sums = met.groupBy("row").agg(*[(F.sum(F.col("n") * F.col(f"l{i}")) / F.sum("n")).alias(f"loss{i}") for i in (0, 1)])
-
-    def lengths(texts: pd.Series) -> pd.Series:
-        return pd.Series([len(words_of(t)) for t in texts], dtype="int64")
-
-    lengths.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    sized = own.select("id", "row", F.pandas_udf(lengths, "long")("text").alias("n_tokens"))
-    return sized.join(sums.hint("merge"), "row", "left").select(
-        F.col("id").alias(id_col), "n_tokens", F.col("loss1").alias("loss_target"), F.col("loss0").alias("loss_background"),
-        (F.col("loss1") - F.col("loss0")).alias("score"))
+    size = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    buckets = max(1, -(-size // SLICE_CHARS))
+    number = F.pmod(F.xxhash64(ident.isNull(), ident, text), F.lit(buckets)).alias("slice")
+    own = docs.select(number, F.lit(DOC).alias("kind"), ident.alias("id"), text.alias("text"))
+    wanted = labels.where(F.col(f"`{label_col}`") == 1).select(F.col(f"`{id_col}`").alias("id")).distinct()
+    # Labels grow with the documents: ids shuffle, at every size, and mark the slices.
+    marks = own.select("slice", "id").join(wanted.hint("merge"), "id").distinct().select(
+        "slice", F.lit(LABEL).alias("kind"), "id", F.lit(None).cast("string").alias("text"))
+    dealt = own.unionAll(marks).groupBy("slice")
+
+    def send_pairs(key: tuple, rows: pa.Table) -> pa.Table:
+        s = Slice(rows)
+        return _requests(key[0].as_py(), buckets, s.keys, [s.n0, s.n1])
+
+    def send_words(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        s = Slice(rows)
+        s.words()
+        totals, first, _ = _answers(answers, PAIRS)
+        counts = [s.summed(at, n) for at in (s.w_at, s.c_at) for n in (s.n0, s.n1)]
+        # Bigrams above the discount: their tokens and their number make the discounted mass.
+        over = [first & (n > discount) for n in totals]
+        counts += [s.summed(s.c_at, np.where(x, n, 0)) for x, n in zip(over, totals)] + [s.summed(s.c_at, x) for x in over]
+        return _requests(key[0].as_py(), buckets, s.kinds, counts)
+
+    def losses(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
+        s = Slice(rows)
+        s.words()
+        seen, _, _ = _answers(answers, PAIRS)
+        totals, _, sums = _answers(answers, WORDS)
+        base = sums[0] + 2  # the words, the unknown word and the start, as in Vocabulary
+        doc, out = np.repeat(np.arange(len(s.lengths), dtype=np.int32), s.lengths), []
+        for i in (0, 1):
+            word, context, mass, above = (totals[k + i] for k in (0, 2, 4, 6))
+            after = np.maximum(context, 1)
+            rest = (1 - (mass - discount * above) / after)[s.c_at]
+            p = np.maximum(seen[i] - discount, 0) / after[s.c_at] + rest * ((word + 1) / (sums[1 + i] + base))[s.w_at]
+            with np.errstate(divide="ignore"):
+                each = -np.log(p)
+            out.append(np.bincount(doc, each[s.of], len(s.lengths)) / np.maximum(s.lengths, 1))
+        none = s.lengths == 0
+        return pa.table({"id": s.ids, "n_tokens": s.lengths, "loss1": pa.array(out[1], mask=none), "loss0": pa.array(out[0], mask=none)})
+
+    pairs = dealt.applyInArrow(send_pairs, REQUEST_DDL).groupBy("bucket").applyInArrow(_totals(buckets, PAIRS), ANSWER_DDL)
+    words = dealt.cogroup(pairs.groupBy("slice")).applyInArrow(send_words, REQUEST_DDL).groupBy("bucket").applyInArrow(
+        _totals(buckets, WORDS), ANSWER_DDL)
+    kind = docs.select(ident.alias("id")).schema["id"].dataType.simpleString()
+    out = dealt.cogroup(pairs.unionAll(words).groupBy("slice")).applyInArrow(losses, f"id {kind}, n_tokens long, loss1 double, loss0 double")
+    return out.select(F.col("id").alias(id_col), "n_tokens", F.col("loss1").alias("loss_target"), F.col("loss0").alias("loss_background"),
+                      (F.col("loss1") - F.col("loss0")).alias("score"))

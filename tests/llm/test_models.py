@@ -185,6 +185,35 @@ def test_lm_score_cuts_neither_words_nor_bigrams(spark, monkeypatch):
                 assert r.loss_target is r.loss_background is r.score is None
 
 
+def test_lm_score_is_the_same_in_many_slices(spark, monkeypatch):
+    rnd = random.Random(8)
+    words = ["the"] * 20 + [f"w{k}" for k in range(300)] + ["a\0b", "a\0c", "\u0130x"]
+    rows = [(i, " ".join(rnd.choices(words, k=rnd.randrange(0, 60))), "en", "s") for i in range(200)]
+    rows += [rows[3], rows[3], (None, "the w1 the", "en", "s"), (5, "the same id", "en", "s"), (200, None, "en", "s")]
+    docs = make_docs(spark, rows, clashing=True)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(150)] + [(None, 1)], "doc_id long, quality int")
+    sided = spark.createDataFrame([(t, i is not None and i < 150 and i % 4 == 0) for i, t, _, _ in rows], "text string, target boolean")
+    models = lm_scoring.fit(sided, sided)
+    want = []
+    for i, t, _, _ in rows:
+        code = models.vocab.bigrams(t)
+        want.append((i, len(code), *(models.losses(code).mean(axis=0).tolist() if len(code) else (None, None))))
+    order = lambda r: tuple((x is None, x or 0) for x in r)
+    # One slice, and more slices than some have words.
+    for chars in (lm_scoring.SLICE_CHARS, 500):
+        monkeypatch.setattr(lm_scoring, "SLICE_CHARS", chars)
+        got = [(r.doc_id, r.n_tokens, r.loss_background, r.loss_target) for r in lm_scoring.score(docs, labels).collect()]
+        assert len(got) == len(want)
+        for g, w in zip(sorted(got, key=order), sorted(want, key=order)):
+            assert g[:2] == w[:2]
+            assert all(x is y is None or math.isclose(x, y, rel_tol=1e-9) for x, y in zip(g[2:], w[2:]))
+
+
+def test_lm_numbers_by_planes_of_bytes():
+    for numbers in ([], [0], [0, 255, 256, 3], [2**64 - 1, 0, 2**40]):
+        assert lm_scoring.unpack(lm_scoring.pack(np.array(numbers, np.uint64))).tolist() == numbers
+
+
 def greedy(word, pieces, marker):
     word, n = marker + word, 0
     while word:
